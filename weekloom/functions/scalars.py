@@ -76,8 +76,9 @@ def parse_flexible_date(col: Column | str) -> Column:
     tries = [F.when(text.rlike(shape), F.try_to_timestamp(text, F.lit(pattern)))
              for shape, pattern in DATE_LAYOUTS]
     epoch = F.when(text.rlike("^[0-9]{1,18}$"), text.try_cast("bigint"))
-    tries.append(F.when(epoch > 1_000_000_000_000, F.timestamp_millis(epoch)))
-    tries.append(F.when(epoch.between(1_000_000_001, 1_000_000_000_000), F.timestamp_seconds(epoch)))
+    # beyond the year 9999 neither reading is a date
+    tries.append(F.when(epoch.between(1_000_000_000_001, 253_402_300_799_999), F.timestamp_millis(epoch)))
+    tries.append(F.when(epoch.between(1_000_000_001, 253_402_300_799), F.timestamp_seconds(epoch)))
     return F.coalesce(*tries).cast("date")
 
 

@@ -18,7 +18,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
     """A local session for tests and the bench; on a cluster pass your own session instead."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]").appName("weekloom")
-        .config("spark.ui.enabled", "false")
+        .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
