@@ -239,7 +239,7 @@ def uploads(spark: SparkSession, sf: str) -> DataFrame:
 
 
 cte("uploads", """SELECT concat('S', lpad(CAST(o_custkey % 100 AS VARCHAR), 6, '0')) AS channel, CAST(o_orderdate AS DATE) AS obs_date,
- max(o_orderkey % 50) + (CAST(o_orderdate AS DATE) - DATE '1990-01-01') AS upload_count FROM orders WHERE o_orderstatus <> 'P' GROUP BY ALL""")
+ max(o_orderkey % 50) + max(CAST(o_orderdate AS DATE) - DATE '1990-01-01') AS upload_count FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2""")
 
 
 def collector_events(spark: SparkSession, sf: str) -> DataFrame:
