@@ -44,23 +44,22 @@ def _texts(csv: Column) -> Column:
     return F.when(F.size(quoted) > 0, quoted).otherwise(F.filter(plain, lambda p: p != ""))
 
 
-# --- two-column chart arrays ---------------------------------------------------------------
-
-def dygraph_arrays(html: Column) -> Column:
-    """array<array<struct<epoch_ms, value>>>: every ``data: [[t, v], ...]`` of the page."""
-    arrays = _all(html, r"(?si)data\s*:\s*\[\s*(\[.*?\])\s*,?\s*\]")
-    return F.transform(arrays, lambda a: F.filter(
-        F.transform(_all(a, r"\[([^\[\]]+)\]"), lambda e: F.struct(
-            F.try_element_at(F.split(e, ","), F.lit(1)).try_cast(_NUM).cast("bigint").alias("epoch_ms"),
-            F.trim(F.try_element_at(F.split(e, ","), F.lit(2))).try_cast(_NUM).alias("value"))),
-        lambda p: p["epoch_ms"].isNotNull() & p["value"].isNotNull()))
-
+# --- chart points ----------------------------------------------------------------------------
+#
+# Each array of a page is parsed once in its own column and the arrays are then zipped and
+# exploded. Indexing one array from a lambda over another would parse it again per element.
 
 def extract_dygraph(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per point of every array: key, array number, position, epoch_ms, value."""
+    """Every ``data: [[t, v], ...]`` array: key, array number, position, epoch_ms, value."""
     text = F.col(html)
-    rows = pages.filter(_has(text, "data")).select(*PAGE_KEY, F.posexplode(dygraph_arrays(text)).alias("array_no", "_a"))
-    return rows.select(*PAGE_KEY, "array_no", F.posexplode("_a").alias("pos", "_p")).select(*PAGE_KEY, "array_no", "pos", "_p.*")
+    arrays = _all(text, r"(?si)data\s*:\s*\[\s*(\[.*?\])\s*,?\s*\]")
+    rows = pages.filter(_has(text, "data")).select(*PAGE_KEY, F.posexplode(arrays).alias("array_no", "_a"))
+    rows = rows.select(*PAGE_KEY, "array_no", F.posexplode(_all(F.col("_a"), r"\[([^\[\]]+)\]")).alias("pos", "_e"))
+    pair = F.split("_e", ",")
+    out = rows.select(*PAGE_KEY, "array_no", "pos",
+                      F.try_element_at(pair, F.lit(1)).try_cast(_NUM).cast("bigint").alias("epoch_ms"),
+                      F.trim(F.try_element_at(pair, F.lit(2))).try_cast(_NUM).alias("value"))
+    return out.filter(F.col("epoch_ms").isNotNull() & F.col("value").isNotNull())
 
 
 def series_profile(points: DataFrame) -> DataFrame:
@@ -121,112 +120,99 @@ def combine_series(points: DataFrame, picked: DataFrame, tol_days: int = 28) ->
                                          F.lit("dygraph").alias("extraction_method"))
 
 
-def _as_points(rows: DataFrame, points: Column, method: str) -> DataFrame:
-    return (rows.select(*PAGE_KEY, F.explode(points).alias("_p")).filter(F.col("_p.date_text").isNotNull())
-            .select(*PAGE_KEY, "_p.*", F.lit(method).alias("extraction_method")))
-
-
-def _at(values: Column, i: Column) -> Column:
-    """Value at a 0-based position, 0 when the list is absent or shorter."""
-    return F.coalesce(F.try_element_at(values, i + 1), F.lit(0.0)).cast("bigint")
-
-
-def highcharts_points(html: Column) -> Column:
-    dates = _texts(_one(html, r"(?si)categories\s*:\s*\[(.*?)\]"))
-    series = _all(_one(html, r"(?si)series\s*:\s*\[(.*)"), r"(?si)data\s*:\s*\[([\d,.\s]+)\]")
-    subs = _numbers(F.try_element_at(series, F.lit(1)))
-    views = _numbers(F.try_element_at(series, F.lit(2)))
-    return F.transform(dates, lambda d, i: F.struct(d.alias("date_text"), _at(subs, i).alias("subs"), _at(views, i).alias("views")))
+def _zip_points(rows: DataFrame, method: str, arrays: dict[str, Column]) -> DataFrame:
+    """Zip the arrays of a page and explode; positions without a date drop out, absent numbers are 0."""
+    zipped = F.arrays_zip(*[F.coalesce(c, F.array().cast("array<string>" if n == "date_text" else "array<double>")).alias(n)
+                            for n, c in arrays.items()])
+    out = rows.select(*PAGE_KEY, F.explode(zipped).alias("_p")).filter(F.col("_p")["date_text"].isNotNull())
+    numbers = [F.coalesce(F.col("_p")[n], F.lit(0.0)).cast("bigint").alias(n) for n in arrays if n != "date_text"]
+    return out.select(*PAGE_KEY, F.col("_p")["date_text"].alias("date_text"), *numbers, F.lit(method).alias("extraction_method"))
 
 
 def extract_highcharts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Categories with the first series as subs and the second as views, one row per date."""
     text = F.col(html)
-    rows = pages.filter(text.contains("categories") & text.contains("series"))
-    return _as_points(rows, highcharts_points(text), "highcharts")
-
-
-def plotly_points(html: Column) -> Column:
-    dates = _texts(_one(html, r"(?s)\bx\s*:\s*\[(.*?)\]"))
-    values = _numbers(_one(html, r"(?s)\by\s*:\s*\[(.*?)\]"))
-    n = F.least(F.size(dates), F.size(values))
-    pairs = F.transform(dates, lambda d, i: F.struct(d.alias("date_text"), _at(values, i).alias("subs"),
-                                                     F.lit(0).cast("bigint").alias("views")))
-    return F.when(n > 0, F.slice(pairs, F.lit(1), F.greatest(n, F.lit(0))))
+    rows = pages.filter(text.contains("categories") & text.contains("series")).select(
+        *PAGE_KEY, _one(text, r"(?si)categories\s*:\s*\[(.*?)\]").alias("_c"),
+        _all(_one(text, r"(?si)series\s*:\s*\[(.*)"), r"(?si)data\s*:\s*\[([\d,.\s]+)\]").alias("_s"))
+    return _zip_points(rows, "highcharts", {
+        "date_text": _texts(F.col("_c")), "subs": _numbers(F.try_element_at("_s", F.lit(1))),
+        "views": _numbers(F.try_element_at("_s", F.lit(2)))})
 
 
 def extract_plotly(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Dates and values zipped; the value is the subscriber count."""
+    """Dates and values zipped up to the shorter list; the value is the subscriber count."""
     text = F.col(html)
-    return _as_points(pages.filter(text.rlike(r"\bx\s*:\s*\[")), plotly_points(text), "plotly")
+    rows = pages.filter(text.rlike(r"\bx\s*:\s*\[")).select(
+        *PAGE_KEY, _one(text, r"(?s)\bx\s*:\s*\[(.*?)\]").alias("_x"), _one(text, r"(?s)\by\s*:\s*\[(.*?)\]").alias("_y"))
+    # the list of values as text tells a missing value from a zero
+    rows = rows.withColumn("_y", F.filter(F.split(F.regexp_replace("_y", r"\s", ""), ","), lambda p: p != ""))
+    zipped = F.explode(F.arrays_zip(_texts(F.col("_x")).alias("date_text"), F.col("_y").alias("y")))
+    out = rows.select(*PAGE_KEY, zipped.alias("_p"))
+    out = out.filter(F.col("_p.date_text").isNotNull() & F.col("_p.y").isNotNull())
+    return out.select(*PAGE_KEY, F.col("_p.date_text").alias("date_text"),
+                      F.coalesce(F.col("_p.y").try_cast(_NUM), F.lit(0.0)).cast("bigint").alias("subs"),
+                      F.lit(0).cast("bigint").alias("views"), F.lit("plotly").alias("extraction_method"))
 
 
 _CHARTJS_TYPE = "labels array<string>, datasets array<struct<label string, data array<double>>>"
 
 
-def chartjs_points(html: Column) -> Column:
-    blob = _one(html, r"(?s)(?:chartData|graphData|data)\s*[:=]\s*(\{[^;]*?\"labels\"[^;]*\})\s*;")
-    chart = F.from_json(blob, _CHARTJS_TYPE)
-
-    def kind(label: Column) -> Column:
-        text = F.lower(F.coalesce(label, F.lit("")))
-        return (F.when(text.contains("subscriber"), F.lit("subs"))
-                .when(text.contains("total") & text.contains("view"), F.lit("views"))
-                .when(text.contains("long"), F.lit("longform")).when(text.contains("short"), F.lit("shorts"))
-                .otherwise(F.lit("other")))
-
-    def last_of(name: str) -> Column:
-        return F.try_element_at(F.filter(chart["datasets"], lambda d: kind(d["label"]) == name), F.lit(-1))["data"]
-
-    return F.transform(chart["labels"], lambda d, i: F.struct(
-        d.alias("date_text"), _at(last_of("subs"), i).alias("subs"), _at(last_of("views"), i).alias("views"),
-        _at(last_of("longform"), i).alias("longform_views"), _at(last_of("shorts"), i).alias("shorts_views")))
-
-
 def extract_chartjs(pages: DataFrame, html: str = "html") -> DataFrame:
     """Labelled datasets of an embedded chart object; absent series count as 0."""
     text = F.col(html)
-    return _as_points(pages.filter(text.contains('"labels"')), chartjs_points(text), "chartjs")
+    blob = _one(text, r"(?s)(?:chartData|graphData|data)\s*[:=]\s*(\{[^;]*?\"labels\"[^;]*\})\s*;")
+    rows = pages.filter(text.contains('"labels"')).select(*PAGE_KEY, F.from_json(blob, _CHARTJS_TYPE).alias("_c"))
 
+    def kind(label: Column) -> Column:
+        name = F.lower(F.coalesce(label, F.lit("")))
+        return (F.when(name.contains("subscriber"), F.lit("subs"))
+                .when(name.contains("total") & name.contains("view"), F.lit("views"))
+                .when(name.contains("long"), F.lit("longform")).when(name.contains("short"), F.lit("shorts"))
+                .otherwise(F.lit("other")))
 
-def history_points(html: Column) -> Column:
-    rows = F.transform(_all(html, r"(?si)<tr[^>]*>(.*?)</tr>"), lambda r: F.transform(
-        _all(r, r"(?si)<t[dh][^>]*>(.*?)</t[dh]>"), lambda c: F.trim(F.regexp_replace(c, r"(?s)<[^>]*>", ""))))
-    heads = F.filter(F.transform(rows, lambda r: F.transform(r, lambda c: F.lower(c))), lambda r: F.array_contains(r, "date"))
-    head = F.try_element_at(heads, F.lit(1))
+    def last_of(name: str) -> Column:
+        return F.try_element_at(F.filter("_c.datasets", lambda d: kind(d["label"]) == name), F.lit(-1))["data"]
 
-    def col(words: list[str]) -> Column:
-        hit = F.transform(head, lambda c: F.greatest(*[c.contains(w) for w in words], F.lit(False)))
-        return F.array_position(hit, True).cast("int")
+    return _zip_points(rows, "chartjs", {
+        "date_text": F.col("_c.labels"), "subs": last_of("subs"), "views": last_of("views"),
+        "longform_views": last_of("longform"), "shorts_views": last_of("shorts")})
 
-    def cell(row: Column, at: Column) -> Column:
-        return F.when(at > 0, F.try_element_at(row, at))
 
-    date_at, subs_at, views_at, videos_at = col(["date"]), col(["subscriber"]), col(["view"]), col(["upload", "videos"])
-    dated = F.filter(rows, lambda r: S.parse_flexible_date(cell(r, date_at)).isNotNull())
-    return F.transform(dated, lambda r: F.struct(
-        cell(r, date_at).alias("date_text"),
-        F.coalesce(S.parse_compact_number(cell(r, subs_at)), F.lit(0).cast("bigint")).alias("subs"),
-        F.coalesce(S.parse_compact_number(cell(r, views_at)), F.lit(0).cast("bigint")).alias("views"),
-        S.parse_compact_number(cell(r, videos_at)).alias("videos")))
+def _cells(row: Column) -> Column:
+    return F.transform(_all(row, r"(?si)<t[dh][^>]*>(.*?)</t[dh]>"), lambda c: F.trim(F.regexp_replace(c, r"(?s)<[^>]*>", "")))
 
 
 def extract_history_table(pages: DataFrame, html: str = "html") -> DataFrame:
     """Rows of an HTML table headed Date / Subscribers / Views / Videos, columns found by header."""
     text = F.col(html)
-    return _as_points(pages.filter(_has(text, "<tr")), history_points(text), "table")
+    rows = pages.filter(_has(text, "<tr")).select(*PAGE_KEY, _all(text, r"(?si)<tr[^>]*>(.*?)</tr>").alias("_rows"))
+    head = F.try_element_at(F.filter("_rows", lambda r: r.rlike(r"(?si)<t[dh][^>]*>\s*date\s*<")), F.lit(1))
+    names = F.transform(_cells(head), lambda c: F.lower(c))
+    rows = rows.select(*PAGE_KEY, names.alias("_h"), F.explode("_rows").alias("_r"))
+    rows = rows.filter(F.col("_h").isNotNull()).select(*PAGE_KEY, "_h", F.explode(F.array(_cells(F.col("_r")))).alias("_v"))
 
+    def cell(*words: str) -> Column:
+        at = F.array_position(F.transform("_h", lambda c: F.greatest(*[c.contains(w) for w in words], F.lit(False))), True).cast("int")
+        return F.when(at > 0, F.try_element_at("_v", at))
 
-def data_attr_points(html: Column, attr: str, field: str) -> Column:
-    blob = _one(html, rf"(?s){attr}\s*=\s*'([^']*)'")
-    items = F.from_json(blob, f"array<struct<date string, {field} double>>")
-    return F.transform(items, lambda p: F.struct(p["date"].alias("date_text"), p[field].cast("bigint").alias(field)))
+    zero = F.lit(0).cast("bigint")
+    out = rows.select(
+        *PAGE_KEY, cell("date").alias("date_text"),
+        F.coalesce(S.parse_compact_number(cell("subscriber")), zero).alias("subs"),
+        F.coalesce(S.parse_compact_number(cell("view")), zero).alias("views"),
+        S.parse_compact_number(cell("upload", "videos")).alias("videos"), F.lit("table").alias("extraction_method"))
+    return out.filter(S.parse_flexible_date("date_text").isNotNull())
 
 
 def extract_data_attr(pages: DataFrame, attr: str = "data-subs", field: str = "subs", html: str = "html") -> DataFrame:
     """JSON list of (date, value) stored in an HTML attribute."""
     text = F.col(html)
-    return _as_points(pages.filter(text.contains(attr)), data_attr_points(text, attr, field), "data_attr")
+    items = F.from_json(_one(text, rf"(?s){attr}\s*=\s*'([^']*)'"), f"array<struct<date string, {field} double>>")
+    rows = pages.filter(text.contains(attr)).select(*PAGE_KEY, F.explode(items).alias("_p"))
+    return rows.filter(F.col("_p.date").isNotNull()).select(
+        *PAGE_KEY, F.col("_p.date").alias("date_text"), F.col(f"_p.{field}").cast("bigint").alias(field),
+        F.lit("data_attr").alias("extraction_method"))
 
 
 def standardize(points: DataFrame, source: str = "WAYBACK_CHARTS") -> DataFrame:
@@ -263,7 +249,7 @@ UPLOAD_PATTERNS = [
 
 def _first_hit(html: Column, pattern: str, parse) -> Column:
     """First match of a pattern that parses to a positive number."""
-    values = F.transform(_all(html, "(?i)" + pattern), parse)
+    values = F.transform(_all(html, "(?i)" + pattern), lambda v: parse(v))
     return F.try_element_at(F.filter(values, lambda v: v > 0), F.lit(1))
 
 

@@ -16,7 +16,7 @@ from weekloom.operators.aggregates import one_row
 from weekloom.operators.junctions import Junction
 from weekloom.operators.quantiles import exact_quantile
 from weekloom.operators.ranking import pick_best
-from weekloom.schema import INTERPOLATED_WEIGHT, SOURCE_RANK, SOURCE_WEIGHT, rank_of
+from weekloom.schema import INTERPOLATED_WEIGHT, QUALITY_FLAGS, SEVERITIES, SOURCE_RANK, SOURCE_WEIGHT, rank_of
 
 CRITICAL_FIELDS = ["channel", "datetime", "views", "subs"]
 IMPORTANT_FIELDS = ["category", "videos"]
@@ -194,11 +194,45 @@ def annotate(df: DataFrame, rules: list[Rule], ctx: dict) -> tuple[DataFrame, Co
     return df, fair
 
 
-def rule_results(annotated: DataFrame, rules: list[Rule], key: str = "channel") -> DataFrame:
-    """One row per rule. Entities are counted from one row per entity, so nothing is collected."""
-    per_entity = annotated.groupBy(key).agg(*[F.sum(f"hit_{r.name}").alias(r.name) for r in rules])
-    totals = per_entity.agg(*[F.struct(F.coalesce(F.sum(r.name), F.lit(0)).cast("bigint").alias("affected_records"),
-                                       F.count_if(F.col(r.name) > 0).alias("affected_channels")).alias(r.name) for r in rules])
+def profile(annotated: DataFrame, rules: list[Rule], key: str = "channel", t: str = "week",
+            flag: str | None = "data_quality_flag", fair: Column | None = None) -> DataFrame:
+    """Everything results and metrics need as one row, in one pass.
+
+    Counted per entity first, on the partitioning the rule windows already have, then summed;
+    entities are counted, never collected.
+    """
+    full = F.lit(True)
+    for c in (key, t, "views", "subs"):
+        full = full & F.col(c).isNotNull()
+    rows = annotated.withColumn("_full", full)
+    flags = []
+    if flag:
+        final = F.coalesce(F.when(fair, F.lit("fair")).otherwise(F.col(flag)) if fair is not None else F.col(flag), F.lit(""))
+        rows = rows.withColumn("_flag", final)
+        flags = [*QUALITY_FLAGS, "other"]
+
+    def has_flag(f: str) -> Column:
+        return ~F.col("_flag").isin(QUALITY_FLAGS) if f == "other" else F.col("_flag") == f
+
+    per_entity = rows.groupBy(key).agg(
+        F.count(F.lit(1)).alias("n"), F.count_if("_full").alias("full"), *[F.sum(f"hit_{r.name}").alias(r.name) for r in rules],
+        *[F.count_if(has_flag(f)).alias(f"flag_{f}") for f in flags])
+
+    def total(c: str) -> Column:
+        return F.coalesce(F.sum(c), F.lit(0)).cast("bigint")
+
+    one = per_entity.agg(
+        total("n").alias("n"), total("full").alias("full"), *[total(f"flag_{f}").alias(f"flag_{f}") for f in flags],
+        *[F.struct(total(r.name).alias("affected_records"), F.count_if(F.col(r.name) > 0).alias("affected_channels")).alias(r.name)
+          for r in rules])
+    if flags:
+        pairs = F.filter(F.array(*[F.struct(F.lit(f).alias("k"), F.col(f"flag_{f}").alias("v")) for f in sorted(flags)]), lambda p: p["v"] > 0)
+        one = one.withColumn("quality_flags", F.map_from_entries(pairs))
+    return one
+
+
+def rule_results(one: DataFrame, rules: list[Rule]) -> DataFrame:
+    """One row per rule out of the profile row."""
     rows = F.explode(F.array(*[F.struct(
         F.lit(r.name).alias("rule_name"), F.lit(r.category).alias("category"), F.lit(r.severity).alias("severity"),
         F.lit(r.message).alias("_m"), F.col(r.name)["affected_records"].alias("affected_records"),
@@ -206,7 +240,7 @@ def rule_results(annotated: DataFrame, rules: list[Rule], key: str = "channel")
         F.create_map(*[x for k, v in r.parameters.items() for x in (F.lit(k), F.lit(str(v)))]).cast("map<string,string>")
         .alias("details") if r.parameters else F.create_map().cast("map<string,string>").alias("details"),
     ) for r in rules]))
-    return totals.select(rows.alias("r")).select("r.*").select(
+    return one.select(rows.alias("r")).select("r.*").select(
         "rule_name", "category", "severity", (F.col("affected_records") == 0).alias("passed"), "affected_records",
         "affected_channels", F.concat(F.lit("Found "), F.col("affected_records"), F.lit(" "), F.col("_m")).alias("message"), "details")
 
@@ -216,8 +250,8 @@ def validate(df: DataFrame, level: str = "comprehensive", junctions: list[Juncti
              flag: str = "data_quality_flag", materialize: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Check a panel; returns (flagged panel, results, metrics).
 
-    All rules share one exchange on the entity. ``materialize`` writes the annotated rows to the
-    cluster's checkpoint folder first, for callers that act on more than one of the outputs.
+    All rules share one exchange on the entity. ``materialize`` writes the annotated rows and the
+    one-row profile to the cluster's checkpoint folder, for callers that act on several outputs.
     """
     have = set(df.columns)
     missing = [c for c in (t, key, "views", "subs") if c not in have]
@@ -232,42 +266,26 @@ def validate(df: DataFrame, level: str = "comprehensive", junctions: list[Juncti
         mark = (fair if fair is not None else F.lit(False)).alias("_fair")
         annotated = cut_lineage(annotated.select(*columns, *keep, mark))
         fair = F.col("_fair")
-    results = rule_results(annotated, rules, key)
-    flagged = annotated
-    if fair is not None and flag in have:
-        flagged = W.mark_fair(annotated, fair, flag)
-    flagged = flagged.select(*columns)
-    metrics = quality_metrics(results, flagged, key, t, flag)
-    return flagged, results, metrics
-
-
-def quality_metrics(results: DataFrame, df: DataFrame, key="channel", t="week", flag="data_quality_flag") -> DataFrame:
-    """One row: totals, four scores, errors by severity, flag distribution.
-
-    A failed rule costs its severity weight once, spread over the rows; empty input scores 1.
-    """
-    failed = ~F.col("passed")
+    one = profile(annotated, rules, key, t, flag if flag in have else None, fair)
+    if materialize:
+        one = cut_lineage(one)
+    flagged = W.mark_fair(annotated, fair, flag) if fair is not None and flag in have else annotated
 
     def errors(s: str) -> Column:
-        return F.count_if(failed & (F.col("severity") == s))
+        return sum((_int(F.col(r.name)["affected_records"] > 0) for r in rules if r.severity == s), F.lit(0)).cast("bigint")
 
     def affected(*names: str) -> Column:
-        cond = failed & F.col("rule_name").isin(*names) if names else failed
-        return F.coalesce(F.sum(F.when(cond, F.col("affected_records"))), F.lit(0)).cast("bigint")
+        return sum((F.col(r.name)["affected_records"] for r in rules if not names or r.name in names), F.lit(0).cast("bigint"))
 
-    per_rule = results.agg(
-        *[errors(s).alias(f"{s}_errors") for s in ("critical", "high", "medium", "low")],
+    row = one.select(
+        F.col("n").alias("total_records"), F.col("full").alias("_full"), *[errors(s).alias(f"{s}_errors") for s in SEVERITIES],
         affected().alias("_affected"), affected("cross_source_consistency").alias("_cross"),
-        affected("weekly_granularity", "date_range").alias("_temporal"))
-    full = F.lit(True)
-    for c in (key, t, "views", "subs"):
-        full = full & F.col(c).isNotNull()
-    per_row = df.agg(F.count(F.lit(1)).alias("total_records"), F.count_if(full).alias("_full"))
-    frames = [per_rule, per_row]
-    if flag in df.columns:
-        per_flag = df.groupBy(F.coalesce(F.col(flag), F.lit("")).alias("f")).agg(F.count(F.lit(1)).alias("n"))
-        frames.append(per_flag.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("f", "n")))).alias("quality_flags")))
-    row = one_row(*frames)
+        affected("weekly_granularity", "date_range").alias("_temporal"), *(["quality_flags"] if flag in have else []))
+    return flagged.select(*columns), rule_results(one, rules), _scores(row)
+
+
+def _scores(row: DataFrame) -> DataFrame:
+    """Scores out of the counts: a failed rule costs its severity weight once, spread over the rows."""
     n = F.col("total_records").cast("double")
     penalty = (F.col("critical_errors") * 0.4 + F.col("high_errors") * 0.3 + F.col("medium_errors") * 0.2
                + F.col("low_errors") * 0.1)
@@ -275,7 +293,7 @@ def quality_metrics(results: DataFrame, df: DataFrame, key="channel", t="week",
     def guarded(value: Column) -> Column:
         return F.when(F.col("total_records") > 0, value).otherwise(F.lit(1.0))
 
-    out = row.select(
+    return row.select(
         "total_records", F.greatest(F.col("total_records") - F.col("_affected"), F.lit(0)).cast("bigint").alias("valid_records"),
         (F.col("critical_errors") + F.col("high_errors") + F.col("medium_errors") + F.col("low_errors")).alias("validation_errors"),
         "critical_errors", "high_errors", "medium_errors", "low_errors",
@@ -283,8 +301,32 @@ def quality_metrics(results: DataFrame, df: DataFrame, key="channel", t="week",
         guarded(F.col("_full") / n).alias("completeness_score"),
         guarded(F.greatest(1.0 - F.col("_cross") / n, F.lit(0.0))).alias("consistency_score"),
         guarded(F.greatest(1.0 - F.col("_temporal") / n, F.lit(0.0))).alias("temporal_score"),
-        *(["quality_flags"] if flag in df.columns else []))
-    return out
+        *(["quality_flags"] if "quality_flags" in row.columns else []))
+
+
+def quality_metrics(results: DataFrame, df: DataFrame, key="channel", t="week", flag="data_quality_flag") -> DataFrame:
+    """Totals, four scores, errors by severity and flag distribution from any results and panel.
+
+    Empty input scores 1. ``validate`` returns the same row from its single pass.
+    """
+    failed = ~F.col("passed")
+
+    def affected(*names: str) -> Column:
+        cond = failed & F.col("rule_name").isin(*names) if names else failed
+        return F.coalesce(F.sum(F.when(cond, F.col("affected_records"))), F.lit(0)).cast("bigint")
+
+    per_rule = results.agg(
+        *[F.count_if(failed & (F.col("severity") == s)).alias(f"{s}_errors") for s in SEVERITIES],
+        affected().alias("_affected"), affected("cross_source_consistency").alias("_cross"),
+        affected("weekly_granularity", "date_range").alias("_temporal"))
+    full = F.lit(True)
+    for c in (key, t, "views", "subs"):
+        full = full & F.col(c).isNotNull()
+    frames = [per_rule, df.agg(F.count(F.lit(1)).alias("total_records"), F.count_if(full).alias("_full"))]
+    if flag in df.columns:
+        per_flag = df.groupBy(F.coalesce(F.col(flag), F.lit("")).alias("f")).agg(F.count(F.lit(1)).alias("n"))
+        frames.append(per_flag.agg(F.map_from_entries(F.sort_array(F.collect_list(F.struct("f", "n")))).alias("quality_flags")))
+    return _scores(one_row(*frames))
 
 
 # fixed values: recommendation texts
@@ -295,20 +337,26 @@ RECOMMEND_WEEKLY = "Weekly granularity violations detected. Consider temporal da
 RECOMMEND_NONE = "Data quality meets acceptable standards."
 
 
-def recommendations(metrics: DataFrame, results: DataFrame) -> DataFrame:
-    """One row with the array of texts whose condition holds."""
+def _triggers() -> list[Column]:
     failed = ~F.col("passed")
 
     def any_failed(cond: Column) -> Column:
         return F.coalesce(F.bool_or(failed & cond), F.lit(False))
 
-    flags = results.agg(any_failed(F.col("severity") == "critical").alias("_c"),
-                        any_failed(F.col("rule_name") == "junction_continuity").alias("_j"),
-                        any_failed(F.col("rule_name") == "weekly_granularity").alias("_w"))
-    row = one_row(flags, metrics.select("quality_score"))
-    texts = S.messages((F.col("_c"), RECOMMEND_CRITICAL), (F.col("quality_score") < 0.7, RECOMMEND_SCORE),
+    return [any_failed(F.col("severity") == "critical").alias("_c"), any_failed(F.col("rule_name") == "junction_continuity").alias("_j"),
+            any_failed(F.col("rule_name") == "weekly_granularity").alias("_w")]
+
+
+def _texts(score: Column) -> Column:
+    texts = S.messages((F.col("_c"), RECOMMEND_CRITICAL), (score < 0.7, RECOMMEND_SCORE),
                        (F.col("_j"), RECOMMEND_JUNCTION), (F.col("_w"), RECOMMEND_WEEKLY))
-    return row.select(F.when(F.size(texts) == 0, F.array(F.lit(RECOMMEND_NONE))).otherwise(texts).alias("recommendations"))
+    return F.when(F.size(texts) == 0, F.array(F.lit(RECOMMEND_NONE))).otherwise(texts)
+
+
+def recommendations(metrics: DataFrame, results: DataFrame) -> DataFrame:
+    """One row with the array of texts whose condition holds."""
+    row = one_row(results.agg(*_triggers()), metrics.select("quality_score"))
+    return row.select(_texts(F.col("quality_score")).alias("recommendations"))
 
 
 def validation_report(results: DataFrame, metrics: DataFrame) -> DataFrame:
@@ -319,10 +367,11 @@ def validation_report(results: DataFrame, metrics: DataFrame) -> DataFrame:
                  F.coalesce(F.sum(F.when(~F.col("passed"), F.col("affected_records"))), F.lit(0)).alias("total_records_affected"),
                  ).alias("validation_summary"),
         F.sort_array(F.collect_list(F.struct("rule_name", "severity", "passed", "message", "affected_records", "affected_channels"))
-                     ).alias("validation_results"))
+                     ).alias("validation_results"), *_triggers())
     scores = metrics.select(F.struct(*[c for c in metrics.columns if c != "quality_flags"]).alias("quality_metrics"),
                             *(["quality_flags"] if "quality_flags" in metrics.columns else []))
-    return one_row(summary, scores, recommendations(metrics, results))
+    row = one_row(summary, scores).withColumn("recommendations", _texts(F.col("quality_metrics.quality_score")))
+    return row.drop("_c", "_j", "_w")
 
 
 # fixed values: hours a source may lag before it counts as stale

@@ -20,6 +20,7 @@ def local_session(cores: int | str = 8, shuffle_partitions: int = 8) -> SparkSes
         SparkSession.builder.master(f"local[{cores}]").appName("weekloom")
         .config("spark.ui.enabled", "false").config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")   # call sites per column
         .config("spark.sql.shuffle.partitions", str(shuffle_partitions))
     )
     for name, value in SETTINGS.items():

@@ -53,21 +53,26 @@ def write_entities(entities: DataFrame, path: str, phase: str, mode: str = "erro
 
 
 def flatten_report(report: DataFrame) -> DataFrame:
-    """Nested report rows to (Category, Metric, Value); top-level scalars are ``General``."""
-    out = None
+    """Nested report rows to (Category, Metric, Value); top-level scalars are ``General``.
+
+    All fields go through one explode, so the report is computed once.
+    """
+    def text(c, kind: str):
+        return F.to_json(c) if kind in ("struct", "array", "map") else c.cast("string")
+
+    def row(category: str, metric, value):
+        return F.struct(F.lit(category).alias("Category"), metric.alias("Metric"), value.alias("Value"))
+
+    def entries(name: str, c, kind: str):
+        return F.transform(F.map_entries(c), lambda e: row(name, e["key"].cast("string"), text(e["value"], kind)))
+
+    parts = []
     for f in report.schema.fields:
-        c = F.col(f.name)
-        kind = f.dataType.typeName()
+        c, kind = F.col(f.name), f.dataType.typeName()
         if kind == "struct":
-            pairs = F.array(*[F.struct(F.lit(s.name).alias("Metric"),
-                                       (c[s.name].cast("string") if s.dataType.typeName() not in ("struct", "array", "map")
-                                        else F.to_json(c[s.name])).alias("Value")) for s in f.dataType.fields])
-            rows = report.select(F.lit(f.name).alias("Category"), F.explode(pairs).alias("p")).select("Category", "p.*")
+            parts.append(F.array(*[row(f.name, F.lit(s.name), text(c[s.name], s.dataType.typeName())) for s in f.dataType.fields]))
         elif kind == "map":
-            rows = report.select(F.lit(f.name).alias("Category"), F.explode(c).alias("Metric", "_v")).select(
-                "Category", F.col("Metric").cast("string").alias("Metric"), F.col("_v").cast("string").alias("Value"))
+            parts.append(entries(f.name, c, f.dataType.valueType.typeName()))
         else:
-            value = F.to_json(c) if kind == "array" else c.cast("string")
-            rows = report.select(F.lit("General").alias("Category"), F.lit(f.name).alias("Metric"), value.alias("Value"))
-        out = rows if out is None else out.unionByName(rows)
-    return out
+            parts.append(F.array(row("General", F.lit(f.name), text(c, kind))))
+    return report.select(F.explode(F.concat(*parts)).alias("r")).select("r.*")
