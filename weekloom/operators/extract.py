@@ -189,20 +189,24 @@ def extract_history_table(pages: DataFrame, html: str = "html") -> DataFrame:
     rows = pages.filter(_has(text, "<tr")).select(*PAGE_KEY, _all(text, r"(?si)<tr[^>]*>(.*?)</tr>").alias("_rows"))
     head = F.try_element_at(F.filter("_rows", lambda r: r.rlike(r"(?si)<t[dh][^>]*>\s*date\s*<")), F.lit(1))
     names = F.transform(_cells(head), lambda c: F.lower(c))
-    rows = rows.select(*PAGE_KEY, names.alias("_h"), F.explode("_rows").alias("_r"))
-    rows = rows.filter(F.col("_h").isNotNull()).select(*PAGE_KEY, "_h", F.explode(F.array(_cells(F.col("_r")))).alias("_v"))
+    # the header is its own column below the explode, else it would be found again for every row
+    rows = rows.withColumn("_h", names).filter(F.size("_h") > 0)
+    rows = rows.select(*PAGE_KEY, "_h", F.explode("_rows").alias("_r"))
+    rows = rows.select(*PAGE_KEY, "_h", F.explode(F.array(_cells(F.col("_r")))).alias("_v"))
 
     def cell(*words: str) -> Column:
         at = F.array_position(F.transform("_h", lambda c: F.greatest(*[c.contains(w) for w in words], F.lit(False))), True).cast("int")
         return F.when(at > 0, F.try_element_at("_v", at))
 
+    # the explode of one struct keeps each cell a computed column: parsing refers to it many times
+    picked = F.struct(cell("date").alias("date_text"), cell("subscriber").alias("s"), cell("view").alias("v"),
+                      cell("upload", "videos").alias("n"))
+    rows = rows.select(*PAGE_KEY, F.explode(F.array(picked)).alias("_p")).filter(S.parse_flexible_date(F.col("_p.date_text")).isNotNull())
     zero = F.lit(0).cast("bigint")
-    out = rows.select(
-        *PAGE_KEY, cell("date").alias("date_text"),
-        F.coalesce(S.parse_compact_number(cell("subscriber")), zero).alias("subs"),
-        F.coalesce(S.parse_compact_number(cell("view")), zero).alias("views"),
-        S.parse_compact_number(cell("upload", "videos")).alias("videos"), F.lit("table").alias("extraction_method"))
-    return out.filter(S.parse_flexible_date("date_text").isNotNull())
+    return rows.select(
+        *PAGE_KEY, F.col("_p.date_text").alias("date_text"), F.coalesce(S.parse_compact_number(F.col("_p.s")), zero).alias("subs"),
+        F.coalesce(S.parse_compact_number(F.col("_p.v")), zero).alias("views"),
+        S.parse_compact_number(F.col("_p.n")).alias("videos"), F.lit("table").alias("extraction_method"))
 
 
 def extract_data_attr(pages: DataFrame, attr: str = "data-subs", field: str = "subs", html: str = "html") -> DataFrame:

@@ -59,10 +59,13 @@ def read_panel(spark: SparkSession, path: str, fmt: str = "tsv", start=None, end
 
 
 def read_entities(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
-    """Entity list from CSV, a JSON array of nested records, or one id per text line."""
-    if fmt == "json":
+    """Entity list from CSV, nested JSON records or one id per text line.
+
+    ``json`` is an array (or one record) per file, ``jsonl`` one record per line.
+    """
+    if fmt in ("json", "jsonl"):
         schema = ENTITY_SCHEMA.add("id", "string") if "id" not in ENTITY_SCHEMA.fieldNames() else ENTITY_SCHEMA
-        raw = spark.read.schema(schema).option("multiLine", True).json(path)
+        raw = spark.read.schema(schema).option("multiLine", fmt == "json").json(path)
         ident = F.coalesce(F.nullif(F.trim("channel_id"), F.lit("")), F.trim("id"))
         out = raw.withColumn("channel_id", ident).drop("id")
     elif fmt == "csv":
@@ -75,22 +78,25 @@ def read_entities(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame
         out = spark.read.text(path).select(F.trim("value").alias("channel_id"), F.lit("").alias("channel_name"),
                                            F.lit("unknown").alias("status"))
     else:
-        raise ValueError("fmt must be csv, json or txt")
+        raise ValueError("fmt must be csv, json, jsonl or txt")
     return out.filter(F.coalesce(F.col("channel_id"), F.lit("")) != "")
 
 
-def _payloads(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema(API_PAYLOAD_SCHEMA).option("multiLine", True).json(path)
+def _payloads(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
+    return spark.read.schema(API_PAYLOAD_SCHEMA).option("multiLine", multiline).json(path)
 
 
-def read_api_payloads(spark: SparkSession, path: str) -> DataFrame:
-    """One row per returned item (column ``item``); empty and error payloads give none."""
-    return _payloads(spark, path).select(F.explode("items").alias("item"))
+def read_api_payloads(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
+    """One row per returned item (column ``item``); empty and error payloads give none.
+
+    One payload per file, or with ``multiline=False`` one per line, which can be split.
+    """
+    return _payloads(spark, path, multiline).select(F.explode("items").alias("item"))
 
 
-def read_api_errors(spark: SparkSession, path: str) -> DataFrame:
+def read_api_errors(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
     """One row per error payload with its code and first reason."""
-    rows = _payloads(spark, path).filter(F.col("error").isNotNull())
+    rows = _payloads(spark, path, multiline).filter(F.col("error").isNotNull())
     return rows.select(F.col("error.code").alias("code"), F.col("error.message").alias("message"),
                        F.try_element_at("error.errors", F.lit(1))["reason"].alias("reason"))
 
@@ -98,17 +104,17 @@ def read_api_errors(spark: SparkSession, path: str) -> DataFrame:
 def read_snapshot_index(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Index rows (timestamp, original, statuscode, digest).
 
-    ``json``: one array of arrays per file line, first row the header. ``text``: space separated
-    urlkey, timestamp, original, mime, status, digest.
+    ``json``: one array of arrays per file, first row the header; ``jsonl``: one such array per
+    line. ``text``: space separated urlkey, timestamp, original, mime, status, digest.
     """
     lines = spark.read.text(path, wholetext=(fmt == "json"))
-    if fmt == "json":
+    if fmt in ("json", "jsonl"):
         rows = (lines.select(F.from_json("value", "array<array<string>>").alias("r"))
                 .select(F.col("r")[0].alias("_h"), F.posexplode("r").alias("_i", "_v")).filter(F.col("_i") > 0))
         return rows.select(*[F.try_element_at("_v", F.array_position("_h", c).cast("int")).alias(c)
                              for c in ("timestamp", "original", "statuscode", "digest")])
     if fmt != "text":
-        raise ValueError("fmt must be json or text")
+        raise ValueError("fmt must be json, jsonl or text")
     parts = F.split(F.trim("value"), r"\s+")
     rows = lines.select(parts.alias("p")).filter(F.size("p") >= 6)
     return rows.select(F.col("p")[1].alias("timestamp"), F.col("p")[2].alias("original"), F.col("p")[4].alias("statuscode"),
