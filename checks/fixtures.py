@@ -115,9 +115,13 @@ cte("defects", """SELECT channel, CASE WHEN m = 5 THEN NULL ELSE category END AS
 
 def observations(spark: SparkSession, sf: str) -> DataFrame:
     """One row per line item: several per week and per source."""
-    li = table(spark, sf, "lineitem")
+    return as_observations(table(spark, sf, "lineitem"))
+
+
+def as_observations(li: DataFrame, *more: str) -> DataFrame:
     flag = F.col("l_orderkey") % 5
     return li.select(
+        *more,
         _channel(F.col("l_suppkey")).alias("channel"), F.col("l_shipdate").cast("date").alias("obs_date"),
         S.week_start_sunday("l_shipdate").alias("week"), (F.col("l_orderkey") * 1000 + F.col("l_linenumber")).alias("views"),
         F.col("l_quantity").cast("bigint").alias("subs"),

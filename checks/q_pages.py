@@ -111,7 +111,7 @@ SELECT channel, snapshot_ts, t, subs, COALESCE(CASE WHEN t - bt <= 2419200000 AN
  UNION ALL SELECT channel, '20011231000000', t, 0, views FROM v WHERE subs_array IS NULL""", "arrays", "picked")
 
 
-@query("h4_combine_series", "SELECT channel, snapshot_ts, CAST(t AS VARCHAR) AS date_text, subs, views, 'dygraph' AS extraction_method FROM combined", "combined")
+@query("h4_combine_series", "SELECT channel, snapshot_ts, CAST(DATE '1970-01-01' + CAST(t // 86400000 AS INTEGER) AS VARCHAR) AS date_text, subs, views, 'dygraph' AS extraction_method FROM combined", "combined")
 def _(spark, sf):
     points = _dygraph(spark, sf)
     return E.combine_series(points, E.pick_series(E.series_profile(points)))

@@ -46,15 +46,106 @@ def _texts(csv: Column) -> Column:
 
 # --- chart points ----------------------------------------------------------------------------
 #
-# Each array of a page is parsed once in its own column and the arrays are then zipped and
-# exploded. Indexing one array from a lambda over another would parse it again per element.
+# Two steps per library. ``*_text`` cuts the chart text out of the page as array<string>; the
+# page itself is not needed after that. The second step parses those texts. Arrays are zipped
+# before they are transformed: indexing one array from a lambda over another would parse it
+# again per element.
 
-def extract_dygraph(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Every ``data: [[t, v], ...]`` array: key, array number, position, epoch_ms, value."""
-    text = F.col(html)
-    arrays = _all(text, r"(?si)data\s*:\s*\[\s*(\[.*?\])\s*,?\s*\]")
-    rows = pages.filter(_has(text, "data")).select(*PAGE_KEY, F.posexplode(arrays).alias("array_no", "_a"))
-    rows = rows.select(*PAGE_KEY, "array_no", F.posexplode(_all(F.col("_a"), r"\[([^\[\]]+)\]")).alias("pos", "_e"))
+_POINT = "array<struct<date_text:string,subs:bigint,views:bigint,longform_views:bigint,shorts_views:bigint>>"
+
+
+def _dygraph_text(html: Column) -> Column:
+    return F.when(_has(html, "data"), _all(html, r"(?si)data\s*:\s*\[\s*(\[.*?\])\s*,?\s*\]"))
+
+
+def _highcharts_text(html: Column) -> Column:
+    series = _all(_one(html, r"(?si)series\s*:\s*\[(.*)"), r"(?si)data\s*:\s*\[([\d,.\s]+)\]")
+    return F.when(html.contains("categories") & html.contains("series"),
+                  F.concat(F.array(_one(html, r"(?si)categories\s*:\s*\[(.*?)\]")), series))
+
+
+def _plotly_text(html: Column) -> Column:
+    return F.when(html.rlike(r"\bx\s*:\s*\["), F.array(_one(html, r"(?s)\bx\s*:\s*\[(.*?)\]"), _one(html, r"(?s)\by\s*:\s*\[(.*?)\]")))
+
+
+def _chartjs_text(html: Column) -> Column:
+    blob = _one(html, r"(?s)(?:chartData|graphData|data)\s*[:=]\s*(\{[^;]*?\"labels\"[^;]*\})\s*;")
+    return F.when(html.contains('"labels"'), F.array(blob))
+
+
+def _table_text(html: Column) -> Column:
+    return F.when(_has(html, "<tr"), _all(html, r"(?si)<tr[^>]*>(.*?)</tr>"))
+
+
+_TEXT = {"dygraph": _dygraph_text, "highcharts": _highcharts_text, "plotly": _plotly_text, "chartjs": _chartjs_text,
+         "unknown": _table_text}
+
+
+def _zip(dates: Column, subs: Column, views: Column | None = None, longform: Column | None = None,
+         shorts: Column | None = None) -> Column:
+    """Points of zipped lists; positions without a date are left out later, absent numbers are 0."""
+    none = F.array().cast("array<double>")
+    lists = {"d": F.coalesce(dates, F.array().cast("array<string>"))}
+    for n, c in (("s", subs), ("v", views), ("l", longform), ("h", shorts)):
+        lists[n] = none if c is None else F.coalesce(c, none)
+
+    def num(v: Column) -> Column:
+        return F.coalesce(v, F.lit(0.0)).cast("bigint")
+
+    return F.transform(F.arrays_zip(*[c.alias(n) for n, c in lists.items()]), lambda z: F.struct(
+        z["d"].alias("date_text"), num(z["s"]).alias("subs"), num(z["v"]).alias("views"), num(z["l"]).alias("longform_views"),
+        num(z["h"]).alias("shorts_views"))).cast(_POINT)
+
+
+def _text_at(i: int) -> Column:
+    return F.try_element_at("_a", F.lit(i))
+
+
+def _highcharts_points() -> Column:
+    return _zip(_texts(_text_at(1)), _numbers(_text_at(2)), _numbers(_text_at(3)))
+
+
+def _plotly_points() -> Column:
+    """Dates and values up to the shorter list; the value is the subscriber count."""
+    dates, values = _texts(_text_at(1)), _numbers(_text_at(2))
+    n = F.greatest(F.least(F.size(dates), F.size(values)), F.lit(0))
+    return F.slice(_zip(dates, values), F.lit(1), n)
+
+
+_CHARTJS_TYPE = "labels array<string>, datasets array<struct<label string, data array<double>>>"
+
+
+def _chartjs_points() -> Column:
+    chart = F.from_json(_text_at(1), _CHARTJS_TYPE)
+
+    def kind(label: Column) -> Column:
+        name = F.lower(F.coalesce(label, F.lit("")))
+        return (F.when(name.contains("subscriber"), F.lit("subs"))
+                .when(name.contains("total") & name.contains("view"), F.lit("views"))
+                .when(name.contains("long"), F.lit("longform")).when(name.contains("short"), F.lit("shorts"))
+                .otherwise(F.lit("other")))
+
+    def last_of(name: str) -> Column:
+        return F.try_element_at(F.filter(chart["datasets"], lambda d: kind(d["label"]) == name), F.lit(-1))["data"]
+
+    return _zip(chart["labels"], last_of("subs"), last_of("views"), last_of("longform"), last_of("shorts"))
+
+
+_POINTS = {"highcharts": _highcharts_points, "plotly": _plotly_points, "chartjs": _chartjs_points}
+
+
+def _cut(pages: DataFrame, html: str, library: str) -> DataFrame:
+    return pages.select(*PAGE_KEY, F.lit(library).alias("library"), _TEXT[library](F.col(html)).alias("_a")).filter(F.size("_a") > 0)
+
+
+def _explode_points(rows: DataFrame, points: Column) -> DataFrame:
+    out = rows.select(*PAGE_KEY, "library", F.explode(points).alias("_p")).filter(F.col("_p.date_text").isNotNull())
+    return out.select(*PAGE_KEY, "_p.*", F.col("library").alias("extraction_method"))
+
+
+def _dygraph_rows(rows: DataFrame) -> DataFrame:
+    rows = rows.select(*PAGE_KEY, F.posexplode("_a").alias("array_no", "_s"))
+    rows = rows.select(*PAGE_KEY, "array_no", F.posexplode(_all(F.col("_s"), r"\[([^\[\]]+)\]")).alias("pos", "_e"))
     pair = F.split("_e", ",")
     out = rows.select(*PAGE_KEY, "array_no", "pos",
                       F.try_element_at(pair, F.lit(1)).try_cast(_NUM).cast("bigint").alias("epoch_ms"),
@@ -62,6 +153,11 @@ def extract_dygraph(pages: DataFrame, html: str = "html") -> DataFrame:
     return out.filter(F.col("epoch_ms").isNotNull() & F.col("value").isNotNull())
 
 
+def extract_dygraph(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Every ``data: [[t, v], ...]`` array: key, array number, position, epoch_ms, value."""
+    return _dygraph_rows(_cut(pages, html, "dygraph"))
+
+
 def series_profile(points: DataFrame) -> DataFrame:
     """Shape of each array: size, range, mean, direction, span, likely meaning."""
     out = points.groupBy(*PAGE_KEY, "array_no").agg(
@@ -116,67 +212,23 @@ def combine_series(points: DataFrame, picked: DataFrame, tol_days: int = 28) ->
     only = (views.filter(F.col("subs_array").isNull())
             .select(*PAGE_KEY, F.col("epoch_ms").alias("t"), F.lit(0).cast("bigint").alias("subs"),
                     F.col("value").cast("bigint").alias("views")))
-    return both.unionByName(only).select(*PAGE_KEY, F.col("t").cast("string").alias("date_text"), "subs", "views",
-                                         F.lit("dygraph").alias("extraction_method"))
-
-
-def _zip_points(rows: DataFrame, method: str, arrays: dict[str, Column]) -> DataFrame:
-    """Zip the arrays of a page and explode; positions without a date drop out, absent numbers are 0."""
-    zipped = F.arrays_zip(*[F.coalesce(c, F.array().cast("array<string>" if n == "date_text" else "array<double>")).alias(n)
-                            for n, c in arrays.items()])
-    out = rows.select(*PAGE_KEY, F.explode(zipped).alias("_p")).filter(F.col("_p")["date_text"].isNotNull())
-    numbers = [F.coalesce(F.col("_p")[n], F.lit(0.0)).cast("bigint").alias(n) for n in arrays if n != "date_text"]
-    return out.select(*PAGE_KEY, F.col("_p")["date_text"].alias("date_text"), *numbers, F.lit(method).alias("extraction_method"))
+    return both.unionByName(only).select(*PAGE_KEY, F.timestamp_millis("t").cast("date").cast("string").alias("date_text"),
+                                         "subs", "views", F.lit("dygraph").alias("extraction_method"))
 
 
 def extract_highcharts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Categories with the first series as subs and the second as views, one row per date."""
-    text = F.col(html)
-    rows = pages.filter(text.contains("categories") & text.contains("series")).select(
-        *PAGE_KEY, _one(text, r"(?si)categories\s*:\s*\[(.*?)\]").alias("_c"),
-        _all(_one(text, r"(?si)series\s*:\s*\[(.*)"), r"(?si)data\s*:\s*\[([\d,.\s]+)\]").alias("_s"))
-    return _zip_points(rows, "highcharts", {
-        "date_text": _texts(F.col("_c")), "subs": _numbers(F.try_element_at("_s", F.lit(1))),
-        "views": _numbers(F.try_element_at("_s", F.lit(2)))})
+    return _explode_points(_cut(pages, html, "highcharts"), _highcharts_points()).drop("longform_views", "shorts_views")
 
 
 def extract_plotly(pages: DataFrame, html: str = "html") -> DataFrame:
     """Dates and values zipped up to the shorter list; the value is the subscriber count."""
-    text = F.col(html)
-    rows = pages.filter(text.rlike(r"\bx\s*:\s*\[")).select(
-        *PAGE_KEY, _one(text, r"(?s)\bx\s*:\s*\[(.*?)\]").alias("_x"), _one(text, r"(?s)\by\s*:\s*\[(.*?)\]").alias("_y"))
-    # the list of values as text tells a missing value from a zero
-    rows = rows.withColumn("_y", F.filter(F.split(F.regexp_replace("_y", r"\s", ""), ","), lambda p: p != ""))
-    zipped = F.explode(F.arrays_zip(_texts(F.col("_x")).alias("date_text"), F.col("_y").alias("y")))
-    out = rows.select(*PAGE_KEY, zipped.alias("_p"))
-    out = out.filter(F.col("_p.date_text").isNotNull() & F.col("_p.y").isNotNull())
-    return out.select(*PAGE_KEY, F.col("_p.date_text").alias("date_text"),
-                      F.coalesce(F.col("_p.y").try_cast(_NUM), F.lit(0.0)).cast("bigint").alias("subs"),
-                      F.lit(0).cast("bigint").alias("views"), F.lit("plotly").alias("extraction_method"))
-
-
-_CHARTJS_TYPE = "labels array<string>, datasets array<struct<label string, data array<double>>>"
+    return _explode_points(_cut(pages, html, "plotly"), _plotly_points()).drop("longform_views", "shorts_views")
 
 
 def extract_chartjs(pages: DataFrame, html: str = "html") -> DataFrame:
     """Labelled datasets of an embedded chart object; absent series count as 0."""
-    text = F.col(html)
-    blob = _one(text, r"(?s)(?:chartData|graphData|data)\s*[:=]\s*(\{[^;]*?\"labels\"[^;]*\})\s*;")
-    rows = pages.filter(text.contains('"labels"')).select(*PAGE_KEY, F.from_json(blob, _CHARTJS_TYPE).alias("_c"))
-
-    def kind(label: Column) -> Column:
-        name = F.lower(F.coalesce(label, F.lit("")))
-        return (F.when(name.contains("subscriber"), F.lit("subs"))
-                .when(name.contains("total") & name.contains("view"), F.lit("views"))
-                .when(name.contains("long"), F.lit("longform")).when(name.contains("short"), F.lit("shorts"))
-                .otherwise(F.lit("other")))
-
-    def last_of(name: str) -> Column:
-        return F.try_element_at(F.filter("_c.datasets", lambda d: kind(d["label"]) == name), F.lit(-1))["data"]
-
-    return _zip_points(rows, "chartjs", {
-        "date_text": F.col("_c.labels"), "subs": last_of("subs"), "views": last_of("views"),
-        "longform_views": last_of("longform"), "shorts_views": last_of("shorts")})
+    return _explode_points(_cut(pages, html, "chartjs"), _chartjs_points())
 
 
 def _cells(row: Column) -> Column:
@@ -185,8 +237,11 @@ def _cells(row: Column) -> Column:
 
 def extract_history_table(pages: DataFrame, html: str = "html") -> DataFrame:
     """Rows of an HTML table headed Date / Subscribers / Views / Videos, columns found by header."""
-    text = F.col(html)
-    rows = pages.filter(_has(text, "<tr")).select(*PAGE_KEY, _all(text, r"(?si)<tr[^>]*>(.*?)</tr>").alias("_rows"))
+    return _table_rows(_cut(pages, html, "unknown"))
+
+
+def _table_rows(rows: DataFrame) -> DataFrame:
+    rows = rows.select(*PAGE_KEY, F.col("_a").alias("_rows"))
     head = F.try_element_at(F.filter("_rows", lambda r: r.rlike(r"(?si)<t[dh][^>]*>\s*date\s*<")), F.lit(1))
     names = F.transform(_cells(head), lambda c: F.lower(c))
     # the header is its own column below the explode, else it would be found again for every row
@@ -378,24 +433,35 @@ def extract_current_metrics(pages: DataFrame, html: str = "html") -> DataFrame:
     return rows.filter(F.col("total_views").isNotNull() | F.col("subscriber_count").isNotNull())
 
 
-def extract_points(pages: DataFrame, html: str = "html") -> DataFrame:
+def chart_text(pages: DataFrame, html: str = "html") -> DataFrame:
+    """One pass over the pages: library and chart text; the html column ends here."""
+    text, lib = F.col(html), F.col("library")
+    cut = None
+    for name, fn in _TEXT.items():
+        cut = F.when(lib == name, fn(text)) if cut is None else cut.when(lib == name, fn(text))
+    rows = pages.withColumn("library", S.detect_chart_library(html))
+    return rows.select(*PAGE_KEY, "library", cut.alias("_a")).filter(F.size("_a") > 0)
+
+
+def extract_points(pages: DataFrame, html: str = "html", materialize: bool = False) -> DataFrame:
     """All chart and table points of all pages, by the library each page uses.
 
-    A page without a known library falls back to its history table.
+    A page without a known library falls back to its history table. ``materialize`` writes the
+    chart texts to the checkpoint folder, so the pages are scanned once whatever is done next.
     """
-    rows = pages.withColumn("library", S.detect_chart_library(html))
-
-    def of(name: str) -> DataFrame:
-        return rows.filter(F.col("library") == name)
-
-    raw = extract_dygraph(of("dygraph"), html)
-    parts = [combine_series(raw, pick_series(series_profile(raw))), extract_highcharts(of("highcharts"), html),
-             extract_plotly(of("plotly"), html), extract_chartjs(of("chartjs"), html),
-             extract_history_table(of("unknown"), html)]
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p, allowMissingColumns=True)
-    return out
+    rows = chart_text(pages, html)
+    if materialize:
+        from weekloom.session import cut_lineage
+        rows = cut_lineage(rows)
+    lib = F.col("library")
+    points = None
+    for name, fn in _POINTS.items():
+        points = F.when(lib == name, fn()) if points is None else points.when(lib == name, fn())
+    raw = _dygraph_rows(rows.filter(lib == "dygraph"))
+    zipped = _explode_points(rows.filter(lib.isin(list(_POINTS))), points)
+    dygraph = combine_series(raw, pick_series(series_profile(raw)))
+    table = _table_rows(rows.filter(lib == "unknown"))
+    return zipped.unionByName(dygraph, allowMissingColumns=True).unionByName(table, allowMissingColumns=True)
 
 
 def extract_errors(pages: DataFrame, points: DataFrame) -> DataFrame:

@@ -15,11 +15,11 @@ def _chosen_pages(pages: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
 
 
 def pages_to_observations(index: DataFrame, pages: DataFrame, end, start=None, n: int = 3, target_weeks: int = 165,
-                          key: str = "channel") -> dict[str, DataFrame]:
+                          key: str = "channel", materialize: bool = False) -> dict[str, DataFrame]:
     """Best snapshots of each entity to flagged weekly points, with a grade per entity and the
-    pages that gave nothing."""
+    pages that gave nothing. ``materialize`` keeps the chart texts, for callers of several outputs."""
     pages = _chosen_pages(pages, ranking.top_snapshots(index, end, n, key), key)
-    points = extract.extract_points(pages)
+    points = extract.extract_points(pages, materialize=materialize)
     obs = extract.standardize(points)
     obs = ranking.best_duplicate(obs, key, "obs_date", "snapshot_ts")
     if start is not None:
