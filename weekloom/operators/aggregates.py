@@ -183,11 +183,11 @@ def junction_pass_rates(entities: DataFrame, junctions: list[str], validated="ju
         F.when(F.col("_n") > 0, F.col("r.validated") / F.col("_n").cast("double") * 100).otherwise(F.lit(0.0)).alias("rate"))
 
 
-def metric_correlation(df: DataFrame, a="subs", b="views", key="channel", min_corr: float = 0.0) -> DataFrame:
+def metric_correlation(df: DataFrame, a="subs", b="views", key="channel") -> DataFrame:
     """Correlation of two metrics per entity; null where one does not vary."""
     a, b = F.col(a).cast("double"), F.col(b).cast("double")
-    varies = (F.stddev_pop(a) > 0) & (F.stddev_pop(b) > 0)
-    return df.groupBy(key).agg(F.count(F.lit(1)).alias("points"), F.when(varies, F.corr(a, b)).alias("correlation"))
+    spread = F.stddev_pop(a) * F.stddev_pop(b)
+    return df.groupBy(key).agg(F.count(F.lit(1)).alias("points"), F.when(spread > 0, F.covar_pop(a, b) / spread).alias("correlation"))
 
 
 def variation(df: DataFrame, lo, hi, metric="views", key="channel", t="week") -> DataFrame:
