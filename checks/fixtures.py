@@ -41,12 +41,13 @@ def panel(spark: SparkSession, sf: str) -> DataFrame:
     first = (k % 7 == 0) & (F.col("week") >= F.lit(J1))
     second = (k % 5 == 0) & (F.col("week") >= F.lit(J2))
     rows = weekly.select(
-        "channel", "week", k.alias("k"),
+        "channel", "week",
         (F.sum("dv").over(w) * F.when(first, 2).when(second, 3).otherwise(1)).alias("views"),
         (F.sum("ds").over(w) * F.when(first, 2).otherwise(1)).alias("subs"),
         (F.sum("dn").over(w) * F.when(first, 2).otherwise(1)).alias("videos"))
-    dim = supplier_nation(spark, sf).select("k", "category")
-    return rows.join(dim, "k").select(
+    # joined on the window key, so the rows keep their partitioning for the operators behind
+    dim = supplier_nation(spark, sf).select("channel", "category")
+    return rows.join(dim, "channel").select(
         "channel", "category", "week", "views", "subs", "videos",
         F.when(F.col("week") < F.lit(J1), F.lit("API")).when(F.col("week") < F.lit(J2), F.lit("WAYBACK_CHARTS"))
         .otherwise(F.lit("VIEWSTATS")).alias("collection_source"))

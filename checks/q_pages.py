@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from checks import fixtures as X
 from checks.registry import cte, query
 from weekloom.operators import extract as E
+from weekloom.session import cut_lineage
 
 STAMP = "20011231000000"
 
@@ -113,7 +114,7 @@ SELECT channel, snapshot_ts, t, subs, COALESCE(CASE WHEN t - bt <= 2419200000 AN
 
 @query("h4_combine_series", "SELECT channel, snapshot_ts, CAST(DATE '1970-01-01' + CAST(t // 86400000 AS INTEGER) AS VARCHAR) AS date_text, subs, views, 'dygraph' AS extraction_method FROM combined", "combined")
 def _(spark, sf):
-    points = _dygraph(spark, sf)
+    points = cut_lineage(_dygraph(spark, sf))       # used three times
     return E.combine_series(points, E.pick_series(E.series_profile(points)))
 
 

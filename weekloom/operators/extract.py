@@ -458,6 +458,8 @@ def extract_points(pages: DataFrame, html: str = "html", materialize: bool = Fal
     for name, fn in _POINTS.items():
         points = F.when(lib == name, fn()) if points is None else points.when(lib == name, fn())
     raw = _dygraph_rows(rows.filter(lib == "dygraph"))
+    if materialize:
+        raw = cut_lineage(raw)
     zipped = _explode_points(rows.filter(lib.isin(list(_POINTS))), points)
     dygraph = combine_series(raw, pick_series(series_profile(raw)))
     table = _table_rows(rows.filter(lib == "unknown"))

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import scalars as S
+from weekloom.operators.ranking import pick_best
 
 
 def enrich_entities(entities: DataFrame, items: DataFrame, key: str = "channel") -> DataFrame:
@@ -18,6 +19,8 @@ def enrich_entities(entities: DataFrame, items: DataFrame, key: str = "channel")
     ``items`` is the flat output of ``project_api_item``. Matched entities become ``enriched``,
     unreadable counters ``failed`` and unmatched ones ``not_found``, each failure with a flag.
     """
+    # repeated requests may return an entity twice: one readable answer per entity
+    items = pick_best(items, [key], [~F.col("parse_failed"), F.col("views")])
     got = items.select(F.col(key), F.col("channel_name").alias("_name"), F.col("description").alias("_description"),
                        F.col("country").alias("_country"), F.col("created_date").alias("_created"),
                        F.col("subs").alias("_subs"), F.col("views").alias("_views"), F.col("videos").alias("_videos"),
@@ -125,10 +128,11 @@ def nearest_join(left: DataFrame, right: DataFrame, value: str, key: str | list[
     ).select(*keys, F.col("_e._b").alias("_b"), F.col("_e._x._p").alias("_p"), F.col("_e._x._rv").alias("_rv"))
     hits = points.unionByName(copies).withColumn("_r", F.struct("_p", "_rv")).drop("_rv")
     rows = own.withColumn("_left", F.lit(True)).unionByName(hits, allowMissingColumns=True)
-    w = Window.partitionBy(*keys, "_b").orderBy("_p")
+    part = Window.partitionBy(*keys, "_b")
+    upto = part.orderBy("_p").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    onward = part.orderBy(F.col("_p").desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow)
     rows = rows.withColumns({
-        "_before": F.last("_r", ignorenulls=True).over(w.rangeBetween(Window.unboundedPreceding, Window.currentRow)),
-        "_after": F.first("_r", ignorenulls=True).over(w.rangeBetween(Window.currentRow, Window.unboundedFollowing)),
+        "_before": F.last("_r", ignorenulls=True).over(upto), "_after": F.last("_r", ignorenulls=True).over(onward),
     }).filter(F.col("_left"))
     back, ahead = F.col("_p") - F.col("_before._p"), F.col("_after._p") - F.col("_p")
     near_back = F.when(back <= span, back)

@@ -16,11 +16,13 @@ def fill(spine: DataFrame, max_gap_days: int = 14, metrics=("views", "subs", "vi
     """
     w = ordered(key, t)
     past = w.rowsBetween(Window.unboundedPreceding, 0)
-    ahead = w.rowsBetween(0, Window.unboundedFollowing)
+    # looking ahead is a running frame over the reverse order: a frame that ends at the last row
+    # would be evaluated anew for every row
+    ahead = Window.partitionBy(key).orderBy(F.col(t).desc()).rowsBetween(Window.unboundedPreceding, 0)
     out = {}
     for m in metrics:
         point = F.when(F.col(m).isNotNull(), F.struct(F.col(t).alias("t"), F.col(m).alias("v")))
-        b, a = F.last(point, ignorenulls=True).over(past), F.first(point, ignorenulls=True).over(ahead)
+        b, a = F.last(point, ignorenulls=True).over(past), F.last(point, ignorenulls=True).over(ahead)
         out[m] = F.coalesce(F.when(F.datediff(F.col(t), b["t"]) <= max_gap_days, b["v"]),
                             F.when(F.datediff(a["t"], F.col(t)) <= max_gap_days, a["v"]))
     made = F.lit(False)
