@@ -100,9 +100,9 @@ def _(spark, sf):
 def _(spark, sf):
     path = scratch(spark, "index")
     idx = X.snapshot_index(spark, sf)
-    # one index document per entity and day bucket: a header row and its rows
+    # index documents of at most a thousand rows (digests count up): a header row and its rows
     row = F.array("digest", "timestamp", "original", "statuscode")
-    docs = idx.groupBy("channel", F.substring("timestamp", 1, 6)).agg(F.collect_list(row).alias("r"))
+    docs = idx.groupBy("channel", F.substring("digest", 1, 9)).agg(F.collect_list(row).alias("r"))
     head = F.array(F.array(F.lit("digest"), F.lit("timestamp"), F.lit("original"), F.lit("statuscode")))
     docs.select(F.to_json(F.concat(head, "r")).alias("value")).write.text(path)
     return IO.read_snapshot_index(spark, path, "jsonl")

@@ -27,6 +27,15 @@ def _one(text: Column, pattern: str, group: int = 1) -> Column:
     return F.nullif(F.regexp_extract(text, pattern, group), F.lit(""))
 
 
+def _hold(value: Column) -> Column:
+    """Generator of exactly ``value``.
+
+    A filter on the result stays above the generator. On a plain column it would move below the
+    projection and run the patterns a second time.
+    """
+    return F.explode(F.array(value))
+
+
 def _has(html: Column, word: str) -> Column:
     return F.lower(html).contains(word)
 
@@ -135,7 +144,8 @@ _POINTS = {"highcharts": _highcharts_points, "plotly": _plotly_points, "chartjs"
 
 
 def _cut(pages: DataFrame, html: str, library: str) -> DataFrame:
-    return pages.select(*PAGE_KEY, F.lit(library).alias("library"), _TEXT[library](F.col(html)).alias("_a")).filter(F.size("_a") > 0)
+    rows = pages.select(*PAGE_KEY, _hold(_TEXT[library](F.col(html))).alias("_a")).filter(F.size("_a") > 0)
+    return rows.withColumn("library", F.lit(library))
 
 
 def _explode_points(rows: DataFrame, points: Column) -> DataFrame:
@@ -338,8 +348,8 @@ def upload_count(html: Column) -> Column:
 def extract_upload_count(pages: DataFrame, html: str = "html") -> DataFrame:
     """One row per page that states an upload count in range."""
     text = F.col(html)
-    return (pages.filter(_has(text, "upload") | _has(text, "video")).select(*PAGE_KEY, upload_count(text).alias("upload_count"))
-            .filter(F.col("upload_count").isNotNull()))
+    rows = pages.filter(_has(text, "upload") | _has(text, "video"))
+    return rows.select(*PAGE_KEY, _hold(upload_count(text)).alias("upload_count")).filter(F.col("upload_count").isNotNull())
 
 
 # fixed values: patterns of the current counters, in order
@@ -398,29 +408,35 @@ _LD_TYPE = ("viewCount string, subscriberCount string, "
             "interactionStatistic array<struct<`@type` string, userInteractionCount string>>")
 
 
-def json_metrics(html: Column) -> Column:
-    """struct<total_views, subscriber_count> from JSON-LD or script objects, nulls when absent."""
+def json_object(html: Column) -> Column:
+    """First JSON-LD body or script object of a page that carries a known counter."""
     bodies = F.concat(ld_json(html), F.array(*[_one(html, p) for p in SCRIPT_OBJECTS]))
     objs = F.filter(F.transform(F.filter(bodies, lambda b: b.isNotNull()), lambda b: F.from_json(b, _LD_TYPE)),
                     lambda o: o["viewCount"].isNotNull() | o["subscriberCount"].isNotNull() | o["interactionStatistic"].isNotNull())
-    obj = F.try_element_at(objs, F.lit(1))
+    return F.when(_has(html, "<script"), F.try_element_at(objs, F.lit(1)))
+
 
+def _object_metrics(obj: Column) -> dict[str, Column]:
+    """Counters of a parsed object; direct properties before interaction statistics."""
     def stat(word: str) -> Column:
         hits = F.filter(F.coalesce(obj["interactionStatistic"], F.array().cast("array<struct<`@type`:string,userInteractionCount:string>>")),
                         lambda s: F.lower(s["@type"]).contains(word))
         counts = F.filter(F.transform(hits, lambda s: S.parse_compact_number(s["userInteractionCount"])), lambda v: v > 0)
         return F.try_element_at(counts, F.lit(-1))
 
-    return F.struct(
-        F.coalesce(F.nullif(S.parse_compact_number(obj["viewCount"]), F.lit(0)), stat("view")).alias("total_views"),
-        F.coalesce(F.nullif(S.parse_compact_number(obj["subscriberCount"]), F.lit(0)), stat("subscribe")).alias("subscriber_count"))
+    return {"total_views": F.coalesce(F.nullif(S.parse_compact_number(obj["viewCount"]), F.lit(0)), stat("view")),
+            "subscriber_count": F.coalesce(F.nullif(S.parse_compact_number(obj["subscriberCount"]), F.lit(0)), stat("subscribe"))}
+
+
+def _any_counter(rows: DataFrame) -> DataFrame:
+    return rows.filter(F.col("total_views").isNotNull() | F.col("subscriber_count").isNotNull())
 
 
 def extract_json_ld(pages: DataFrame, html: str = "html") -> DataFrame:
     """Counters from structured data; pages without any drop out."""
     text = F.col(html)
-    rows = pages.filter(_has(text, "<script")).select(*PAGE_KEY, json_metrics(text).alias("m")).select(*PAGE_KEY, "m.*")
-    return rows.filter(F.col("total_views").isNotNull() | F.col("subscriber_count").isNotNull())
+    rows = pages.filter(_has(text, "<script")).select(*PAGE_KEY, _hold(json_object(text)).alias("_o"))
+    return _any_counter(rows.filter(F.col("_o").isNotNull()).select(*PAGE_KEY, *[c.alias(n) for n, c in _object_metrics(F.col("_o")).items()]))
 
 
 def extract_current_metrics(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -428,9 +444,11 @@ def extract_current_metrics(pages: DataFrame, html: str = "html") -> DataFrame:
     text = F.col(html)
     found = {name: F.when(_has(text, _CURRENT_WORD[name]), F.coalesce(*[_first_hit(text, p, S.parse_compact_number) for p in patterns]))
              for name, patterns in CURRENT_PATTERNS.items()}
-    rows = pages.select(*PAGE_KEY, json_metrics(text).alias("_j"), *[c.alias(n) for n, c in found.items()])
-    rows = rows.withColumns({n: F.coalesce(F.col(f"_j.{n}"), F.col(n)) for n in ("total_views", "subscriber_count")}).drop("_j")
-    return rows.filter(F.col("total_views").isNotNull() | F.col("subscriber_count").isNotNull())
+    parts = F.struct(json_object(text).alias("o"), *[c.alias(n) for n, c in found.items()])
+    rows = pages.select(*PAGE_KEY, _hold(parts).alias("_m"))
+    stated = _object_metrics(F.col("_m.o"))
+    return _any_counter(rows.select(
+        *PAGE_KEY, *[F.coalesce(stated[n], F.col(f"_m.{n}")).alias(n) if n in stated else F.col(f"_m.{n}").alias(n) for n in CURRENT_PATTERNS]))
 
 
 def chart_text(pages: DataFrame, html: str = "html") -> DataFrame:
@@ -439,8 +457,8 @@ def chart_text(pages: DataFrame, html: str = "html") -> DataFrame:
     cut = None
     for name, fn in _TEXT.items():
         cut = F.when(lib == name, fn(text)) if cut is None else cut.when(lib == name, fn(text))
-    rows = pages.withColumn("library", S.detect_chart_library(html))
-    return rows.select(*PAGE_KEY, "library", cut.alias("_a")).filter(F.size("_a") > 0)
+    rows = pages.select(*PAGE_KEY, html, _hold(S.detect_chart_library(html)).alias("library"))
+    return rows.select(*PAGE_KEY, "library", _hold(cut).alias("_a")).filter(F.size("_a") > 0)
 
 
 def extract_points(pages: DataFrame, html: str = "html", materialize: bool = False) -> DataFrame:
