@@ -237,10 +237,10 @@ def _(spark, sf):
     return W.winsorize(X.full_panel(spark, sf), "median").select("channel", "week", "delta_views_orig", F.round("delta_views", 4).alias("delta_views"))
 
 
-@query("e23_junction_regression", f"""WITH f AS (SELECT channel, regr_slope(views, x) AS b, regr_intercept(views, x) AS a FROM (SELECT *, week - DATE '1970-01-01' AS x FROM panel)
+@query("e23_junction_regression", f"""WITH f AS (SELECT channel, regr_slope(views, x) AS b, avg(views) AS a, avg(x) AS m FROM (SELECT *, week - DATE '1970-01-01' AS x FROM panel)
  WHERE week BETWEEN DATE '{X.J1}' - 28 AND DATE '{X.J1}' - 1 GROUP BY channel)
 SELECT channel, week, actual, round(predicted, 3) AS predicted, round(CASE WHEN predicted > 0 THEN abs(actual - predicted) / predicted * 100 END, 4) AS variance_pct
- FROM (SELECT p.channel, week, views AS actual, a + b * (week - DATE '1970-01-01') AS predicted FROM panel p JOIN f ON f.channel = p.channel
+ FROM (SELECT p.channel, week, views AS actual, a + b * (week - DATE '1970-01-01' - m) AS predicted FROM panel p JOIN f ON f.channel = p.channel
  WHERE week BETWEEN DATE '{X.J1}' AND DATE '{X.J1}' + 28) WHERE predicted IS NOT NULL AND NOT isnan(predicted)""", "panel")
 def _(spark, sf):
     return J.junction_regression(X.panel(spark, sf), X.J1).select(
@@ -299,12 +299,12 @@ def _(spark, sf):
     return W.activity_status(rows, active=1, dormant=2).select("channel", "week", "weeks_since_upload", "activity")
 
 
-@query("e31_trend_deviation", f"""SELECT channel, week, round(dev, 4) AS trend_deviation, dev > 0.2 AS trend_outlier, step > 0.25 AS step_outlier FROM (SELECT channel, week,
- abs(views - (a + b * x)) / NULLIF(abs(a + b * x), 0) AS dev, COALESCE(CASE WHEN p > 0 THEN abs(views - p) / p END, 0) AS step
- FROM (SELECT *, regr_slope(views, x) OVER (PARTITION BY channel) AS b, regr_intercept(views, x) OVER (PARTITION BY channel) AS a, lag(views) OVER ({_P}) AS p
+@query("e31_trend_deviation", f"""SELECT channel, week, round(dev, 3) AS trend_deviation, dev > 0.2 AS trend_outlier, step > 0.25 AS step_outlier FROM (SELECT channel, week,
+ abs(views - (a + b * (x - m))) / NULLIF(abs(a + b * (x - m)), 0) AS dev, COALESCE(CASE WHEN p > 0 THEN abs(views - p) / p END, 0) AS step
+ FROM (SELECT *, regr_slope(views, x) OVER (PARTITION BY channel) AS b, avg(views) OVER (PARTITION BY channel) AS a, avg(x) OVER (PARTITION BY channel) AS m, lag(views) OVER ({_P}) AS p
  FROM (SELECT *, week - DATE '1970-01-01' AS x FROM panel)))""", "panel")
 def _(spark, sf):
-    return W.trend_deviation(X.panel(spark, sf)).select("channel", "week", F.round("trend_deviation", 4).alias("trend_deviation"), "trend_outlier", "step_outlier")
+    return W.trend_deviation(X.panel(spark, sf)).select("channel", "week", F.round("trend_deviation", 3).alias("trend_deviation"), "trend_outlier", "step_outlier")
 
 
 for _unit in ("month", "quarter"):

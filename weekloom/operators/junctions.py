@@ -85,8 +85,8 @@ def junction_regression(df: DataFrame, day: date, weeks: int = 4, metric: str =
     w = whole(key)
     rows = df.filter(_inside(t, lo, hi)).select(key, t, metric).withColumns({
         "_slope": F.regr_slope(F.when(pre, F.col(metric)), x).over(w),
-        "_icept": F.regr_intercept(F.when(pre, F.col(metric)), x).over(w)})
-    fit = F.col("_icept") + F.col("_slope") * x
+        "_mean": F.avg(F.when(pre, F.col(metric))).over(w), "_mid": F.avg(F.when(pre, x)).over(w)})
+    fit = F.col("_mean") + F.col("_slope") * (x - F.col("_mid"))
     return (rows.filter(~pre).withColumn("predicted", fit).filter(F.col("predicted").isNotNull())
             .select(key, t, F.col(metric).alias("actual"), "predicted",
                     F.when(F.col("predicted") > 0, F.abs(F.col(metric) - F.col("predicted"))

@@ -215,15 +215,15 @@ def trend_deviation(df: DataFrame, thr: float = 0.20, pct: float = 0.25, metric:
     w = whole(key)
     x = F.unix_date(F.col(t))
     p = prev(metric, key, t)
-    rows = df.withColumns({"_slope": F.regr_slope(F.col(metric), x).over(w),
-                           "_icept": F.regr_intercept(F.col(metric), x).over(w),
+    rows = df.withColumns({"_slope": F.regr_slope(F.col(metric), x).over(w), "_mean": F.avg(metric).over(w), "_mid": F.avg(x).over(w),
                            "_step": S.ratio(F.abs(F.col(metric) - p), p)})
-    fit = F.col("_icept") + F.col("_slope") * x
+    # around the means: an intercept at day 0 lies far outside the data and would cost digits
+    fit = F.col("_mean") + F.col("_slope") * (x - F.col("_mid"))
     dev = F.when(fit != 0, F.abs(F.col(metric) - fit) / F.abs(fit))
     return rows.withColumn("trend_deviation", dev).withColumns({
         "trend_outlier": F.coalesce(F.col("trend_deviation") > thr, F.lit(False)),
         "step_outlier": F.col("_step") > pct,
-    }).drop("_slope", "_icept", "_step")
+    }).drop("_slope", "_mean", "_mid", "_step")
 
 
 def point_flags(obs: DataFrame, key="channel", t="week") -> DataFrame:
