@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import exact_dedup, mixing
+from weekloom.llm import decontaminate, exact_dedup, mixing, pii
 from weekloom.llm.common import table
 from weekloom.llm.registry import query
 
@@ -48,3 +48,68 @@ def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     mix = mixing.mixed(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", F.col("mix_size").alias("size"), F.col("mix_source_size").alias("source_size"), F.col("mix_target").alias("target"),
                       (F.col("mix_size") * F.col("mix_copies")).alias("taken"))
+
+
+SQL_ALNUM = f"list_filter(regexp_split_to_array({SQL_LOWER.format("coalesce(text, '')")}, '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'), lambda x: x <> '')"
+
+SQL_HITS = f"""
+dw AS (SELECT row_number() OVER () AS r, doc_id, {SQL_ALNUM} AS ws FROM documents),
+iw AS (SELECT CAST(item_id AS VARCHAR) AS item, {SQL_ALNUM} AS ws FROM benchmark),
+win AS (SELECT DISTINCT item, array_to_string(ws[i:i + 9], ' ') AS w, len(ws[i:i + 9]) AS n
+  FROM (SELECT item, ws, unnest(range(1, greatest(len(ws) - 9, 1) + 1)) AS i FROM iw WHERE len(ws) > 0)),
+place AS (SELECT r, i, k, array_to_string(ws[i:i + k - 1], ' ') AS w
+  FROM (SELECT r, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM dw, (SELECT DISTINCT n AS k FROM win) WHERE len(ws) >= k)),
+hit AS (SELECT r, i, k, item FROM place JOIN win ON place.k = win.n AND place.w = win.w),
+n_hits AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + k)) AS p FROM (SELECT DISTINCT r, i, k FROM hit)) GROUP BY 1),
+n_items AS (SELECT r, count(DISTINCT item) AS n_items, string_agg(DISTINCT item, ',' ORDER BY item) AS items FROM hit GROUP BY 1)"""
+
+
+@query("op3_decontaminate", f"""
+WITH {SQL_HITS}
+SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+ coalesce(n_hit, 0) > 0 AS contaminated FROM dw LEFT JOIN n_hits USING (r) LEFT JOIN n_items USING (r)""")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.select(F.col("id").alias("doc_id"), "n_words", "n_hit", F.size("item_list").cast("long").alias("n_items"),
+                        F.sha2(F.array_join("item_list", ","), 256).alias("items_sha256"), (F.col("n_hit") > 0).alias("contaminated"))
+
+
+def _sql_kind(order: int, kind: str, pattern: str, valid: str) -> str:
+    """Spans of one kind: starts are the lengths of all parts and matches before."""
+    return f"""SELECT r, {order} AS ord, '{kind}' AS kind, start, start + length(m) AS finish FROM (
+ SELECT r, found[i] AS m, list_sum(list_transform(parts[1:i], lambda x: length(x))) + coalesce(list_sum(list_transform(found[1:i - 1], lambda x: length(x))), 0) AS start
+ FROM (SELECT r, parts, found, unnest(range(1, len(found) + 1)) AS i
+  FROM (SELECT r, regexp_split_to_array(t, '{pattern}') AS parts, regexp_extract_all(t, '{pattern}') AS found FROM d) WHERE len(found) > 0)) WHERE {valid}"""
+
+
+_DIGITS = "regexp_replace(m, '[^0-9]', '', 'g')"
+_LUHN = (f"list_sum(list_transform(range(1, length({_DIGITS}) + 1), lambda i: CASE WHEN (length({_DIGITS}) - i) % 2 = 1 THEN "
+         f"CAST({_DIGITS}[i] AS INT) * 2 - CASE WHEN CAST({_DIGITS}[i] AS INT) > 4 THEN 9 ELSE 0 END ELSE CAST({_DIGITS}[i] AS INT) END)) % 10 = 0")
+_BARE = "replace(m, ' ', '')"
+_MOD97 = (f"list_reduce(list_concat([CAST(0 AS BIGINT)], list_transform(string_split(substr({_BARE}, 5) || substr({_BARE}, 1, 4), ''), lambda c: "
+          f"CAST(CASE WHEN c BETWEEN '0' AND '9' THEN ascii(c) - 48 ELSE ascii(c) - 55 END AS BIGINT))), lambda a, v: (a * CASE WHEN v > 9 THEN 100 ELSE 10 END + v) % 97) = 1")
+SQL_PII = " UNION ALL ".join([
+    _sql_kind(0, "email", r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+", "TRUE"),
+    _sql_kind(1, "ip", r"[0-9]+(?:\.[0-9]+)(?:\.[0-9]+)(?:\.[0-9]+)", "list_max(list_transform(string_split(m, '.'), lambda x: CAST(x AS HUGEINT))) <= 255"),
+    _sql_kind(2, "card", r"[0-9](?:[\x20-]?[0-9])+", f"length({_DIGITS}) BETWEEN 12 AND 19 AND {_LUHN}"),
+    _sql_kind(3, "phone", r"\+[0-9][\x20().0-9-]+[0-9]", f"length({_DIGITS}) BETWEEN 9 AND 15"),
+    _sql_kind(4, "iban", r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]{4}){2,7}(?:\x20?[A-Z0-9]{1,3})?", f"length({_BARE}) >= 15 AND {_MOD97}"),
+])
+
+
+@query("op5_pii", f"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+s AS ({SQL_PII}),
+g AS (SELECT r, count(*) FILTER (ord = 0) AS n_email, count(*) FILTER (ord = 1) AS n_ip, count(*) FILTER (ord = 2) AS n_card, count(*) FILTER (ord = 3) AS n_phone,
+ string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, ord) FILTER (ord < 4) AS base,
+ string_agg(kind || ':' || start || ':' || finish, ',' ORDER BY start, ord) AS spans FROM s GROUP BY 1)
+SELECT doc_id, coalesce(n_email, 0) AS n_email, coalesce(n_ip, 0) AS n_ip, coalesce(n_card, 0) AS n_card, coalesce(n_phone, 0) AS n_phone,
+ sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN g USING (r)""")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_pii(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "pii")
+    base = {k.name for k in pii.KINDS if k.base}
+
+    def count(name: str):
+        return F.size(F.filter("pii", lambda s: s["kind"] == name)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
+                        F.sha2(pii.span_list(F.filter("pii", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"), pii.span_list(F.col("pii")).alias("spans"))
