@@ -1,7 +1,8 @@
 """Chat formatting of reply trees.
 
 Method: messages name their parent. Self-joins that double their reach (2, 4, 8, ... steps up) find every
-leaf's distance to its root and the sum of scores on the way, so a tree of depth d takes log2(d) joins.
+message's distance to its root and the sum of scores on the way, so a tree of depth d takes log2(d) joins;
+messages that have reached their root take no part in the next one.
 Leaves are ranked within their tree by mean score; the chosen paths are expanded by the same tables and
 each is formatted as one conversation.
 
@@ -113,27 +114,30 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     """
     base = messages.select("conv", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = base.select(F.col("conv").alias("pc"), F.col("node").alias("pn"))
-    level = stored(base.join(known, _same(base["conv"], F.col("pc")) & (base["parent"] == F.col("pn")), "left")
+    # steps and total count the messages from the node up to, but not including, ``up``; without ``up`` they are whole
+    state = stored(base.join(known, _same(base["conv"], F.col("pc")) & (base["parent"] == F.col("pn")), "left")
                    .select("conv", "node", F.col("pn").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "replies")
-    levels = [level]
+    done, live, levels = state.filter("up IS NULL"), state.filter("up IS NOT NULL"), []
     largest = base.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    # a node's row: the ancestor 2^k steps up, if any; the steps and scores up to it or, once the root is passed, of the whole way
-    for _ in range(max(0, int(largest - 1).bit_length())):
-        if level.filter("up IS NOT NULL").isEmpty():
+    for _ in range(int(largest).bit_length()):
+        if live.isEmpty():
             break
-        above = level.select(F.col("conv").alias("ac"), F.col("node").alias("an"), F.col("up").alias("a_up"), F.col("steps").alias("a_steps"), F.col("total").alias("a_total"))
-        level = stored(level.join(above, _same(level["conv"], F.col("ac")) & (level["up"] == F.col("an")), "left")
-                       .select("conv", "node", F.col("a_up").alias("up"), (F.col("steps") + F.coalesce("a_steps", F.lit(0))).alias("steps"), (F.col("total") + F.coalesce("a_total", F.lit(0.0))).alias("total")), "reach")
-        levels.append(level)
-    # nodes that still have an ancestor are on or under a cycle and have no root
-    parents = levels[0].filter("up IS NOT NULL").select(F.col("conv").alias("pc"), F.col("up").alias("pn")).distinct()
-    leaves = level.filter("up IS NULL").join(parents, _same(level["conv"], F.col("pc")) & (level["node"] == F.col("pn")), "left_anti")
+        levels.append(live)                                      # ``up`` is 2^k steps above the node
+        above = done.unionByName(live).select(F.col("conv").alias("ac"), F.col("node").alias("an"), F.col("up").alias("a_up"), F.col("steps").alias("a_steps"), F.col("total").alias("a_total"))
+        state = stored(live.join(above, _same(live["conv"], F.col("ac")) & (live["up"] == F.col("an")))
+                       .select("conv", "node", F.col("a_up").alias("up"), (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("total") + F.col("a_total")).alias("total")), "reach")
+        done, live = done.unionByName(state.filter("up IS NULL")), state.filter("up IS NOT NULL")
+    # nodes that are still live are on a cycle or below one and have no root
+    leaves = done
+    if levels:
+        parents = levels[0].select(F.col("conv").alias("pc"), F.col("up").alias("pn")).distinct()
+        leaves = done.join(parents, _same(done["conv"], F.col("pc")) & (done["node"] == F.col("pn")), "left_anti")
     scored = leaves.select("conv", F.col("node").alias("leaf"), F.col("steps").alias("depth"), (F.col("total") / F.col("steps")).alias("mean_score"))
     rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("mean_score"), F.desc("depth"), "leaf"))
     best = stored(scored.withColumn("rank", rank).filter(F.col("rank") <= branches), "leaves")
     path = best.withColumn("node", F.col("leaf")).withColumn("place", F.lit(0).cast("long"))
     for k in reversed(range(len(levels))):
-        up = levels[k].filter("up IS NOT NULL").select(F.col("conv").alias("uc"), F.col("node").alias("un"), "up")
+        up = levels[k].select(F.col("conv").alias("uc"), F.col("node").alias("un"), "up")
         higher = path.join(up, _same(path["conv"], F.col("uc")) & (path["node"] == F.col("un"))).select(
             "conv", "leaf", "depth", "mean_score", "rank", F.col("up").alias("node"), (F.col("place") + (1 << k)).alias("place"))
         path = stored(path.unionByName(higher), "paths")

@@ -14,12 +14,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import ascii_lower, stored, text_key
+from weekloom.llm.common import BITMAP_BITS, ascii_lower, bitmap_of, in_bitmap, stored, text_key
 
 WINDOW, SHINGLE = 10, 3
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
-#: log2 of the bits of the shingle bitmap: 2^17 words of 8 bytes, 1 MB, whatever the benchmark's size. A full bitmap costs time, not results.
-BITMAP_BITS = 20
 
 
 def words(text: Column) -> Column:
@@ -50,32 +48,16 @@ def window_shingles(wins: DataFrame, sizes: list[int]) -> DataFrame:
     return out
 
 
-def _bitmap(shingles: DataFrame, bits: int) -> Column:
-    """Literal array of 2^bits / 64 longs. Only words with a bit set come to the driver, at most 2^bits / 64 of them."""
-    slot = F.col("h").bitwiseAND(F.lit((1 << bits) - 1))
-    rows = (shingles.select(F.shiftright(slot, 6).alias("word"), F.call_function("shiftleft", F.lit(1).cast("long"), slot.bitwiseAND(F.lit(63)).cast("int")).alias("bit"))
-            .groupBy("word").agg(F.bit_or("bit").alias("bits")).collect())
-    table = ["0"] * (1 << bits >> 6)
-    for r in rows:
-        table[r.word] = str(r.bits)
-    return F.split(F.lit(",".join(table)), ",").cast("array<bigint>")
-
-
 def _positions(ws: Column, k: int, bitmap: Column, bits: int, window: int) -> Column:
     """Array of struct(pos, h, left, ctx) of the positions whose shingle of k words may be the benchmark's."""
     reach = window - 1
 
-    def known(h: Column) -> Column:
-        slot = h.bitwiseAND(F.lit((1 << bits) - 1))
-        word = F.get(bitmap, F.shiftright(slot, 6).cast("int"))
-        return F.call_function("shiftright", word, slot.bitwiseAND(F.lit(63)).cast("int")).bitwiseAND(F.lit(1).cast("long")) == 1
-
     def context(p: Column) -> Column:
         left = F.least(p, F.lit(reach))
         return F.struct(p.alias("pos"), _hash(ws, p, k).alias("h"), left.alias("left"), F.slice(ws, p - left + 1, left + k + reach).alias("ctx"))
 
     at = F.when(F.size(ws) >= k, F.sequence(F.lit(0), F.size(ws) - k)).otherwise(F.expr("CAST(array() AS array<int>)"))
-    return F.transform(F.filter(at, lambda p: known(_hash(ws, p, k))), context)
+    return F.transform(F.filter(at, lambda p: in_bitmap(_hash(ws, p, k), bitmap, bits)), context)
 
 
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE, bits: int = BITMAP_BITS, id_col: str = "doc_id",
@@ -97,7 +79,7 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         return base.select("id", "text_key", F.size("ws").cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_hit"),
                            F.expr("CAST(array() AS array<string>)").alias("item_list"))
     shingles = stored(window_shingles(wins, sizes), "window-shingles")
-    bitmap = _bitmap(shingles, bits)
+    bitmap = bitmap_of(shingles, "h", bits)
     found = F.concat(*[_positions(F.col("ws"), k, bitmap, bits, window) for k in sizes])
     marked = stored(base.select("id", "text_key", F.size("ws").cast("long").alias("n_words"), found.alias("found")), "marked")
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import decontaminate, exact_dedup, mixing, pii
+from weekloom.llm import decontaminate, exact_dedup, mixing, near_dedup, pii
 from weekloom.llm.common import table
 from weekloom.llm.registry import query
 
@@ -113,3 +113,25 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
         return F.size(F.filter("pii", lambda s: s["kind"] == name)).cast("long")
     return found.select("doc_id", *[count(k).alias(f"n_{k}") for k in ("email", "ip", "card", "phone")],
                         F.sha2(pii.span_list(F.filter("pii", lambda s: s["kind"].isin(*base))), 256).alias("base_sha256"), pii.span_list(F.col("pii")).alias("spans"))
+
+
+def sql_near(docs: str, words: int, percent: int) -> str:
+    """CTEs: ``comp``(r, component_id) over ``docs``(r, doc_id, text), by all pairs that share a shingle."""
+    norm = SQL_LOWER.format("coalesce(text, '')")
+    return f"""
+nw AS (SELECT r, list_filter(regexp_split_to_array({norm}, '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS ws FROM {docs}),
+sh AS (SELECT DISTINCT r, array_to_string(ws[i:i + {words - 1}], ' ') AS s
+  FROM (SELECT r, ws, unnest(range(1, greatest(len(ws) - {words - 1}, 1) + 1)) AS i FROM nw WHERE len(ws) > 0)),
+sz AS (SELECT r, count(*) AS n FROM sh GROUP BY 1),
+shared AS (SELECT a.r AS a, b.r AS b, count(*) AS c FROM sh a JOIN sh b ON a.s = b.s AND a.r < b.r GROUP BY 1, 2),
+link AS (SELECT a, b FROM shared JOIN sz x ON x.r = a JOIN sz y ON y.r = b WHERE 100 * c >= {percent} * (x.n + y.n - c)),
+reach AS (SELECT r, r AS o FROM nw UNION SELECT reach.r, CASE WHEN o = a THEN b ELSE a END FROM reach JOIN link ON o = a OR o = b),
+comp AS (SELECT reach.r, min(d.doc_id) AS component_id FROM reach JOIN {docs} d ON d.r = o GROUP BY 1)"""
+
+
+@query("op2_near_dedup", f"""
+WITH RECURSIVE d AS (SELECT row_number() OVER () AS r, doc_id, text FROM documents), {sql_near("d", 3, 85)}
+SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id AS kept FROM d JOIN comp USING (r) LEFT JOIN sz USING (r)""")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")

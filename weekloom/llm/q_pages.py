@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import chat, url_filter
+from weekloom.llm import chat, url_filter, warc
 from weekloom.llm.common import table
 from weekloom.llm.registry import query
 
@@ -43,3 +43,19 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     planted = spark.createDataFrame([(-1, 0, "user", control), (-1, 1, "assistant", control)], "conv_id long, turn long, role string, text string")
     done = chat.format_trees(chat.thread_of(given.unionByName(planted)))
     return done.select(F.col("conv").alias("conv_id"), chat.read_back("formatted", "loss").alias("d")).select("conv_id", "d.*")
+
+
+#: Base32 of a SHA-1 in hex: five hex digits are four characters.
+_SQL_BASE32 = """array_to_string(list_transform(range(0, 32), lambda i:
+ substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(hex, 5 * (i // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '')"""
+
+
+@query("op10_warc", f"""
+WITH p AS (SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex, coalesce(html, '') AS h FROM pages),
+m AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM p)
+SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_SQL_BASE32} AS payload_digest, CASE WHEN page_id > first THEN 'revisit' ELSE 'response' END AS record_type,
+ CASE WHEN page_id > first THEN first END AS refers_to FROM m""")
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    found = warc.read_archive(warc.write_archive(pages, warc.archive_folder(pages)))
+    return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
