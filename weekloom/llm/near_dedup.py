@@ -38,7 +38,7 @@ SIGMAS = 4.75
 BLOCK = 512
 #: Leader pairs of a class that are checked before the blocks, best sketches first; the blocks look at all others.
 FIRST = 3
-WORDS_KEPT = 1 << 20
+WORDS_KEPT = 1 << 17
 
 
 def rows_per_band(similarity: float, bands: int = BANDS, miss: float = MISS) -> int:
@@ -83,17 +83,18 @@ def shingle_hashes(text: bytes | None, words: int, cache: dict) -> np.ndarray:
     return np.unique(x)
 
 
-def _coefficients(samples: int) -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.default_rng(20240607)
-    return rng.integers(0, 1 << 32, samples, dtype=np.uint32) | np.uint32(1), rng.integers(0, 1 << 32, samples, dtype=np.uint32)
+def _multipliers(samples: int) -> np.ndarray:
+    return np.random.default_rng(20240607).integers(0, 1 << 32, samples, dtype=np.uint32) | np.uint32(1)
 
 
-def minhash(shingles: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+def minhash(shingles: np.ndarray, a: np.ndarray) -> np.ndarray:
+    """Minimum of each multiple of the mixed hashes; a few shingles at a time stay in the cache."""
     x = ((shingles * U(0xD6E8FEB86659FD93)) >> U(32)).astype(np.uint32)
-    low = None
-    for at in range(0, len(x), 512):
-        part = (x[None, at : at + 512] * a[:, None] + b[:, None]).min(axis=1)
-        low = part if low is None else np.minimum(low, part)
+    low, room = np.full(len(a), 0xFFFFFFFF, dtype=np.uint32), np.empty((64, len(a)), dtype=np.uint32)
+    for at in range(0, len(x), 64):
+        part = x[at : at + 64]
+        product = np.multiply(part[:, None], a[None, :], out=room[: len(part)])
+        np.minimum(low, product.min(axis=0), out=low)
     return low
 
 
@@ -118,7 +119,7 @@ SKETCHED = T.StructType([T.StructField("n", T.LongType()), T.StructField("node",
 
 
 def _sketcher(words: int, samples: int, bits: int, bands: int, rows: int) -> Callable:
-    a, b = _coefficients(samples)
+    a = _multipliers(samples)
     cache = _Words()
 
     @F.arrow_udf(SKETCHED)
@@ -133,7 +134,7 @@ def _sketcher(words: int, samples: int, bits: int, bands: int, rows: int) -> Cal
                 odd.append(None)
                 continue
             node.append(xxhash.xxh3_128_digest(s.tobytes()))
-            sample = minhash(s, a, b)
+            sample = minhash(s, a)
             band.append(band_hashes(sample, bands, rows))
             odd.append(odd_sketch(sample, bits))
         longs = pa.list_(pa.int64())
