@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import decontaminate, exact_dedup, mixing, near_dedup, pii
+from weekloom.llm import decontaminate, exact_dedup, lm_score, mixing, near_dedup, pii, toxicity
 from weekloom.llm.common import table
 from weekloom.llm.registry import query
 
@@ -135,3 +135,18 @@ SELECT doc_id, coalesce(n, 0) AS n_shingles, component_id, doc_id = component_id
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = near_dedup.near_duplicates(table(spark, sf_dir, "documents"), words=3, percent=85)
     return found.select(F.col("id").alias("doc_id"), "n_shingles", "component_id", "kept")
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = toxicity.score(docs, toxicity.fit(docs, table(spark, sf_dir, "labels")))
+    return scored.select("doc_id", F.coalesce(~toxicity.learnable("doc_id"), F.lit(False)).alias("held_out"), F.col("toxicity.score").alias("score")).withColumn(
+        "predicted", (F.col("score") >= 0.5).cast("int"))
+
+
+@query("op9_lm_score")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    scored = lm_score.score(docs, lm_score.labelled(docs, table(spark, sf_dir, "labels")), docs)
+    return scored.select("doc_id", "lm.*")
