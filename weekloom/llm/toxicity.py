@@ -31,7 +31,7 @@ from weekloom.llm.common import stored
 EXAMPLES, TELLING, FREQUENT = 2048, 512, 64
 #: Least number of examples with a term.
 LEAST = 5
-NEIGHBOURS, BLOCK, AT_ONCE = 10, 64, 8
+NEIGHBOURS, BLOCK, AT_ONCE = 10, 64, 16
 WORD = re.compile("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+")
 PREFIXES = (4, 5, 6)
 WORDS_KEPT = 1 << 18
@@ -102,11 +102,11 @@ class Index:
             blocks = blocks[bound[blocks] >= least - 1e-6]
             if not len(blocks) or bound[blocks[0]] <= 0:
                 break
-            dots = np.einsum("t,btj->bj", w, self.weights[blocks][:, at])
-            who = np.concatenate([who, (blocks[:, None] * BLOCK + np.arange(BLOCK)).ravel()])
-            score = np.concatenate([score, dots.ravel()])
-            keep = (score > 0) & (who != leave) & (who < len(self.labels))
-            who, score = who[keep], score[keep]
+            dots = w @ self.weights[blocks[:, None], at]
+            b, j = np.nonzero(dots >= max(least, 1e-300))
+            new = blocks[b] * BLOCK + j
+            ok = (new != leave) & (new < len(self.labels))
+            who, score = np.concatenate([who, new[ok]]), np.concatenate([score, dots[b, j][ok]])
             best = np.lexsort((who, -score))[:k]
             who, score = who[best], score[best]
         return who, score
