@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weekloom.llm.common import stored
+from weekloom.llm.common import bitmap_of, in_bitmap, stored
 
 U = np.uint64
 WORD_BITS, PAIR_BITS = 18, 21
@@ -147,6 +147,10 @@ def score(docs: DataFrame, target: DataFrame, background: DataFrame, text_col: s
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
-    """Documents with a label 1; an id whose labels differ counts as 1."""
-    good = labels.filter(F.col(label_col) == 1).select(id_col)
-    return docs.join(good, id_col, "left_semi")
+    """Documents with a label 1; an id whose labels differ counts as 1.
+
+    A bitmap of the ids drops most other documents at the scan, before the join shuffles texts.
+    """
+    good = labels.filter(F.col(label_col) == 1).select(F.col(id_col).cast(docs.schema[id_col].dataType).alias(id_col))
+    known = bitmap_of(good.select(F.xxhash64(id_col).alias("h")), "h")
+    return docs.filter(in_bitmap(F.xxhash64(id_col), known)).join(good, id_col, "left_semi")
