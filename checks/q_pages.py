@@ -152,8 +152,8 @@ def _counter_page(spark, sf):
     return _page(X.latest(spark, sf), html)
 
 
-@query("h9_extract_upload_count", f"""SELECT channel, '{STAMP}' AS snapshot_ts, videos AS upload_count FROM latest WHERE CAST(substr(channel, 2) AS BIGINT) % 6 <> 5 AND videos <= 100000
- UNION ALL SELECT channel, '{STAMP}', 404 FROM latest WHERE CAST(substr(channel, 2) AS BIGINT) % 6 = 5""", "latest")
+@query("h9_extract_upload_count", f"""SELECT channel, '{STAMP}' AS snapshot_ts, videos AS upload_count, videos <= 100000 AS in_range FROM latest WHERE CAST(substr(channel, 2) AS BIGINT) % 6 <> 5
+ UNION ALL SELECT channel, '{STAMP}', 404, true FROM latest WHERE CAST(substr(channel, 2) AS BIGINT) % 6 = 5""", "latest")
 def _(spark, sf):
     return E.extract_upload_count(_counter_page(spark, sf))
 

@@ -52,7 +52,7 @@ def _(spark, sf):
 @query("b4_parse_grouped_int", """SELECT l_orderkey, l_linenumber, txt, CASE WHEN n BETWEEN 0 AND 100000 THEN n END AS number
  FROM (SELECT *, TRY_CAST(regexp_replace(txt, '[^0-9]', '', 'g') AS BIGINT) AS n FROM number_texts)""", "number_texts")
 def _(spark, sf):
-    return _number_texts(spark, sf).withColumn("number", S.parse_grouped_int("txt"))
+    return _number_texts(spark, sf).withColumn("number", S.parse_grouped_int("txt", 0, 100_000))
 
 
 @query("b5_clean_numeric", """SELECT l_orderkey, l_linenumber, txt,
@@ -116,7 +116,7 @@ def _(spark, sf):
         "channel", S.map_status("privacy", F.coalesce("got", F.lit(False))).alias("status"))
 
 
-@query("b12_project_api_item", """SELECT concat('P', page_id) AS channel, url AS channel_name, substr(html, 1, 500) AS description,
+@query("b12_project_api_item", """SELECT concat('P', page_id) AS channel, url AS channel_name, html AS description,
  CASE WHEN url LIKE '@%' THEN url ELSE concat('@', url) END AS handle, '' AS country, page_id * 3 AS views, CAST(0 AS BIGINT) AS subs,
  CAST(0 AS BIGINT) AS videos, DATE '2012-03-04' AS created_date, 'public' AS privacy, page_id % 5 = 0 AS parse_failed FROM pages""")
 def _(spark, sf):

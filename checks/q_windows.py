@@ -168,7 +168,7 @@ def _(spark, sf):
 
 @query("e16_weekly_snapshots", """WITH w AS (SELECT *, CAST(date_trunc('week', strptime(timestamp, '%Y%m%d%H%M%S')) AS DATE) AS iso_week FROM snapshot_index WHERE statuscode = '200'),
 f AS (SELECT * FROM w QUALIFY row_number() OVER (PARTITION BY channel, iso_week ORDER BY timestamp, digest) = 1)
-SELECT channel, iso_week, timestamp, digest, original, statuscode FROM f QUALIFY row_number() OVER (PARTITION BY channel ORDER BY iso_week) <= 165""", "snapshot_index")
+SELECT channel, iso_week, timestamp, digest, original, statuscode FROM f""", "snapshot_index")
 def _(spark, sf):
     return R.weekly_snapshots(X.snapshot_index(spark, sf))
 
@@ -274,7 +274,7 @@ def _(spark, sf):
  FROM (SELECT *, CASE WHEN CAST(substr(channel, 2) AS BIGINT) % 6 = 1 THEN 100000 - videos ELSE videos * 4 END AS v FROM panel) GROUP BY channel))""", "panel")
 def _(spark, sf):
     rows = X.panel(spark, sf).withColumn("videos", F.expr("CASE WHEN CAST(substr(channel, 2) AS BIGINT) % 6 = 1 THEN 100000 - videos ELSE videos * 4 END"))
-    return W.upload_series_validity(rows)
+    return W.upload_series_validity(rows, max_count=50_000)
 
 
 @query("e29_point_flags", f"""SELECT channel, week, concat_ws('; ', CASE WHEN subs < 0 OR views < 0 THEN 'negative_values' END, CASE WHEN abs(ds) > subs * 0.5 THEN 'large_subscriber_change' END,

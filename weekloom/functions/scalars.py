@@ -42,10 +42,10 @@ def parse_compact_number(col: Column | str) -> Column:
     return (number * factor).try_cast("bigint")
 
 
-def parse_grouped_int(col: Column | str, lo: int = 0, hi: int = 100_000) -> Column:
-    """Keep the digits; a value outside [lo, hi] is null."""
+def parse_grouped_int(col: Column | str, lo: int = 0, hi: int | None = None) -> Column:
+    """Keep the digits; a value below ``lo``, or above ``hi`` if one is given, is null."""
     number = F.regexp_replace(_c(col).cast("string"), "[^0-9]", "").try_cast("bigint")
-    return F.when(number.between(lo, hi), number)
+    return F.when(number >= lo if hi is None else number.between(lo, hi), number)
 
 
 def clean_numeric(col: Column | str) -> Column:

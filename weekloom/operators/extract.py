@@ -64,13 +64,15 @@ _POINT = "array<struct<date_text:string,subs:bigint,views:bigint,longform_views:
 
 
 def _dygraph_text(html: Column) -> Column:
-    return F.when(_has(html, "data"), _all(html, r"(?si)data\s*:\s*\[\s*(\[.*?\])\s*,?\s*\]"))
+    named = _all(html, r"(?si)data\s*:\s*\[\s*(\[.*?\])\s*,?\s*\]")
+    placed = _all(html, r"(?si)new\s+Dygraph\s*\([^,\[]*,\s*\[\s*(\[.*?\])\s*,?\s*\]")
+    return F.when(_has(html, "data") | _has(html, "dygraph"), F.concat(named, placed))
 
 
 def _highcharts_text(html: Column) -> Column:
-    series = _all(_one(html, r"(?si)series\s*:\s*\[(.*)"), r"(?si)data\s*:\s*\[([\d,.\s]+)\]")
-    return F.when(html.contains("categories") & html.contains("series"),
-                  F.concat(F.array(_one(html, r"(?si)categories\s*:\s*\[(.*?)\]")), series))
+    # every array keeps its position, whatever it holds: numbers, nulls, or [time, value] pairs
+    series = _all(_one(html, r"(?si)series\s*:\s*\[(.*)"), r"(?si)data\s*:\s*\[((?:[^\[\]]|\[[^\[\]]*+\])*+)\]")
+    return F.when(html.contains("series"), F.concat(F.array(_one(html, r"(?si)categories\s*:\s*\[(.*?)\]")), series))
 
 
 def _plotly_text(html: Column) -> Column:
@@ -78,8 +80,10 @@ def _plotly_text(html: Column) -> Column:
 
 
 def _chartjs_text(html: Column) -> Column:
-    blob = _one(html, r"(?s)(?:chartData|graphData|data)\s*[:=]\s*(\{[^;]*?\"labels\"[^;]*\})\s*;")
-    return F.when(html.contains('"labels"'), F.array(blob))
+    """Everything that is assigned an object under a chart's name; the parser stops at the object's end."""
+    after = F.split(html, r"(?:chartData|graphData|data|__NEXT_DATA__)[\"']?\s*[:=]\s*(?=\{)", -1)
+    named = F.filter(F.slice(after, F.lit(2), F.greatest(F.size(after) - 1, F.lit(0))), lambda t: t.contains("labels"))
+    return F.when(html.contains("labels"), named)
 
 
 def _table_text(html: Column) -> Column:
@@ -110,8 +114,17 @@ def _text_at(i: int) -> Column:
     return F.try_element_at("_a", F.lit(i))
 
 
+_PAIR = r"\[\s*(-?[0-9]+)\s*,\s*([^\]]*?)\s*\]"
+
+
 def _highcharts_points() -> Column:
-    return _zip(_texts(_text_at(1)), _numbers(_text_at(2)), _numbers(_text_at(3)))
+    """Dates are the categories or, in the pair form, the first series' times in milliseconds."""
+    paired = F.coalesce(_text_at(2).contains("["), F.lit(False))
+
+    def values(text: Column) -> Column:
+        return F.when(text.contains("["), F.transform(_all(text, _PAIR, 2), lambda v: v.try_cast(_NUM))).otherwise(_numbers(text))
+    dates = F.when(paired, _all(_text_at(2), _PAIR)).otherwise(_texts(_text_at(1)))
+    return _zip(dates, values(_text_at(2)), values(_text_at(3)))
 
 
 def _plotly_points() -> Column:
@@ -125,7 +138,9 @@ _CHARTJS_TYPE = "labels array<string>, datasets array<struct<label string, data
 
 
 def _chartjs_points() -> Column:
-    chart = F.from_json(_text_at(1), _CHARTJS_TYPE)
+    lenient = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
+    read = F.transform("_a", lambda t: F.from_json(t, _CHARTJS_TYPE, lenient))
+    chart = F.try_element_at(F.filter(read, lambda c: (F.size(c["labels"]) > 0) & (F.size(c["datasets"]) > 0)), F.lit(1))
 
     def kind(label: Column) -> Column:
         name = F.lower(F.coalesce(label, F.lit("")))
@@ -277,8 +292,16 @@ def _table_rows(rows: DataFrame) -> DataFrame:
 def extract_data_attr(pages: DataFrame, attr: str = "data-subs", field: str = "subs", html: str = "html") -> DataFrame:
     """JSON list of (date, value) stored in an HTML attribute."""
     text = F.col(html)
-    items = F.from_json(_one(text, rf"(?s){attr}\s*=\s*'([^']*)'"), f"array<struct<date string, {field} double>>")
-    rows = pages.filter(text.contains(attr)).select(*PAGE_KEY, F.explode(items).alias("_p"))
+    return _attr_rows(pages.filter(text.contains(attr)).select(*PAGE_KEY, _hold(_attr_text(text, attr)).alias("_t")), field)
+
+
+def _attr_text(html: Column, attr: str) -> Column:
+    return F.when(html.contains(attr), _one(html, rf"(?s){attr}\s*=\s*'([^']*)'"))
+
+
+def _attr_rows(rows: DataFrame, field: str) -> DataFrame:
+    items = F.from_json("_t", f"array<struct<date string, {field} double>>")
+    rows = rows.select(*PAGE_KEY, F.explode(items).alias("_p"))
     return rows.filter(F.col("_p.date").isNotNull()).select(
         *PAGE_KEY, F.col("_p.date").alias("date_text"), F.col(f"_p.{field}").cast("bigint").alias(field),
         F.lit("data_attr").alias("extraction_method"))
@@ -345,11 +368,12 @@ def upload_count(html: Column) -> Column:
     return F.coalesce(*steps)
 
 
-def extract_upload_count(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One row per page that states an upload count in range."""
+def extract_upload_count(pages: DataFrame, html: str = "html", plausible: int = 100_000) -> DataFrame:
+    """One row per page that states an upload count; ``in_range`` is false above ``plausible``."""
     text = F.col(html)
     rows = pages.filter(_has(text, "upload") | _has(text, "video"))
-    return rows.select(*PAGE_KEY, _hold(upload_count(text)).alias("upload_count")).filter(F.col("upload_count").isNotNull())
+    rows = rows.select(*PAGE_KEY, _hold(upload_count(text)).alias("upload_count")).filter(F.col("upload_count").isNotNull())
+    return rows.withColumn("in_range", F.col("upload_count") <= plausible)
 
 
 # fixed values: patterns of the current counters, in order
@@ -458,13 +482,24 @@ def chart_text(pages: DataFrame, html: str = "html") -> DataFrame:
     for name, fn in _TEXT.items():
         cut = F.when(lib == name, fn(text)) if cut is None else cut.when(lib == name, fn(text))
     rows = pages.select(*PAGE_KEY, html, _hold(S.detect_chart_library(html)).alias("library"))
-    return rows.select(*PAGE_KEY, "library", _hold(cut).alias("_a")).filter(F.size("_a") > 0)
+    rows = rows.select(*PAGE_KEY, html, "library", _hold(cut).alias("_a"))
+    # a page whose chart gives no point falls back to the data attribute, then to its history table
+    readable = F.size("_a") > 0
+    for name, points in _POINTS.items():
+        readable = F.when(lib == name, F.size(points()) > 0).otherwise(readable)
+    attr = F.filter(F.array(_attr_text(text, "data-subs")), lambda t: t.isNotNull())
+    spare = F.when(F.size(attr) > 0, F.struct(F.lit("data_attr").alias("library"), attr.alias("_a"))).otherwise(
+        F.struct(F.lit("unknown").alias("library"), F.coalesce(_table_text(text), F.array().cast("array<string>")).alias("_a")))
+    own = F.struct("library", "_a")
+    picked = rows.select(*PAGE_KEY, _hold(F.when((lib != "unknown") & F.coalesce(readable, F.lit(False)), own).otherwise(spare)).alias("_c"))
+    return picked.select(*PAGE_KEY, "_c.library", "_c._a").filter(F.size("_a") > 0)
 
 
 def extract_points(pages: DataFrame, html: str = "html", materialize: bool = False) -> DataFrame:
     """All chart and table points of all pages, by the library each page uses.
 
-    A page without a known library falls back to its history table. ``materialize`` writes the
+    A page without a readable chart falls back to its data attribute or history table; such points
+    have ``low_quality`` set. ``materialize`` writes the
     chart texts to the checkpoint folder, so the pages are scanned once whatever is done next.
     """
     rows = chart_text(pages, html)
@@ -481,7 +516,11 @@ def extract_points(pages: DataFrame, html: str = "html", materialize: bool = Fal
     zipped = _explode_points(rows.filter(lib.isin(list(_POINTS))), points)
     dygraph = combine_series(raw, pick_series(series_profile(raw)))
     table = _table_rows(rows.filter(lib == "unknown"))
-    return zipped.unionByName(dygraph, allowMissingColumns=True).unionByName(table, allowMissingColumns=True)
+    listed = _attr_rows(rows.filter(lib == "data_attr").select(*PAGE_KEY, F.try_element_at("_a", F.lit(1)).alias("_t")), "subs")
+    out = zipped
+    for part in (dygraph, table, listed.withColumn("subs", F.coalesce("subs", F.lit(0).cast("bigint"))).withColumn("views", F.lit(0).cast("bigint"))):
+        out = out.unionByName(part, allowMissingColumns=True)
+    return out.withColumn("low_quality", F.col("extraction_method").isin("table", "data_attr"))
 
 
 def extract_errors(pages: DataFrame, points: DataFrame) -> DataFrame:

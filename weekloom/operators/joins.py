@@ -57,8 +57,12 @@ def remaining(entities: DataFrame, done: DataFrame, key: str = "channel") -> Dat
 
 
 def attach_metadata(df: DataFrame, entities: DataFrame, key: str = "channel") -> DataFrame:
-    """Set name and category from the entity table; missing metadata keeps the old values."""
+    """Set name and category from the entity table; missing metadata keeps the old values.
+
+    Of repeated entities the one with the largest name, then category counts; rows never multiply.
+    """
     meta = entities.select(key, F.col("channel_name").alias("_name"), F.col("category").alias("_category"))
+    meta = pick_best(meta, [key], [F.col("_name"), F.col("_category")])
     rows = df.join(meta, key, "left")
     old = F.col("channel_name") if "channel_name" in df.columns else F.lit("")
     return (rows.withColumns({"channel_name": F.coalesce("_name", old), "category": F.coalesce("_category", "category")})
@@ -67,7 +71,8 @@ def attach_metadata(df: DataFrame, entities: DataFrame, key: str = "channel") ->
 
 def resolve_source_key(entities: DataFrame, legacy: DataFrame, key: str = "channel") -> DataFrame:
     """Key to look an entity up with: legacy mapping, else its id, else the handle without ``@``."""
-    rows = entities.join(legacy.select(key, "legacy_key"), key, "left")
+    known = legacy.filter(F.col("legacy_key") != "").groupBy(key).agg(F.max("legacy_key").alias("legacy_key"))
+    rows = entities.join(known, key, "left")
     handle = F.regexp_replace(F.coalesce(F.col("handle"), F.lit("")), "^@", "")
     return rows.withColumn("source_key", F.coalesce(
         F.nullif("legacy_key", F.lit("")), F.nullif(key, F.lit("")), F.nullif(handle, F.lit(""))
@@ -206,7 +211,8 @@ def point_to_point_growth(df: DataFrame, entities: DataFrame | None, d1, d2, cat
     if entities is not None:
         if category is not None:
             entities = entities.filter(F.col("category") == category)
-        snaps = snaps.join(entities.select(key, "channel_name", "category"), key)
+        named = pick_best(entities.select(key, "channel_name", "category"), [key], [F.col("channel_name")])
+        snaps = snaps.join(named, key)
     carry = [] if entities is None else ["channel_name", "category"]
     start, end = F.col(f"_a.{metric}"), F.col(f"_b.{metric}")
     return (snaps.filter(start > 0)
@@ -220,7 +226,8 @@ def reconcile_current(df: DataFrame, current: DataFrame, key: str = "channel", t
     ends = df.groupBy(key).agg(
         F.count(F.lit(1)).alias("points"), F.min_by("subs", t).alias("first_subs"),
         F.max(F.struct(F.col(t), F.col("subs"), F.col("views"))).alias("_l"))
-    rows = ends.join(current.select(key, "current_subs", "current_views"), key, "left")
+    now = pick_best(current.select(key, "current_subs", "current_views"), [key], [F.col("current_subs"), F.col("current_views")])
+    rows = ends.join(now, key, "left")
     cs, cv = F.coalesce("current_subs", F.lit(0)), F.coalesce("current_views", F.lit(0))
     last_subs, last_views = F.col("_l.subs"), F.col("_l.views")
     subs_ratio = F.when(cs > 0, last_subs / cs.cast("double"))

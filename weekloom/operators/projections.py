@@ -91,10 +91,13 @@ def score_snapshots(idx: DataFrame, end, stamp="timestamp", status="statuscode")
     return idx.withColumn("coverage_score", S.score_snapshot(stamp, status, end))
 
 
-def project_api_item(items: DataFrame, item: str = "item") -> DataFrame:
-    """Flatten one list-response item: names, description cut to 500, counters default 0."""
+def project_api_item(items: DataFrame, item: str = "item", description_chars: int | None = None) -> DataFrame:
+    """Flatten one list-response item: names, description (cut only if asked to), counters default 0."""
     it = F.col(item)
     published = it["snippet"]["publishedAt"]
+    description = F.coalesce(it["snippet"]["description"], F.lit(""))
+    if description_chars is not None:
+        description = F.substring(description, 1, description_chars)
 
     def counter(name: str) -> Column:
         return F.coalesce(it["statistics"][name].try_cast("bigint"), F.lit(0).cast("bigint"))
@@ -102,7 +105,7 @@ def project_api_item(items: DataFrame, item: str = "item") -> DataFrame:
     return items.select(
         it["id"].alias("channel"),
         it["snippet"]["title"].alias("channel_name"),
-        F.substring(F.coalesce(it["snippet"]["description"], F.lit("")), 1, 500).alias("description"),
+        description.alias("description"),
         S.normalize_handle(it["snippet"]["customUrl"]).alias("handle"),
         F.coalesce(it["snippet"]["country"], F.lit("")).alias("country"),
         it["snippet"]["defaultLanguage"].alias("language"),

@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-_SMALL_GROUP = 10_000      # groups up to this size are ranked whole
 _BAND = 0.0005             # half width, in quantile units, of the band kept around a quantile
 _ACCURACY = 10_000         # rank error of the sketch is at most n / _ACCURACY
 
@@ -20,7 +19,8 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
     The built-in exact percentile keeps all distinct values of a group in one buffer. Here a
     mergeable sketch first brackets the quantile; rows outside the bracket collapse to one
     count per side before the shuffle and only the bracket (about 0.1 % of a large group) is
-    ranked. Equal values travel as one row with a count.
+    ranked. Equal values travel as one row with a count. Each side also keeps its value next to the
+    bracket, which a small group's rank may fall on; a rank further out fails the job.
     """
     rows = df.select(*keys, F.col(value).cast("double").alias("_v"),
                      F.pmod(F.xxhash64(value, *(spread or [])), F.lit(salts)).alias("_salt"),
@@ -29,16 +29,13 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
     sketch = rows.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"),
         F.percentile_approx("_v", [lo_p, hi_p], _ACCURACY).alias("_b"))
-    small = F.col("_n") <= _SMALL_GROUP
     bounds = sketch.select(
-        *keys, "_n",
-        F.when(small | F.lit(lo_p == 0.0), F.col("_min")).otherwise(F.col("_b")[0]).alias("_lo"),
-        F.when(small | F.lit(hi_p == 1.0), F.col("_max")).otherwise(F.col("_b")[1]).alias("_hi"))
+        *keys, "_n", (F.col("_min") if lo_p == 0.0 else F.col("_b")[0]).alias("_lo"), (F.col("_max") if hi_p == 1.0 else F.col("_b")[1]).alias("_hi"))
     bounds = bounds.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1)).cast("array<bigint>")))
     side = F.when(F.col("_v") < F.col("_lo"), -1).when(F.col("_v") > F.col("_hi"), 1).otherwise(0)
     counted = (rows.join(bounds, keys + ["_salt"])
-               .select(*keys, "_salt", "_n", side.alias("_side"), F.when(side == 0, F.col("_v")).alias("_v"))
-               .groupBy(*keys, "_salt", "_n", "_side", "_v").agg(F.count(F.lit(1)).alias("_c")))
+               .select(*keys, "_salt", "_n", side.alias("_side"), F.when(side == 0, F.col("_v")).alias("_v"), F.col("_v").alias("_x"))
+               .groupBy(*keys, "_salt", "_n", "_side", "_v").agg(F.count(F.lit(1)).alias("_c"), F.max("_x").alias("_top"), F.min("_x").alias("_bottom")))
     w = Window.partitionBy(*keys).orderBy("_side", "_v", "_salt").rowsBetween(Window.unboundedPreceding, 0)
     pos = (F.col("_n") - 1) * F.lit(float(p))
     ranked = counted.withColumn("_end", F.sum("_c").over(w))
@@ -47,6 +44,15 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, p: float = 0.5,
         return F.max(F.when((F.col("_side") == 0) & (F.col("_end") > rank)
                             & (F.col("_end") - F.col("_c") <= rank), F.col("_v")))
 
-    picked = ranked.groupBy(*keys, "_n").agg(at(F.floor(pos)).alias("_a"), at(F.ceil(pos)).alias("_z"))
+    low, high = F.col("_side") == -1, F.col("_side") == 1
+    picked = ranked.groupBy(*keys, "_n").agg(
+        at(F.floor(pos)).alias("_a"), at(F.ceil(pos)).alias("_z"),
+        F.max(F.when(low, F.col("_top"))).alias("_below"), F.coalesce(F.sum(F.when(low, F.col("_c"))), F.lit(0)).alias("_n_below"),
+        F.min(F.when(high, F.col("_bottom"))).alias("_above"), F.coalesce(F.sum(F.when(high, F.col("_c"))), F.lit(0)).alias("_n_above"))
+
+    def sure(found: Column, rank: Column) -> Column:
+        return F.coalesce(found, F.when(rank == F.col("_n_below") - 1, F.col("_below")), F.when(rank == F.col("_n") - F.col("_n_above"), F.col("_above")),
+                          F.raise_error(F.lit("a quantile's rank lies outside its bracket")).cast("double"))
+    picked = picked.select(*keys, "_n", sure(F.col("_a"), F.floor(pos)).alias("_a"), sure(F.col("_z"), F.ceil(pos)).alias("_z"))
     frac = pos - F.floor(pos)
     return picked.select(*keys, (F.col("_a") + (F.col("_z") - F.col("_a")) * frac).alias(out))

@@ -77,10 +77,12 @@ def position_in_key(df: DataFrame, key: str, order: list[str], bucket: Column) -
             .drop("_bucket", "_rn", "_before"))
 
 
-def spread_snapshots(idx: DataFrame, n: int = 10, key: str = "channel", stamp: str = "timestamp",
+def spread_snapshots(idx: DataFrame, n: int | None = 10, key: str = "channel", stamp: str = "timestamp",
                      tie: str = "digest") -> DataFrame:
-    """Of the status-200 snapshots of an entity keep about ``n`` spread evenly over its list."""
+    """Of the status-200 snapshots of an entity keep about ``n`` spread evenly over its list (None: all)."""
     ok = idx.filter(F.col("statuscode").cast("string") == "200")
+    if n is None:
+        return ok
     placed = position_in_key(ok, key, [stamp, tie], F.unix_date(S.parse_snapshot_ts(stamp).cast("date")))
     wanted = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
                          lambda i: F.floor(i * F.col("total") / F.lit(float(n))).cast("bigint"))
@@ -88,9 +90,9 @@ def spread_snapshots(idx: DataFrame, n: int = 10, key: str = "channel", stamp: s
             .drop("total"))
 
 
-def weekly_snapshots(idx: DataFrame, max_weeks: int = 165, key: str = "channel", stamp: str = "timestamp",
+def weekly_snapshots(idx: DataFrame, max_weeks: int | None = None, key: str = "channel", stamp: str = "timestamp",
                      tie: str = "digest") -> DataFrame:
-    """First status-200 snapshot of each ISO week, for the earliest ``max_weeks`` weeks."""
+    """First status-200 snapshot of each ISO week; only of the earliest ``max_weeks`` weeks if given."""
     day = S.parse_snapshot_ts(stamp).cast("date")
     monday = F.date_trunc("week", day).cast("date")
     rows = (idx.filter(F.col("statuscode").cast("string") == "200").filter(day.isNotNull())
@@ -98,15 +100,18 @@ def weekly_snapshots(idx: DataFrame, max_weeks: int = 165, key: str = "channel",
     rest = [c for c in idx.columns if c != key]
     first = rows.groupBy(key, "iso_week").agg(
         F.min(F.struct(stamp, tie, *[c for c in rest if c not in (stamp, tie)])).alias("_first"))
-    w = Window.partitionBy(key).orderBy("iso_week")
-    return (first.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_weeks)
-            .select(key, "iso_week", "_first.*"))
+    if max_weeks is not None:
+        w = Window.partitionBy(key).orderBy("iso_week")
+        first = first.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") <= max_weeks)
+    return first.select(key, "iso_week", "_first.*")
 
 
-def top_snapshots(idx: DataFrame, end, n: int = 3, key: str = "channel", stamp: str = "timestamp",
+def top_snapshots(idx: DataFrame, end, n: int | None = 3, key: str = "channel", stamp: str = "timestamp",
                   tie: str = "digest") -> DataFrame:
-    """Best ``n`` snapshots by coverage score above zero; ranked limits apply before the shuffle."""
+    """Best ``n`` snapshots by coverage score above zero (None: all, unranked); ranked limits apply before the shuffle."""
     scored = idx.withColumn("coverage_score", S.score_snapshot(stamp, "statuscode", end)).filter("coverage_score > 0")
+    if n is None:
+        return scored
     w = Window.partitionBy(key).orderBy(F.col("coverage_score").desc(), F.col(stamp).desc(), F.col(tie))
     return scored.withColumn("rank", F.row_number().over(w)).filter(F.col("rank") <= n)
 

@@ -72,7 +72,7 @@ def extrapolate_to_current(obs: DataFrame, current: DataFrame, as_of, step: int
     """
     last = obs.groupBy(key).agg(F.max(F.struct(F.col(t).alias("t"), F.col(value).alias("v"))).alias("l"))
     today = F.lit(as_of).cast("date")
-    rows = last.join(current.select(key, current_value), key)
+    rows = last.join(current.groupBy(key).agg(F.max(current_value).alias(current_value)), key)
     gap = F.datediff(today, F.col("l.t"))
     rise = F.col(current_value) - F.col("l.v")
     rows = rows.filter((gap > step) & (rise > 0)).withColumn("_n", F.floor((gap - 1) / F.lit(step)).cast("int"))

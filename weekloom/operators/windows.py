@@ -226,25 +226,25 @@ def trend_deviation(df: DataFrame, thr: float = 0.20, pct: float = 0.25, metric:
     }).drop("_slope", "_mean", "_mid", "_step")
 
 
-def point_flags(obs: DataFrame, key="channel", t="week") -> DataFrame:
-    """Flags of a chart point: negative values, large changes, all zero."""
+def point_flags(obs: DataFrame, key="channel", t="week", change: float = 0.5) -> DataFrame:
+    """Flags of a chart point: negative values, changes above ``change`` of the value, all zero."""
     rows = deltas(obs, ["subs", "views"], key, t)
     subs, views = F.col("subs"), F.col("views")
     return rows.withColumn("point_flags", S.messages(
         ((subs < 0) | (views < 0), "negative_values"),
-        (F.abs(F.col("delta_subs")) > subs * F.lit(0.5), "large_subscriber_change"),
-        (F.abs(F.col("delta_views")) > views * F.lit(0.5), "large_view_change"),
+        (F.abs(F.col("delta_subs")) > subs * F.lit(change), "large_subscriber_change"),
+        (F.abs(F.col("delta_views")) > views * F.lit(change), "large_view_change"),
         ((subs == 0) & (views == 0), "zero_values")))
 
 
-def upload_flags(obs: DataFrame, key="channel", t="obs_date", count="upload_count") -> DataFrame:
+def upload_flags(obs: DataFrame, key="channel", t="obs_date", count="upload_count", change: int = 1000) -> DataFrame:
     """Flags of an upload point; falls inside interpolated stretches are named separately."""
     rows = obs.withColumn("delta_uploads", F.coalesce(F.col(count) - prev(count, key, t), F.lit(0)).cast("bigint"))
     made = F.coalesce(F.col("interpolated"), F.lit(False)) if "interpolated" in obs.columns else F.lit(False)
     delta = F.col("delta_uploads")
     return rows.withColumn("quality_flags", S.messages(
         (made, "interpolated_data"), (F.col(count) < 0, "negative_uploads"),
-        (F.abs(delta) > 1000, "large_upload_change"),
+        (F.abs(delta) > change, "large_upload_change"),
         ((delta < 0) & made, "interpolated_decrease"), ((delta < 0) & ~made, "decreasing_uploads")))
 
 
@@ -259,11 +259,11 @@ def series_validity(obs: DataFrame, min_points: int = 100, key="channel", t="wee
                           & (F.col("drops") == 0))
 
 
-def upload_series_validity(obs: DataFrame, key="channel", t="week", count="videos") -> DataFrame:
-    """Per entity: last count not below 80 % of the first, maximum at most 50,000."""
+def upload_series_validity(obs: DataFrame, key="channel", t="week", count="videos", keep: float = 0.8, max_count: int | None = None) -> DataFrame:
+    """Per entity: last count not below ``keep`` of the first; maximum at most ``max_count`` if given."""
     out = obs.groupBy(key).agg(
         F.count(F.lit(1)).alias("points"), F.min_by(count, t).alias("first_count"),
         F.max_by(count, t).alias("last_count"), F.max(count).alias("max_count"))
-    reason = (F.when((F.col("points") > 1) & (F.col("last_count") < F.col("first_count") * F.lit(0.8)), F.lit("decreased"))
-              .when(F.col("max_count") > 50_000, F.lit("too_high")).otherwise(F.lit("ok")))
+    reason = (F.when((F.col("points") > 1) & (F.col("last_count") < F.col("first_count") * F.lit(keep)), F.lit("decreased"))
+              .when(F.col("max_count") > max_count if max_count is not None else F.lit(False), F.lit("too_high")).otherwise(F.lit("ok")))
     return out.withColumn("reason", reason).withColumn("valid", F.col("reason") == "ok")
