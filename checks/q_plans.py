@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from checks import fixtures as X
 from checks.q_pages import STAMP, mixed_pages
-from checks.q_reports import _OVER, _phases, _validated, log_lines
+from checks.q_reports import _OVER, SCORES_CTES, SCORES_SQL, _phases, _validated, log_lines
 from checks.q_windows import _P, _steps_sql
 from checks.registry import cte, joined, query, r6
 from weekloom import plans
@@ -59,11 +59,11 @@ def _(spark, sf):
     return out["panel"].select("channel", "week", "views", "data_quality_flag")
 
 
-@query("l2_assemble_final_scores", "SELECT count(DISTINCT channel) AS entities, CAST(1 AS BIGINT) AS complete FROM panel", "panel")
+@query("l2_assemble_final_scores", SCORES_SQL, *SCORES_CTES)
 def _(spark, sf):
     base, extra = _sources(spark, sf)
     out = PP.assemble_final(base, *extra, js=X.JUNCTIONS, as_of=date(2001, 11, 6), overrides=_OVER, conflicts="precedence")
-    return out["scores"].agg(F.count(F.lit(1)).alias("entities"), F.min("completeness").cast("bigint").alias("complete"))
+    return r6(out["scores"], "completeness", "continuity", "statistical", "temporal", "freshness", "score")
 
 
 _KIND = "CAST(substr(channel, 2) AS BIGINT) % 5"

@@ -205,6 +205,9 @@ cte("rule_hits", " UNION ALL ".join([
     _hits("weekly_granularity", "high", f"SELECT channel, COALESCE(g < 4 OR g > 10, false)::INTEGER AS h FROM (SELECT channel, week - lag(week) OVER ({_P}) AS g FROM full_panel)", 0),
     _hits("date_range", "critical", f"SELECT channel, {_RANGE} AS h FROM full_panel", 0),
     _hits("critical_completeness", "critical", "SELECT channel, (views IS NULL)::INTEGER + (subs IS NULL)::INTEGER AS h FROM full_panel", 0),
+    _hits("required_fields", "high", "SELECT channel, 0 AS h FROM full_panel", 0),
+    _hits("data_types", "medium", "SELECT channel, 0 AS h FROM full_panel", 0),
+    _hits("unique_weeks", "high", "SELECT channel, (row_number() OVER (PARTITION BY channel, week) > 1)::INTEGER AS h FROM full_panel", 0),
     _hits("important_completeness", "high", "SELECT channel, (category IS NULL)::INTEGER + (videos IS NULL)::INTEGER AS h FROM full_panel", 0),
     _hits("growth_rate_limits", "medium", "SELECT channel, sub_growth_hit::INTEGER + view_growth_hit::INTEGER + upload_hit::INTEGER AS h FROM limits", 1),
     _hits("outlier_detection", "low", """SELECT channel, delta_views_z_outlier::INTEGER + delta_subs_z_outlier::INTEGER AS h FROM zs
@@ -306,7 +309,7 @@ def _(spark, sf):
     return flatten_report(picked)
 
 
-@query("i7_composite_score", f"""WITH f AS (SELECT *, (views IS NOT NULL)::INTEGER + (subs IS NOT NULL)::INTEGER + (category IS NOT NULL)::INTEGER + (videos IS NOT NULL)::INTEGER AS full4 FROM full_panel),
+SCORES_SQL = f"""WITH f AS (SELECT *, (views IS NOT NULL)::INTEGER + (subs IS NOT NULL)::INTEGER + (category IS NOT NULL)::INTEGER + (videos IS NOT NULL)::INTEGER AS full4 FROM full_panel),
 b AS (SELECT f.channel, avg(full4 / 4.0) AS completeness, 1.0::DOUBLE - count_if(z.delta_views_z_outlier OR z.delta_subs_z_outlier OR i.delta_views_iqr_outlier OR i.delta_subs_iqr_outlier) / count(*) AS statistical,
  max(f.week) AS lw, arg_max(f.collection_source, f.week) AS ls FROM f JOIN zs z ON z.channel = f.channel AND z.week = f.week JOIN iqr i ON i.channel = f.channel AND i.week = f.week GROUP BY f.channel),
 t AS (SELECT channel, 1.0::DOUBLE - count_if(COALESCE(g < 4 OR g > 10, false)) / count(*) AS temporal FROM (SELECT channel, week - lag(week) OVER ({_P}) AS g FROM full_panel) GROUP BY channel),
@@ -315,7 +318,11 @@ c AS (SELECT b.channel, completeness, 1.0::DOUBLE - (SELECT count(*) FROM bad_en
  FROM (SELECT *, (DATE '2001-11-06' - lw) * 24.0 AS age, CASE ls WHEN 'VIEWSTATS' THEN 72.0 ELSE 24.0 END AS lim FROM b) b JOIN t ON t.channel = b.channel),
 s AS (SELECT *, completeness * 0.25 + continuity * 0.30 + statistical * 0.20 + temporal * 0.15 + freshness * 0.10 AS score FROM c)
 SELECT channel, round(completeness, 6) AS completeness, round(continuity, 6) AS continuity, round(statistical, 6) AS statistical, round(temporal, 6) AS temporal, round(freshness, 6) AS freshness, round(score, 6) AS score,
- CASE WHEN score >= 0.95 THEN 'excellent' WHEN score >= 0.85 THEN 'good' WHEN score >= 0.75 THEN 'fair' WHEN score >= 0.6 THEN 'poor' ELSE 'missing' END AS grade FROM s""", "full_panel", "zs", "iqr", "bad_entities")
+ CASE WHEN score >= 0.95 THEN 'excellent' WHEN score >= 0.85 THEN 'good' WHEN score >= 0.75 THEN 'fair' WHEN score >= 0.6 THEN 'poor' ELSE 'missing' END AS grade FROM s"""
+SCORES_CTES = ("full_panel", "zs", "iqr", "bad_entities")
+
+
+@query("i7_composite_score", SCORES_SQL, *SCORES_CTES)
 def _(spark, sf):
     out = Q.composite_score(X.full_panel(spark, sf), date(2001, 11, 6), X.JUNCTIONS)
     return r6(out, "completeness", "continuity", "statistical", "temporal", "freshness", "score")

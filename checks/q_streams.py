@@ -15,51 +15,78 @@ from weekloom.streaming import observations as SO
 from weekloom.streaming.stateful import stream_deltas
 
 
-def _append(df, name):
-    """Run an append stream into a parquet sink and read the result."""
+def _once(arrivals=()):
+    return arrivals or [lambda: None]
+
+
+def _append(df, name, arrivals=()):
+    """Run an append stream into a parquet sink, once after each arrival, and read the result.
+
+    Every run goes on from the checkpoint of the one before, so state and watermark are handed over.
+    """
     spark = df.sparkSession
     path = scratch(spark, name)
-    q = (df.writeStream.format("parquet").option("checkpointLocation", f"{path}-ckpt").outputMode("append")
-         .trigger(availableNow=True).start(path))
-    q.awaitTermination()
+    for arrive in _once(arrivals):
+        arrive()
+        q = (df.writeStream.format("parquet").option("checkpointLocation", f"{path}-ckpt").outputMode("append")
+             .trigger(availableNow=True).start(path))
+        q.awaitTermination()
     return spark.read.schema(df.schema).parquet(path)
 
 
-def _update(df, name, keys):
+def _update(df, name, keys, arrivals=()):
     """Run an update stream; each batch lands in its own folder and the newest row per key counts."""
     spark = df.sparkSession
     path = scratch(spark, name)
-    q = (df.writeStream.foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{path}/batch={i}"))
-         .option("checkpointLocation", f"{path}-ckpt").outputMode("update").trigger(availableNow=True).start())
-    q.awaitTermination()
+    for arrive in _once(arrivals):
+        arrive()
+        q = (df.writeStream.foreachBatch(lambda b, i: b.write.mode("overwrite").parquet(f"{path}/batch={i}"))
+             .option("checkpointLocation", f"{path}-ckpt").outputMode("update").trigger(availableNow=True).start())
+        q.awaitTermination()
     return pick_best(spark.read.parquet(path), keys, [F.col("batch")]).drop("batch")
 
 
-def _stream(spark, sf, lateness=SO.LATENESS):
-    # the pattern lets the table be one file or a folder of files
-    schema = spark.read.parquet(f"{sf}/lineitem.parquet").schema
-    return X.as_observations(SO.stream_observations(spark, f"{sf}/lineitem.parquet*", schema, "l_shipdate", lateness), "event_time")
+#: Sundays at which the next arrival begins; no week is cut.
+ARRIVALS = [date(1997, 1, 5), date(1998, 7, 5), date(2000, 1, 2)]
+
+
+def _stream(spark, sf, name):
+    """The stream of ``lineitem`` and its four arrivals in time order."""
+    path = scratch(spark, f"{name}-in")
+    rows = spark.read.parquet(f"{sf}/lineitem.parquet")
+    bounds = [date(1000, 1, 1), *ARRIVALS, date(9999, 1, 1)]
+
+    def arrival(lo, hi):
+        day = F.col("l_shipdate").cast("date")
+        return lambda: rows.filter((day >= F.lit(lo)) & (day < F.lit(hi))).write.mode("append").parquet(path)
+    arrivals = [arrival(lo, hi) for lo, hi in zip(bounds, bounds[1:])]
+    arrivals[0]()
+    stream = X.as_observations(SO.stream_observations(spark, path, rows.schema, "l_shipdate"), "event_time")
+    return stream, [lambda: None, *arrivals[1:]]
 
 
 @query("j1_stream_observations", "SELECT * FROM observations", "observations")
 def _(spark, sf):
-    return _append(_stream(spark, sf).drop("event_time"), "j1")
+    stream, arrivals = _stream(spark, sf, "j1")
+    return _append(stream.drop("event_time"), "j1", arrivals)
 
 
 @query("j2_stream_dedup", "SELECT DISTINCT channel, week, collection_source FROM observations", "observations")
 def _(spark, sf):
     # which of several equal keys arrives first is open, so the keys are compared
-    return _append(SO.stream_dedup(_stream(spark, sf)).select("channel", "week", "collection_source"), "j2")
+    stream, arrivals = _stream(spark, sf, "j2")
+    return _append(SO.stream_dedup(stream).select("channel", "week", "collection_source"), "j2", arrivals)
 
 
 @query("j3_stream_weekly", """SELECT channel, week, count(*) OVER (PARTITION BY channel, week) AS points, views, subs FROM observations
  QUALIFY row_number() OVER (PARTITION BY channel, week ORDER BY obs_date DESC, views DESC, subs DESC) = 1""", "observations")
 def _(spark, sf):
-    return _update(SO.stream_weekly(_stream(spark, sf)), "j3", ["channel", "week"])
+    stream, arrivals = _stream(spark, sf, "j3")
+    return _update(SO.stream_weekly(stream), "j3", ["channel", "week"], arrivals)
 
 
 @query("j4_stream_deltas", f"""SELECT channel, week, views, subs, delta_views, delta_subs, CAST(g AS INTEGER) AS gap_days, COALESCE(g < 4 OR g > 10, false) AS off_rhythm,
- COALESCE(delta_subs / (ps + 1) > 0.2, false) AS sub_growth_hit, COALESCE(delta_views / (pv + 1) > 0.5, false) AS view_growth_hit
+ COALESCE(delta_subs / (ps + 1) > 0.2, false) AS sub_growth_hit, COALESCE(delta_views / (pv + 1) > 0.5, false) AS view_growth_hit, false AS late
  FROM (SELECT *, week - lag(week) OVER ({_P}) AS g, lag(subs) OVER ({_P}) AS ps, lag(views) OVER ({_P}) AS pv FROM full_panel)""", "full_panel")
 def _(spark, sf):
     path = scratch(spark, "j4-in")
@@ -101,10 +128,11 @@ def _(spark, sf):
     rows = X.observations(spark, sf).select("channel", "obs_date", "views", "collection_source")
     first = (F.col("obs_date") <= F.lit(date(2000, 1, 1))) & (F.expr("views div 1000") % 10 != 0)
     # two arrivals: the second brings rows older than the newest of the first
-    rows.filter(first).coalesce(1).write.parquet(f"{base}/in")
-    rows.filter(~first).coalesce(1).write.mode("append").parquet(f"{base}/in")
-    schema = spark.read.parquet(f"{base}/in").schema
-    stream = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{base}/in")
+    rows.filter(first).write.parquet(f"{base}/in")
+    schema = rows.schema
+    stream = spark.readStream.schema(schema).parquet(f"{base}/in")
+    SO.stream_late(stream, f"{base}/good", f"{base}/late", f"{base}/ckpt").awaitTermination()
+    rows.filter(~first).write.mode("append").parquet(f"{base}/in")
     SO.stream_late(stream, f"{base}/good", f"{base}/late", f"{base}/ckpt").awaitTermination()
     good = spark.read.schema(schema).parquet(f"{base}/good/data").withColumn("late", F.lit(False))
     return good.unionByName(spark.read.schema(schema).parquet(f"{base}/late").withColumn("late", F.lit(True))).drop("batch")
@@ -114,4 +142,5 @@ def _(spark, sf):
  CASE WHEN source = 'WAYBACK_CHARTS' THEN 'historical' WHEN (DATE '2001-11-06' - last_event) * 24 <= CASE source WHEN 'API' THEN 24 ELSE 72 END THEN 'fresh' WHEN (DATE '2001-11-06' - last_event) * 24 > 48 THEN 'poor' ELSE 'stale' END AS status
  FROM (SELECT collection_source AS source, max(obs_date) AS last_event, count(*) AS rows FROM observations GROUP BY 1)""", "observations")
 def _(spark, sf):
-    return _update(SO.stream_freshness(_stream(spark, sf), date(2001, 11, 6)), "j8", ["source"])
+    stream, arrivals = _stream(spark, sf, "j8")
+    return _update(SO.stream_freshness(stream, date(2001, 11, 6)), "j8", ["source"], arrivals)

@@ -157,3 +157,55 @@ def test_materialized_validation_agrees(spark):
     plain, kept = Q.validate(p), Q.validate(p, materialize=True)
     for a, b in zip(plain, kept):
         assert sorted(map(str, a.collect())) == sorted(map(str, b.collect()))
+
+
+def test_repeated_right_sides_do_not_multiply(spark):
+    from weekloom.operators import joins, series
+    left = spark.createDataFrame([("a", "x", date(2020, 1, 5), 5, 6)], "channel string, category string, week date, subs bigint, views bigint")
+    twice = spark.createDataFrame([("a", "n1", "c1", "k1", 7, 8, 20), ("a", "n2", "c2", "k2", 9, 8, 30)],
+                                  "channel string, channel_name string, category string, legacy_key string, current_subs bigint, current_views bigint, current_count bigint")
+    got = joins.attach_metadata(left, twice).collect()
+    assert [(r.channel_name, r.category) for r in got] == [("n2", "c2")]
+    assert [r.source_key for r in joins.resolve_source_key(left.withColumn("handle", F.lit("@h")), twice).collect()] == ["k2"]
+    assert joins.reconcile_current(left, twice).count() == 1
+    assert joins.point_to_point_growth(left, twice, "2020-01-05", "2020-01-05").count() == 1
+    obs = spark.createDataFrame([("a", date(2020, 1, 1), 3)], OBS)
+    assert series.extrapolate_to_current(obs, twice, "2020-02-10").filter("NOT interpolated").count() == 1
+
+
+@pytest.mark.parametrize("fmt", ["parquet", "tsv", "json"])
+def test_publish_reads_what_it_wrote(spark, tmp_path, fmt):
+    from weekloom.plans.panel import publish
+    rows = panel(spark, [("a", date(2020, 1, 5), 1, 2, 3), ("b", date(2021, 1, 3), 4, 5, 6)]).withColumn("datetime", F.col("week").cast("timestamp"))
+    counts = publish(rows, str(tmp_path / fmt), fmt, t="datetime").collect()
+    assert sum(r["count"] if "count" in r.asDict() else r.n for r in counts) == 2
+
+
+def test_late_rows_of_a_stream(spark, tmp_path):
+    """Several micro-batches: late rows go to the side output, and both outputs together are the input."""
+    from weekloom.streaming import observations as SO
+    days = [date(2020, 1, 1), date(2020, 2, 1), date(2020, 1, 2), date(2020, 1, 31), date(2020, 3, 1), date(2020, 2, 1)]
+    for i, d in enumerate(days):
+        spark.createDataFrame([(i, d)], "n long, obs_date date").coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("n long, obs_date date").option("maxFilesPerTrigger", 1).parquet(str(tmp_path / "in"))
+    SO.stream_late(stream, str(tmp_path / "good"), str(tmp_path / "late"), str(tmp_path / "ckpt")).awaitTermination()
+    good = {r.n for r in spark.read.schema("n long, obs_date date").parquet(str(tmp_path / "good/data")).collect()}
+    late = {r.n for r in spark.read.schema("n long, obs_date date").parquet(str(tmp_path / "late")).collect()}
+    assert (good, late) == ({0, 1, 3, 4}, {2, 5})
+
+
+@pytest.mark.parametrize("p", [0.0, 0.25, 0.5, 0.9, 1.0])
+def test_quantile_of_small_and_large_groups(spark, p):
+    from weekloom.operators.quantiles import exact_quantile
+    df = spark.range(31_000).selectExpr("CASE WHEN id < 7 THEN CAST(id % 3 AS STRING) ELSE 'big' END AS k", "CAST(pmod(id * 7919, 10007) AS DOUBLE) AS v")
+    want = {r.k: r.q for r in df.groupBy("k").agg(F.percentile("v", p).alias("q")).collect()}
+    got = {r.k: r.quantile for r in exact_quantile(df, ["k"], "v", p).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_schema_rules(spark):
+    rows = [("a", date(2020, 1, 5), "5", 6), ("a", date(2020, 1, 5), "n/a", 6), ("a", date(2020, 1, 12), None, 7)]
+    df = spark.createDataFrame(rows, "channel string, week date, videos string, subs bigint").withColumn("views", F.col("subs"))
+    got = {r.rule_name: (r.passed, r.affected_records) for r in Q.validate(df, "basic", [])[1].collect()}
+    assert got["required_fields"] == (False, 3) and got["data_types"] == (False, 1) and got["unique_weeks"] == (False, 1)
+    assert got["important_completeness"] == (False, 4)      # category in every row, videos in one

@@ -104,10 +104,32 @@ def _cross_source(df, p, ctx):
 def _nulls(fields):
     def apply(df, p, ctx):
         names = [ctx["t"] if f == "datetime" else f for f in fields]
-        return df, sum((_int(F.col(f).isNull()) for f in names if f in df.columns), F.lit(0)), None
+        # an absent column is missing in every row
+        return df, sum((_int(F.col(f).isNull()) if f in df.columns else F.lit(1) for f in names), F.lit(0)), None
     return apply
 
 
+def _required(df, p, ctx):
+    return df, F.lit(sum(f not in df.columns for f in IMPORTANT_FIELDS)), None
+
+
+def _types(df, p, ctx):
+    texts = [f for f, kind in df.dtypes if f in NUMERIC_FIELDS and kind == "string"]
+    bad = [_int(F.col(f).isNotNull() & F.trim(f).try_cast("double").isNull()) for f in texts]
+    if dict(df.dtypes).get(ctx["t"]) == "string":
+        bad.append(_int(F.col(ctx["t"]).isNotNull() & F.col(ctx["t"]).try_cast("timestamp").isNull()))
+    return df, sum(bad, F.lit(0)), None
+
+
+def _unique(df, p, ctx):
+    # next to each other in the order that the other rules use
+    before = F.lag(ctx["t"]).over(Window.partitionBy(ctx["key"]).orderBy(ctx["t"]))
+    return df, _int(before == F.col(ctx["t"])), None
+
+
+register(Rule("required_fields", "schema", "high", "basic", _required, "missing required fields"))
+register(Rule("data_types", "schema", "medium", "basic", _types, "values of a wrong type"))
+register(Rule("unique_weeks", "schema", "high", "basic", _unique, "rows that repeat an entity's week"))
 register(Rule("weekly_granularity", "temporal", "high", "basic", _weekly, "records violating weekly granularity",
               {"tolerance_days": 3, "expected_interval_days": 7}))
 register(Rule("date_range", "temporal", "critical", "basic", _date_range, "records with dates outside valid range",

@@ -5,19 +5,25 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from weekloom.functions.bitmap import bitmap_of, in_bitmap
 from weekloom.operators import aggregates, extract, joins, projections, quality, ranking, series, windows
 from weekloom.sources.writers import flatten_report
 
 
 def _chosen_pages(pages: DataFrame, chosen: DataFrame, key: str) -> DataFrame:
+    """Pages of the chosen snapshots. A bitmap of their keys drops the others at the scan, so that the join
+    shuffles the html of chosen pages only; building it reads the index once."""
     picks = chosen.select(key, F.col("timestamp").alias("snapshot_ts"))
-    return pages.join(picks, [key, "snapshot_ts"], "left_semi")
+    name = F.xxhash64(key, "snapshot_ts")
+    wanted = bitmap_of(picks.select(name.alias("h")), "h")
+    return pages.filter(in_bitmap(name, wanted)).join(picks, [key, "snapshot_ts"], "left_semi")
 
 
-def pages_to_observations(index: DataFrame, pages: DataFrame, end, start=None, n: int = 3, target_weeks: int = 165,
+def pages_to_observations(index: DataFrame, pages: DataFrame, end, start=None, n: int | None = 3, target_weeks: int = 165,
                           key: str = "channel", materialize: bool = False) -> dict[str, DataFrame]:
     """Best snapshots of each entity to flagged weekly points, with a grade per entity and the
-    pages that gave nothing. ``materialize`` keeps the chart texts, for callers of several outputs."""
+    pages that gave nothing. Only the ``n`` best snapshots of an entity are read (None: all that
+    score). ``materialize`` keeps the chart texts, for callers of several outputs."""
     pages = _chosen_pages(pages, ranking.top_snapshots(index, end, n, key), key)
     points = extract.extract_points(pages, materialize=materialize)
     obs = extract.standardize(points)
@@ -30,9 +36,12 @@ def pages_to_observations(index: DataFrame, pages: DataFrame, end, start=None, n
             "errors": extract.extract_errors(pages, points)}
 
 
-def uploads_to_observations(index: DataFrame, pages: DataFrame, current: DataFrame, as_of, n: int = 10,
-                            key: str = "channel") -> dict[str, DataFrame]:
-    """Evenly spread snapshots of each entity to an interpolated upload series."""
+def uploads_to_observations(index: DataFrame, pages: DataFrame, current: DataFrame, as_of, n: int | None = 10,
+                            key: str = "channel", max_count: int | None = None) -> dict[str, DataFrame]:
+    """About ``n`` evenly spread snapshots of each entity (None: all) to an interpolated upload series.
+
+    Series that exceed ``max_count`` are not valid; by default there is no bound.
+    """
     pages = _chosen_pages(pages, ranking.spread_snapshots(index, n, key), key)
     counts = extract.extract_upload_count(pages).withColumn(
         "obs_date", F.to_date(F.substring("snapshot_ts", 1, 8), "yyyyMMdd"))
@@ -40,7 +49,7 @@ def uploads_to_observations(index: DataFrame, pages: DataFrame, current: DataFra
     counts = ranking.pick_best(counts, [key, "obs_date"], [F.col("snapshot_ts")])
     filled = series.interpolate_weekly(counts, key=key, stamp="snapshot_ts")
     flagged = windows.upload_flags(filled, key)
-    validity = windows.upload_series_validity(flagged, key, "obs_date", "upload_count")
+    validity = windows.upload_series_validity(flagged, key, "obs_date", "upload_count", max_count=max_count)
     valid = counts.join(validity.filter("valid").select(key), key, "left_semi")
     return {"observations": flagged, "validity": validity,
             "to_current": series.extrapolate_to_current(valid, current, as_of, key=key)}

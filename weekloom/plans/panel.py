@@ -8,7 +8,8 @@ from pyspark.sql import functions as F
 from weekloom.operators import joins, junctions, quality, ranking, setops, windows
 from weekloom.operators.aggregates import value_distribution
 from weekloom.schema import METRICS, QUALITY_FLAGS
-from weekloom.sources.writers import write_panel, write_summary
+from weekloom.session import cut_lineage
+from weekloom.sources.writers import read_written, write_panel, write_summary
 
 
 def _complete(df: DataFrame) -> DataFrame:
@@ -42,11 +43,11 @@ def build_enriched_panel(base: DataFrame, entities: DataFrame, extra: list[DataF
 def publish(panel: DataFrame, path: str, fmt: str = "parquet", t: str = "week", mode: str = "errorifexists") -> DataFrame:
     """Write the panel and its summary; returns the flag counts.
 
-    Summary and counts read the written files, so the panel is computed once.
+    Summary and counts read the written files, whatever their format, so the panel is computed once.
     """
     spark = panel.sparkSession
     write_panel(panel, f"{path}/panel", fmt, t=t, mode=mode)
-    done = spark.read.parquet(f"{path}/panel") if fmt == "parquet" else panel
+    done = read_written(panel, f"{path}/panel", fmt, t)
     write_summary(done, f"{path}/summary", t=t, mode=mode)
     return value_distribution(done, "data_quality_flag", QUALITY_FLAGS)
 
@@ -67,6 +68,8 @@ def assemble_final(*sources: DataFrame, js: list[junctions.Junction], as_of, lev
     else:
         raise ValueError("conflicts must be quality or precedence")
     rows = windows.deltas(rows.drop("_t"), METRICS, key, t)
+    if materialize:
+        rows = cut_lineage(rows)      # checks and scores both start here
     flagged, results, metrics = quality.validate(rows, level, js, overrides, key, t, materialize=materialize)
     scores = quality.composite_score(rows, as_of, js, key=key, t=t)
     return {"panel": flagged, "results": results, "metrics": metrics, "scores": scores}

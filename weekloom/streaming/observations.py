@@ -94,10 +94,9 @@ def stream_late(stream: DataFrame, on_time_path: str, late_path: str, checkpoint
         spark = batch.sparkSession
         newest = None
         if batch_id > 0:
-            # one small row per earlier batch
-            seen = spark.read.schema("newest date, batch bigint").json(f"{on_time_path}/newest")
-            newest = seen.filter(F.col("batch") < batch_id).agg(F.max("newest")).first()[0]
-        mark = batch.agg(F.max(F.col(t).cast("date")).alias("newest"))
+            # the mark of the batch before stands for all earlier ones
+            newest = spark.read.schema("newest date").json(f"{on_time_path}/newest/batch={batch_id - 1}").first()[0]
+        mark = batch.agg(F.greatest(F.max(F.col(t).cast("date")), F.lit(newest).cast("date")).alias("newest"))
         mark.write.mode("overwrite").json(f"{on_time_path}/newest/batch={batch_id}")
         good, late = split_late(batch, newest, lateness_days, t) if newest is not None else (batch, batch.limit(0))
         good.write.mode("overwrite").parquet(f"{on_time_path}/data/batch={batch_id}")

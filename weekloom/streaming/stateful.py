@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 _OUT = ("channel string, week date, views bigint, subs bigint, delta_views bigint, delta_subs bigint, "
-        "gap_days int, off_rhythm boolean, sub_growth_hit boolean, view_growth_hit boolean")
+        "gap_days int, off_rhythm boolean, sub_growth_hit boolean, view_growth_hit boolean, late boolean")
 # last released row, and the arrived rows still inside the watermark, in parallel arrays
 _STATE = ("last_week date, last_views bigint, last_subs bigint, "
           "weeks array<date>, views array<bigint>, subs array<bigint>")
@@ -29,7 +29,7 @@ def _release(key, rows: pd.DataFrame, last: tuple | None) -> tuple[pd.DataFrame,
         "delta_views": dv.astype("int64"), "delta_subs": ds.astype("int64"), "gap_days": gap.astype("Int32"),
         "off_rhythm": ((gap < 4) | (gap > 10)).fillna(False),
         "sub_growth_hit": (ds / (prev_s + 1) > 0.2).fillna(False),
-        "view_growth_hit": (dv / (prev_v + 1) > 0.5).fillna(False),
+        "view_growth_hit": (dv / (prev_v + 1) > 0.5).fillna(False), "late": False,
     })
     if last is not None:
         out = out.iloc[1:]
@@ -37,6 +37,14 @@ def _release(key, rows: pd.DataFrame, last: tuple | None) -> tuple[pd.DataFrame,
     return out, (week.iloc[-1].date(), int(tail["views"]), int(tail["subs"]))
 
 
+def _late(key, rows: pd.DataFrame) -> pd.DataFrame:
+    """Rows at or before the last released week, without deltas."""
+    none = pd.array([None] * len(rows), dtype="Int64")
+    return pd.DataFrame({"channel": key, "week": pd.to_datetime(rows["week"]).dt.date, "views": rows["views"].astype("int64"), "subs": rows["subs"].astype("int64"),
+                         "delta_views": none, "delta_subs": none, "gap_days": pd.array([None] * len(rows), dtype="Int32"),
+                         "off_rhythm": False, "sub_growth_hit": False, "view_growth_hit": False, "late": True})
+
+
 def _step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
     last, held = None, []
     if state.exists:
@@ -48,7 +56,10 @@ def _step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[p
     limit = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms").date()
     rows = pd.DataFrame(held, columns=["week", "views", "subs"]).drop_duplicates("week", keep="first")
     if last is not None:
-        rows = rows[rows["week"] > last[0]]        # a week at or before the released ones came too late
+        behind = rows[rows["week"] <= last[0]]     # its neighbours are released, so there is no delta to take
+        if len(behind):
+            yield _late(key[0], behind)
+        rows = rows[rows["week"] > last[0]]
     ready, wait = rows[rows["week"] < limit], rows[rows["week"] >= limit]
     if len(ready):
         out, last = _release(key[0], ready, last)
@@ -65,7 +76,8 @@ def stream_deltas(stream: DataFrame, key: str = "channel") -> DataFrame:
 
     Input: (channel, week, views, subs, event_time with watermark), one row per entity and week
     (``stream_dedup``). Rows wait until the watermark passes their week, so late arrivals inside
-    it are put in order before their delta is taken. The state holds the last released row and
+    it are put in order before their delta is taken. Rows at or before a released week come out at
+    once with ``late`` set and no deltas. The state holds the last released row and
     the few weeks inside the watermark.
     """
     rows = stream.select(key, "week", "views", "subs", "event_time").withColumnRenamed(key, "channel")
