@@ -14,7 +14,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import BITMAP_BITS, ascii_lower, bitmap_of, in_bitmap, stored, text_key
+from weekloom.functions.bitmap import BITS as BITMAP_BITS
+from weekloom.functions.bitmap import bitmap_of, in_bitmap
+from weekloom.llm.common import ascii_lower, stored, text_key
 
 WINDOW, SHINGLE = 10, 3
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]++"
