@@ -77,7 +77,8 @@ def token_counts(subjects: DataFrame, wanted: list[str]) -> dict[str, int]:
         return {}
     tokens = F.array_distinct(F.regexp_extract_all(F.col("subject"), F.lit(TOKEN), F.lit(0)))
     names = subjects.sparkSession.createDataFrame([(t,) for t in wanted], "token string")
-    rows = subjects.select(F.explode(tokens).alias("token")).join(names, "token").groupBy("token").count().collect()
+    # the names are those of one block, so their number is bounded
+    rows = subjects.select(F.explode(tokens).alias("token")).join(F.broadcast(names), "token").groupBy("token").count().collect()
     return {r.token: r["count"] for r in rows}
 
 
