@@ -263,3 +263,38 @@ def test_lm_score(spark):
         assert np.allclose([r.ce_target, r.ce_background, r.score], [*ce, ce[1] - ce[0]], rtol=1e-5)
     assert np.mean([got[d].score for d in docs[:90] if d[0] % 3]) > np.mean([got[d].score for d in docs[:90] if not d[0] % 3]) + 0.2
     assert lm_score.score(table.limit(0), target.limit(0), table.limit(0)).count() == 0
+
+
+@pytest.mark.parametrize("vocabulary", [1000.0, None])
+def test_lm_score_counts_every_ngram_apart(spark, vocabulary):
+    """300,000 words and as many bigrams: buckets of any fixed number of bits below would share counts."""
+    rng = random.Random(29)
+    docs = [(i, " ".join(f"w{i * 1500 + k}" for k in range(1500)) + " " + " ".join(rng.choices(["a", "b", "c"], k=20))) for i in range(200)]
+    docs += [(900, "a b never met"), (901, "w1 w3 w5 w7"), (902, docs[0][1])]
+    table = frame(spark, docs).repartition(3, "doc_id")
+    target = table.filter("doc_id % 2 = 0")
+    asked = frame(spark, docs[:3] + docs[200:] + [(903, "nowhere seen"), (904, None)])
+    got = {r.doc_id: r.lm for r in lm_score.score(asked, target, table, vocabulary=vocabulary).collect()}
+
+    def model(texts):
+        ones, twos = {}, {}
+        for t in texts:
+            c = [None, *t.split()]
+            for w in c:
+                ones[w] = ones.get(w, 0) + 1
+            for p in zip(c, c[1:]):
+                twos[p] = twos.get(p, 0) + 1
+        return ones, twos
+    a, b = model([t for d, t in docs if d % 2 == 0]), model([t for _, t in docs])
+    size = vocabulary or len(b[0]) + 1
+    scale = sum(a[0].values()) / sum(b[0].values())
+    for d, t in docs[:3] + docs[200:] + [(903, "nowhere seen")]:
+        c, ce = [None, *t.split()], []
+        for (ones, twos), f in ((a, 1.0), (b, scale)):
+            n, loss = sum(ones.values()) * f, 0.0
+            for v, w in zip(c, c[1:]):
+                one = (ones.get(w, 0) * f + lm_score.DELTA) / (n + lm_score.DELTA * size)
+                loss -= np.log((twos.get((v, w), 0) * f + lm_score.MU * one) / (ones.get(v, 0) * f + lm_score.MU))
+            ce.append(loss / (len(c) - 1))
+        assert np.allclose([got[d].ce_target, got[d].ce_background, got[d].score], [*ce, ce[1] - ce[0]], rtol=1e-9)
+    assert (got[904].n_tokens, got[904].ce_target, got[904].score) == (0, None, 0.0)

@@ -148,5 +148,5 @@ def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_lm_score")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = lm_score.score(docs, lm_score.labelled(docs, table(spark, sf_dir, "labels")), docs)
+    scored = lm_score.score(docs, lm_score.labelled(docs, table(spark, sf_dir, "labels")), docs, vocabulary=None)
     return scored.select("doc_id", "lm.*")
