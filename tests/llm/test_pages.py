@@ -4,6 +4,7 @@ import base64
 import hashlib
 import random
 import zlib
+from pathlib import Path
 
 import pytest
 
@@ -157,3 +158,22 @@ def test_reader_passes_over_what_is_no_record():
     data = head + one + plain + two[:-9] + two
     starts = [at for at, _ in warc.records_in(warc._Source(_Bytes(data), len(data)), 0, len(data))]
     assert starts == [len(head), len(data) - len(two)]
+
+
+@pytest.mark.parametrize("damage", ["inside", "cut"])
+def test_damaged_archive_fails(spark, damage):
+    table = pages(spark, [(i, f"http://h/{i}", f"page {i} " * 50) for i in range(60)]).repartition(2)
+    manifest = warc.write_archive(table, warc.archive_folder(table))
+    assert warc.read_archive(manifest).count() == 60
+    path = Path(manifest.orderBy("path").first().path)
+    data = bytearray(path.read_bytes())
+    if damage == "cut":
+        del data[-5:]
+    else:
+        data[len(data) // 2] ^= 0xFF
+    path.write_bytes(data)
+    with pytest.raises(ValueError, match=f"1 files .*{path.name} gave"):
+        warc.read_archive(manifest)
+    assert 0 < warc.read_archive(manifest, complete=False).count() < 60
+    with pytest.raises(ValueError, match="no column records"):
+        warc.read_archive(manifest.drop("records"))

@@ -190,16 +190,20 @@ def parse_record(record: bytes) -> dict:
 RECORD = "id long, record_type string, url string, payload_bytes long, payload_digest string, refers_to long"
 
 
-def read_archive(manifest: DataFrame, payloads: bool = False, range_bytes: int = RANGE_BYTES) -> DataFrame:
-    """Records of the files in ``manifest``(path, bytes), with their payload (null for revisits) if asked for.
+def read_archive(manifest: DataFrame, payloads: bool = False, range_bytes: int = RANGE_BYTES, complete: bool = True) -> DataFrame:
+    """Records of the files in ``manifest``(path, bytes, records), with their payload (null for revisits) if asked for.
 
-    A damaged member is passed over and reading resumes at the next one. No files give no rows.
+    Reads the archive at once, and fails if a file gave another number of records than the manifest names.
+    With ``complete=False`` reading is lazy, ``records`` is not needed, and a damaged member is passed over, as reading
+    resumes at the next one. No files give no rows.
     """
+    if complete and "records" not in manifest.columns:
+        raise ValueError("the manifest has no column records to hold the archive against; complete=False reads without")
     starts = manifest.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long"))).alias("start"))
     ranges = starts.repartition(F.col("path"), F.col("start"))
-    schema = RECORD + (", payload binary" if payloads else "")
+    schema = RECORD + (", payload binary" if payloads else "") + ", path string"
     kinds = [("id", pa.int64()), ("record_type", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())]
-    arrow = pa.schema(kinds + [("payload", pa.binary())] * payloads)
+    arrow = pa.schema(kinds + [("payload", pa.binary())] * payloads + [("path", pa.string())])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -208,14 +212,27 @@ def read_archive(manifest: DataFrame, payloads: bool = False, range_bytes: int =
                 with store.open_input_file(path) as file:
                     found, held = [], 0
                     for _, record in records_in(_Source(file, r["bytes"]), r["start"], min(r["bytes"], r["start"] + range_bytes)):
-                        found.append({k: v for k, v in parse_record(record).items() if k in arrow.names})
+                        found.append({k: v for k, v in parse_record(record).items() if k in arrow.names} | {"path": r["path"]})
                         held += len(record) if payloads else 200
                         if held > 8 * CHUNK:
                             yield pa.RecordBatch.from_pylist(found, arrow)
                             found, held = [], 0
                     if found:
                         yield pa.RecordBatch.from_pylist(found, arrow)
-    return ranges.mapInArrow(read, schema)
+    got = ranges.mapInArrow(read, schema)
+    if complete:
+        got = stored(got, "records")
+        _hold_against(manifest, got)
+    return got.drop("path")
+
+
+def _hold_against(manifest: DataFrame, got: DataFrame) -> None:
+    """Fails if the records of a file are not as many as its manifest says."""
+    wanted = manifest.groupBy("path").agg(F.sum("records").alias("records"))
+    counts = wanted.join(got.groupBy("path").agg(F.count(F.lit(1)).alias("n")), "path", "left").select("path", "records", F.coalesce("n", F.lit(0)).alias("n"))
+    wrong = counts.filter(~F.col("records").eqNullSafe(F.col("n"))).orderBy("path")
+    if first := wrong.limit(10).collect():
+        raise ValueError(f"{wrong.count()} files of the archive are damaged: " + ", ".join(f"{r.path} gave {r.n} of {r.records} records" for r in first))
 
 
 def archive_folder(pages: DataFrame) -> str:
