@@ -112,6 +112,18 @@ def test_reply_trees(spark):
     assert got == want
 
 
+def test_no_tree_of_a_conversation_is_lost(spark):
+    rows = [(1, 1, None, 0.9), (1, 2, 1, 0.9), (1, 3, 1, 0.1), (1, 4, 77, 0.2), (1, 5, 4, 0.3), (1, 6, 4, 0.2), (1, 7, 88, 0.0), (2, 1, None, None)]
+    tree = spark.createDataFrame([(c, n, p, "user", f"{c}.{n}", s) for c, n, p, s in rows], "conv long, node long, parent long, role string, text string, score double")
+
+    def paths(**how):
+        return sorted((r.conv, r.leaf, r.rank, r.depth) for r in chat.format_trees(tree, **how).collect())
+    assert paths(branches=1, per_root=True) == [(1, 2, 1, 2), (1, 5, 1, 2), (1, 7, 1, 1), (2, 1, 1, 1)]
+    assert paths(branches=None, per_root=True) == [(1, 2, 1, 2), (1, 3, 2, 2), (1, 5, 1, 2), (1, 6, 2, 2), (1, 7, 1, 1), (2, 1, 1, 1)]
+    assert paths() == [(1, 2, 1, 2), (1, 3, 2, 2), (1, 5, 3, 2), (1, 6, 4, 2), (1, 7, 5, 1), (2, 1, 1, 1)]
+    assert paths(branches=1) == [(1, 2, 1, 2), (2, 1, 1, 1)]
+
+
 def test_warc_round_trip(spark):
     rng = random.Random(4)
     rows = [(i, f"http://h/{i}\r\nX: %41é" if i % 9 == 0 else f"http://h/{i}", rng.choice([None, "", "same", f"page {i} é" * rng.randint(1, 900), "twice" + str(i % 5)])) for i in range(200)]

@@ -3,7 +3,7 @@
 Method: messages name their parent. Self-joins that double their reach (2, 4, 8, ... steps up) find every
 message's distance to its root and the sum of scores on the way, so a tree of depth d takes log2(d) joins;
 messages that have reached their root take no part in the next one.
-Leaves are ranked within their tree by mean score; the chosen paths are expanded by the same tables and
+Leaves are ranked by mean score, within their conversation or their tree; the chosen paths are expanded by the same tables and
 each is formatted as one conversation.
 
 Texts join only the chosen paths, once. A formatted conversation is one row, so one path must fit in a row.
@@ -106,35 +106,36 @@ def _same(a: Column, b: Column) -> Column:
     return a.eqNullSafe(b)
 
 
-def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
-    """(conv, leaf, rank, depth, mean_score, node, place) for the ``branches`` best leaves of every root.
+def chosen_paths(messages: DataFrame, branches: int | None = None, per_root: bool = False) -> DataFrame:
+    """(conv, leaf, rank, depth, mean_score, node, place) for the ``branches`` best leaves of every conversation, or of every root in it; None: all leaves.
 
     ``messages`` holds (conv, node, parent, score), one row for each (conv, node). place counts from the
     leaf (0) up to the root.
     """
     base = messages.select("conv", "node", "parent", F.coalesce("score", F.lit(0.0)).alias("score"))
     known = base.select(F.col("conv").alias("pc"), F.col("node").alias("pn"))
-    # steps and total count the messages from the node up to, but not including, ``up``; without ``up`` they are whole
+    # steps and total count the messages from the node up to, but not including, ``up``; without ``up`` they are whole and ``root`` is known
     state = stored(base.join(known, _same(base["conv"], F.col("pc")) & (base["parent"] == F.col("pn")), "left")
-                   .select("conv", "node", F.col("pn").alias("up"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "replies")
+                   .select("conv", "node", F.col("pn").alias("up"), F.when(F.col("pn").isNull(), F.col("node")).alias("root"), F.lit(1).cast("long").alias("steps"), F.col("score").alias("total")), "replies")
     done, live, levels = state.filter("up IS NULL"), state.filter("up IS NOT NULL"), []
     largest = base.groupBy("conv").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
     for _ in range(int(largest).bit_length()):
         if live.isEmpty():
             break
         levels.append(live)                                      # ``up`` is 2^k steps above the node
-        above = done.unionByName(live).select(F.col("conv").alias("ac"), F.col("node").alias("an"), F.col("up").alias("a_up"), F.col("steps").alias("a_steps"), F.col("total").alias("a_total"))
+        above = done.unionByName(live).select(F.col("conv").alias("ac"), F.col("node").alias("an"), F.col("up").alias("a_up"), F.col("root").alias("a_root"), F.col("steps").alias("a_steps"), F.col("total").alias("a_total"))
         state = stored(live.join(above, _same(live["conv"], F.col("ac")) & (live["up"] == F.col("an")))
-                       .select("conv", "node", F.col("a_up").alias("up"), (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("total") + F.col("a_total")).alias("total")), "reach")
+                       .select("conv", "node", F.col("a_up").alias("up"), F.col("a_root").alias("root"), (F.col("steps") + F.col("a_steps")).alias("steps"), (F.col("total") + F.col("a_total")).alias("total")), "reach")
         done, live = done.unionByName(state.filter("up IS NULL")), state.filter("up IS NOT NULL")
     # nodes that are still live are on a cycle or below one and have no root
     leaves = done
     if levels:
         parents = levels[0].select(F.col("conv").alias("pc"), F.col("up").alias("pn")).distinct()
         leaves = done.join(parents, _same(done["conv"], F.col("pc")) & (done["node"] == F.col("pn")), "left_anti")
-    scored = leaves.select("conv", F.col("node").alias("leaf"), F.col("steps").alias("depth"), (F.col("total") / F.col("steps")).alias("mean_score"))
-    rank = F.row_number().over(Window.partitionBy("conv").orderBy(F.desc("mean_score"), F.desc("depth"), "leaf"))
-    best = stored(scored.withColumn("rank", rank).filter(F.col("rank") <= branches), "leaves")
+    scored = leaves.select("conv", "root", F.col("node").alias("leaf"), F.col("steps").alias("depth"), (F.col("total") / F.col("steps")).alias("mean_score"))
+    rank = F.row_number().over(Window.partitionBy("conv", *["root"] * per_root).orderBy(F.desc("mean_score"), F.desc("depth"), "leaf"))
+    ranked = scored.withColumn("rank", rank)
+    best = stored((ranked if branches is None else ranked.filter(F.col("rank") <= branches)).drop("root"), "leaves")
     path = best.withColumn("node", F.col("leaf")).withColumn("place", F.lit(0).cast("long"))
     for k in reversed(range(len(levels))):
         up = levels[k].select(F.col("conv").alias("uc"), F.col("node").alias("un"), "up")
@@ -144,11 +145,12 @@ def chosen_paths(messages: DataFrame, branches: int = 1) -> DataFrame:
     return path
 
 
-def format_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
+def format_trees(messages: DataFrame, branches: int | None = None, per_root: bool = False) -> DataFrame:
     """(conv, leaf, rank, depth, mean_score, formatted, loss), one row for each chosen root-to-leaf path.
 
     ``messages`` holds conv, node, parent, role, text, score. Branches of a conversation rank by the mean
-    score of their messages, then by depth, then by leaf.
+    score of their messages, then by depth, then by leaf; all are kept unless ``branches`` names a number for
+    each conversation or, with ``per_root``, for each tree in it, which then ranks by itself.
 
     Defined results: null roles, texts count as empty, null scores as 0; a parent that is missing makes
     its reply a root; messages on a cycle, or below one, have no root and are in no path; of repeated
@@ -157,7 +159,7 @@ def format_trees(messages: DataFrame, branches: int = 1) -> DataFrame:
     """
     one = messages.filter("node IS NOT NULL").groupBy("conv", "node").agg(F.min(F.struct("parent", F.coalesce("role", F.lit("")).alias("role"), F.coalesce("text", F.lit("")).alias("text"), "score")).alias("m"))
     nodes = stored(one.select("conv", "node", "m.*"), "messages")
-    path = chosen_paths(nodes, branches)
+    path = chosen_paths(nodes, branches, per_root)
     said = nodes.select(F.col("conv").alias("nc"), F.col("node").alias("nn"), "role", "text")
     turns = path.join(said, _same(path["conv"], F.col("nc")) & (path["node"] == F.col("nn")))
     whole = turns.groupBy("conv", "leaf", "rank", "depth", "mean_score").agg(F.sort_array(F.collect_list(F.struct((-F.col("place")).alias("at"), "role", "text"))).alias("turns"))
