@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import chat, url_filter, warc
+from weekloom.llm import chat, html_text, trie, url_filter, warc
 from weekloom.llm.common import table
 from weekloom.llm.registry import query
 
@@ -59,3 +59,36 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
     found = warc.read_archive(warc.write_archive(pages, warc.archive_folder(pages)))
     return found.select(F.col("id").alias("page_id"), "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: CRC-32 of a decimal number, bit by bit.
+_SQL_CRC32 = """xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), list_transform(string_split(CAST(conv_id AS VARCHAR), ''), lambda c: CAST(ascii(c) AS BIGINT))),
+ lambda acc, b: list_reduce(list_prepend(xor(acc, b), CAST([0, 0, 0, 0, 0, 0, 0, 0] AS BIGINT[])), lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)), 4294967295)"""
+
+
+@query("op12_prefix_trie", f"""
+WITH given AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL),
+own AS (SELECT conv_id, list(struct_pack(role := role, text := text) ORDER BY turn NULLS FIRST, role, md5(md5(role) || md5(text))) AS turns FROM given GROUP BY 1),
+asked AS (SELECT *, {_SQL_CRC32} % 6 AS h FROM own),
+built AS (SELECT a.conv_id, list_concat(coalesce(d.turns[1:a.h], []), a.turns[a.h + 1:]) AS turns
+  FROM asked a LEFT JOIN own d ON d.conv_id = a.conv_id - a.conv_id % 100),
+prefix AS (SELECT conv_id, turns[1:d] AS p, d, d = len(turns) AS ends FROM (SELECT *, unnest(range(0, len(turns) + 1)) AS d FROM built)),
+node AS (SELECT p, min(conv_id) AS conv_id, any_value(d) AS depth, count(*) AS n_convs, any_value(length(p[d].text)) AS chars,
+  sha256(coalesce(string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256 FROM prefix GROUP BY p),
+child AS (SELECT p[1:depth - 1] AS p, count(*) AS n_children FROM node WHERE depth > 0 GROUP BY 1),
+up AS (SELECT node.p[1:u] AS p, sum(CASE WHEN child.p IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum((node.n_convs - 1) * coalesce(chars, 0)) AS saved
+  FROM (SELECT *, unnest(range(0, depth + 1)) AS u FROM node) node LEFT JOIN child ON child.p = node.p GROUP BY 1)
+SELECT node.conv_id, CAST(node.depth AS BIGINT) AS depth, above.conv_id AS parent_conv_id, node.n_convs, coalesce(n_children, 0) AS n_children,
+ CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node LEFT JOIN child ON child.p = node.p JOIN up ON up.p = node.p LEFT JOIN node above ON node.depth > 0 AND above.p = node.p[1:node.depth - 1]""")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    own = trie.sequences(table(spark, sf_dir, "conversations"))
+    conv = F.col("conv")
+    built = trie.with_openings(own, conv - conv % 100, F.crc32(conv.cast("string").cast("binary")) % 6, 5)
+    return trie.prefix_trie(built).select(F.col("conv").alias("conv_id"), "depth", F.col("parent_conv").alias("parent_conv_id"), "n_convs", "n_children", "n_leaves",
+                                          F.col("saved").alias("saved_tokens"), F.col("ends").alias("ends_sha256"))
+
+
+@query("op13_html_text")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract_text(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
