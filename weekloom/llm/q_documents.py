@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weekloom.llm import decontaminate, exact_dedup, lm_score, mixing, near_dedup, pii, toxicity
+from weekloom.llm import decontaminate, exact_dedup, lm_score, mixing, near_dedup, phrases, pii, toxicity
 from weekloom.llm.common import table
 from weekloom.llm.registry import query
 
@@ -150,3 +150,23 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     scored = lm_score.score(docs, lm_score.labelled(docs, table(spark, sf_dir, "labels")), docs, vocabulary=None)
     return scored.select("doc_id", "lm.*")
+
+
+@query("op11_phrases", rf"""
+WITH piece AS (SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array({SQL_LOWER.format("coalesce(text, '')")}, '[.,;:!?\x0A-\x0D]')) AS piece FROM documents),
+worded AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS ws FROM piece),
+size AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM worded GROUP BY 1),
+gram AS (SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM worded, (VALUES (1), (2), (3)) AS v(k))),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM gram GROUP BY ALL HAVING count(*) >= 10),
+candidate AS (SELECT *, string_split(phrase, ' ') AS ws FROM f WHERE k > 1),
+cut AS (SELECT c.lang, c.phrase, c.a, j, x.a AS l, y.a AS r, CAST(1000000 AS HUGEINT) * c.a * c.a // (CAST(x.a AS HUGEINT) * y.a) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM candidate) c JOIN f x ON x.lang = c.lang AND x.k = j AND x.phrase = array_to_string(ws[1:j], ' ')
+  JOIN f y ON y.lang = c.lang AND y.k = c.k - j AND y.phrase = array_to_string(ws[j + 1:], ' ')),
+best AS (SELECT * FROM cut QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+inner_part AS (SELECT lang, a, unnest([array_to_string(ws[1:2], ' '), array_to_string(ws[2:3], ' ')]) AS phrase FROM candidate WHERE k = 3),
+around AS (SELECT lang, phrase, max(a) AS longer FROM inner_part GROUP BY ALL),
+kept AS (SELECT best.* FROM best LEFT JOIN around USING (lang, phrase) WHERE longer IS NULL OR 100 * longer < 50 * best.a)
+SELECT lang, row_number() OVER w AS rank, phrase, a, l, r, n, CAST(score AS BIGINT) AS score FROM kept JOIN size USING (lang)
+WINDOW w AS (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) QUALIFY row_number() OVER w <= 2000""")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(table(spark, sf_dir, "documents"))
