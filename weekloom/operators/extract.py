@@ -368,14 +368,19 @@ def upload_count(html: Column) -> Column:
     return F.coalesce(*steps)
 
 
-def extract_upload_count(pages: DataFrame, html: str = "html", plausible: int = 100_000) -> DataFrame:
-    """One row per page that states an upload count; ``in_range`` is false above ``plausible``."""
+def page_upload_count(pages: DataFrame, html: str = "html", plausible: int = 100_000) -> DataFrame:
+    """Every page (its key, url) with the upload count it states, or null; ``in_range`` is false above ``plausible``."""
     text = F.col(html)
-    rows = pages.filter(_has(text, "upload") | _has(text, "video"))
-    rows = rows.select(*PAGE_KEY, _hold(upload_count(text)).alias("upload_count")).filter(F.col("upload_count").isNotNull())
+    count = F.when(_has(text, "upload") | _has(text, "video"), upload_count(text))
+    rows = pages.select(*PAGE_KEY, "url", _hold(count).alias("upload_count"))
     return rows.withColumn("in_range", F.col("upload_count") <= plausible)
 
 
+def extract_upload_count(pages: DataFrame, html: str = "html", plausible: int = 100_000) -> DataFrame:
+    """One row per page that states an upload count; ``in_range`` is false above ``plausible``."""
+    return page_upload_count(pages, html, plausible).filter(F.col("upload_count").isNotNull()).drop("url")
+
+
 # fixed values: patterns of the current counters, in order
 CURRENT_PATTERNS = {
     "total_views": [
