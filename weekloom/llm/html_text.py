@@ -95,6 +95,9 @@ class PageLines(HTMLParser):
         return self.lines
 
     def feed_all(self, html: str) -> None:
+        cut = html.rfind("<")
+        if cut >= 0 and (html[cut + 1 : cut + 2].isalpha() or html[cut + 1 : cut + 2] == "/") and ">" not in html[cut:]:
+            html = html[:cut]             # a tag that never ends is no text
         try:
             self.feed(html)
             self.close()
