@@ -33,7 +33,7 @@ from weekloom.llm.common import shared_folder, stored
 
 #: Bytes of text in a block (a longer text is a block of its own), in all open blocks of a task, and in a pass over a block's bytes.
 BLOCK_BYTES, OPEN_BYTES, PASS_BYTES = 1 << 23, 1 << 25, 1 << 20
-SHARDS = 4
+SHARDS = 3
 #: log2 of the bits of a published bitmap: 16 bits a phrase between these bounds (16 MB at most).
 LEAST_BITS, MOST_BITS = 15, 27
 _PAGE = 15                                    # bits of a piece that Spark's bitmap functions build
@@ -107,9 +107,10 @@ def _block(texts: list[bytes], lang: str, shard: int, seed: int) -> dict | None:
     starts, ends = edges[::2], edges[1::2]
     if not len(starts):
         return None
-    stops = np.concatenate(([0], np.cumsum(kinds == 2)))[starts]
+    stops = np.searchsorted(np.flatnonzero(kinds == 2), starts)
     begins = np.concatenate(([True], stops[1:] != stops[:-1]))
     hashes = _mixed(_hashes(data, starts, ends, seed) ^ np.uint64(_number(f"{seed}:lang:{lang}")))
+    hashes[hashes == 0] = 1                                                    # 0 stands for no word
     keys, first, ids = np.unique(hashes, return_index=True, return_inverse=True)
     ids = ids.astype(np.int32).ravel()
     sizes = (ends - starts)[first]
@@ -219,21 +220,26 @@ def _counter(step: int, shards: int, max_len: int, published: dict[int, list], s
                 block = np.frombuffer(keys.as_buffer(), np.uint64), np.frombuffer(ids.as_buffer(), np.int32)
                 for length, start, columns, counts in count_block(*block, step, shards, max_len, published):
                     columns = [c.view(np.int64) for c in columns] + [np.zeros(len(counts), np.int64)] * (max_len - length)
-                    values = [np.full(len(counts), length, np.int32), start, *columns, counts.astype(np.int64)]
+                    values = [*columns, 2 * start, counts.astype(np.int64)]
                     for at in range(0, len(counts), 1 << 16):
                         yield pa.RecordBatch.from_arrays([pa.array(v[at : at + (1 << 16)]) for v in values], schema=schema)
     return run
 
 
-def _published(fresh: DataFrame, length: int, keys: list[str], n: int):
+def _length(keys: list[str]) -> Column:
+    """Words of a phrase: its columns that hold one."""
+    return sum((F.col(k) != 0).cast("int") for k in keys[1:]) + F.lit(1)
+
+
+def _published(fresh: DataFrame, keys: list[str], n: int):
     """A broadcast bitmap of at least ``n`` phrases; its size is bounded."""
     bits = min(MOST_BITS, max(LEAST_BITS, (16 * n - 1).bit_length()))
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            columns = [batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in keys[:length]]
+            columns = [batch.column(k).to_numpy(zero_copy_only=False).view(np.uint64) for k in keys]
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(_places(_phrase_key(columns), bits)).view(np.int64))], ["place"])
-    pieces = (fresh.filter(F.col("length") == length).select(*keys[:length]).mapInArrow(places, "place long").groupBy(F.shiftright("place", _PAGE).alias("piece"))
+    pieces = (fresh.select(*keys).mapInArrow(places, "place long").groupBy(F.shiftright("place", _PAGE).alias("piece"))
               .agg(F.call_function("bitmap_construct_agg", F.col("place").bitwiseAND(F.lit((1 << _PAGE) - 1))).alias("bits")).collect())
     table = bytearray(1 << bits - 3)
     size = 1 << _PAGE - 3
@@ -249,34 +255,39 @@ def _remove(path: str) -> None:
 
 
 def _counted(spark: SparkSession, blocks: DataFrame, least: int, max_len: int, shards: int) -> tuple[DataFrame, dict[int, list]]:
-    """(length, k1.., n) of all phrases of at least ``least`` occurrences, and the published bitmaps of each length."""
+    """(length, k1.., n) of all phrases of at least ``least`` occurrences, and the published bitmaps of each length.
+
+    A running count is (k1.., state, n); ``state`` is twice the step that activated the phrase, and 1 more once it is
+    published, so that the greatest state of its rows is the phrase's.
+    """
     keys = [f"k{i}" for i in range(1, max_len + 1)]
-    fields = ["length int", "start int", *(f"{k} long" for k in keys), "n long"]
+    fields = [*(f"{k} long" for k in keys), "state int", "n long"]
     schema = pa.schema([(f.split()[0], pa.int32() if f.endswith("int") else pa.int64()) for f in fields])
-    stores = ", ".join([*fields, "before long", "complete boolean"])
+    stores = ", ".join([*fields, "complete boolean"])
     root = shared_folder(spark, "phrases")
     published: dict[int, list] = {length: [] for length in range(1, max_len)}
     finished, carried, step, last = [], None, 0, -1
+    length = _length(keys)
+    is_fresh = (F.col("n") >= least) & (F.col("state") % 2 == 0) & (length < max_len)
     # what is published after step s is complete after step s + shards
     while step < shards or step <= last + shards:
-        rows = (blocks.filter(F.col("shard") == step % shards).select("keys", "ids")
-                .mapInArrow(_counter(step, shards, max_len, published, schema), ", ".join(fields)).withColumn("before", F.lit(0).cast("long")))
+        rows = blocks.filter(F.col("shard") == step % shards).select("keys", "ids").mapInArrow(_counter(step, shards, max_len, published, schema), ", ".join(fields))
         if carried is not None:
-            rows = rows.unionByName(carried.withColumn("before", F.col("n")))
-        complete = F.col("start") + shards <= step + 1
+            rows = rows.unionByName(carried)
+        complete = F.floor(F.col("state") / 2) + shards <= step + 1
         path = f"{root}/step-{step}"
-        (rows.groupBy("length", "start", *keys).agg(F.sum("n").alias("n"), F.sum("before").alias("before")).withColumn("complete", complete)
+        (rows.groupBy(*keys).agg(F.max("state").alias("state"), F.sum("n").alias("n")).withColumn("complete", complete)
          .filter(~F.col("complete") | (F.col("n") >= least)).write.partitionBy("complete").parquet(path))
         if step:
             _remove(f"{root}/step-{step - 1}/complete=false")                    # merged into this step's counts
         now = spark.read.schema(stores).option("basePath", path).parquet(path)
-        fresh = now.filter((F.col("length") < max_len) & (F.col("n") >= least) & (F.col("before") < least))
-        for r in sorted(fresh.groupBy("length").count().collect()):
-            bits, bitmap = _published(fresh, r.length, keys, r["count"])
+        fresh = now.filter(is_fresh)
+        for r in sorted(fresh.groupBy(length.alias("length")).count().collect()):
+            bits, bitmap = _published(fresh.filter(length == r.length), keys[: r.length], r["count"])
             published[r.length].append((step, bits, bitmap))
             last = step
-        carried = now.filter(~F.col("complete")).drop("before", "complete")
-        finished.append(now.filter("complete").select("length", *keys, "n"))
+        carried = now.filter(~F.col("complete")).select(*keys, (F.col("state") + is_fresh.cast("int")).alias("state"), "n")
+        finished.append(now.filter("complete").select(length.alias("length"), *keys, "n"))
         step += 1
     _remove(f"{root}/step-{step - 1}/complete=false")
     out = finished[0]
