@@ -312,6 +312,21 @@ def _cut_score(left: Column, right: Column) -> Column:
     return F.call_function("div", a * a * F.lit(1000000).cast("decimal(7,0)"), l * r)
 
 
+def _ranked(found: DataFrame, top: int | None) -> DataFrame:
+    """Ranks within each language, at most ``top``. Range parts are ranked by themselves and shifted by the rows of the parts
+    before, so a language with most of the phrases is no single task."""
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
+    parts = stored(found.repartitionByRange("lang", *order).withColumn("part", F.spark_partition_id()), "ranges")
+    sizes = parts.groupBy("lang", "part").count()
+    earlier = Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.withColumn("before", F.coalesce(F.sum("count").over(earlier), F.lit(0))).drop("count")
+    if top is not None:
+        before = before.filter(F.col("before") < top)
+    inside = F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))
+    ranked = parts.join(before, ["lang", "part"]).withColumn("rank", (F.col("before") + inside).cast("long"))
+    return (ranked if top is None else ranked.filter(F.col("rank") <= top)).drop("part", "before")
+
+
 def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text", least: int = 10, max_len: int = 3, top: int | None = 2000,
                  covered: int = 50, shards: int = SHARDS, block_bytes: int = BLOCK_BYTES, open_bytes: int = OPEN_BYTES) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): the best ``top`` phrases (None: all) of 2 to ``max_len`` words of each language.
@@ -361,9 +376,6 @@ def collocations(docs: DataFrame, lang_col: str = "lang", text_col: str = "text"
                 F.col("longer").isNull() | (F.lit(100).cast("decimal(3,0)") * F.col("longer") < F.lit(covered).cast("decimal(3,0)") * F.col("a")))
         rows = rows.select("lang", F.concat_ws(" ", *(f"w{i}" for i in range(length))).alias("phrase"), "a", "best.l", "best.r", "best.score")
         found = rows if found is None else found.unionByName(rows)
-    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase").asc()]
-    ranked = found.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long"))
-    if top is not None:
-        ranked = ranked.filter(F.col("rank") <= top)
+    ranked = _ranked(stored(found, "candidates"), top)
     sizes = blocks.groupBy("lang").agg(F.sum("n_words").alias("n"))
     return ranked.join(sizes, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score")
