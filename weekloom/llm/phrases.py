@@ -32,7 +32,7 @@ from pyspark.sql import functions as F
 from weekloom.llm.common import shared_folder, stored
 
 #: Bytes of text in a block (a longer text is a block of its own), in all open blocks of a task, and in a pass over a block's bytes.
-BLOCK_BYTES, OPEN_BYTES, PASS_BYTES = 1 << 23, 1 << 25, 1 << 20
+BLOCK_BYTES, OPEN_BYTES, PASS_BYTES = 5 << 20, 1 << 24, 1 << 20
 SHARDS = 3
 #: log2 of the bits of a published bitmap: 16 bits a phrase between these bounds (16 MB at most).
 LEAST_BITS, MOST_BITS = 15, 27
