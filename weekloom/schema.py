@@ -44,27 +44,21 @@ OBSERVATION_SCHEMA = T.StructType([
     T.StructField("data_quality_flag", _string),
 ])
 
-ENTITY_SCHEMA = T.StructType([
-    T.StructField("channel_id", _string),
-    T.StructField("channel_name", _string),
-    T.StructField("handle", _string),
-    T.StructField("category", _string),
-    T.StructField("country", _string),
-    T.StructField("language", _string),
-    T.StructField("status", _string),
-    T.StructField("created_date", _string),
-    T.StructField("description", _string),
-    T.StructField("keywords", T.ArrayType(_string)),
-    T.StructField("current_metrics", T.StructType([
-        T.StructField("subscriber_count", _long),
-        T.StructField("total_view_count", _long),
-        T.StructField("video_count", _long),
-        T.StructField("avg_views_per_video", T.DoubleType()),
-        T.StructField("subscriber_to_view_ratio", T.DoubleType()),
-    ])),
-    T.StructField("validation_flags", T.ArrayType(_string)),
-    T.StructField("metadata", T.MapType(_string, _string)),
-])
+# --- fixed values: fields of a nested entity record, with the value of an absent one ----------------
+ENTITY_FIELDS = {
+    "channel_id": ("string", None), "channel_name": ("string", ""), "channel_handle": ("string", ""), "category": ("string", "Other"),
+    "country": ("string", ""), "language": ("string", ""), "status": ("string", "unknown"), "created_date": ("string", None),
+    "description": ("string", ""), "keywords": ("array<string>", []),
+    "current_metrics.subscriber_count": ("bigint", 0), "current_metrics.total_view_count": ("bigint", 0), "current_metrics.video_count": ("bigint", 0),
+    "current_metrics.total_longform_views": ("bigint", 0), "current_metrics.total_shorts_views": ("bigint", 0),
+    "current_metrics.average_views_per_video": ("double", 0.0), "current_metrics.subscriber_to_view_ratio": ("double", 0.0),
+    "current_metrics.last_updated": ("string", None),
+    "history.first_data_point": ("string", None), "history.last_data_point": ("string", None), "history.total_data_points": ("bigint", 0),
+    "history.data_coverage_percentage": ("double", 0.0), "history.junction_points_validated": ("array<string>", []),
+    "history.collection_sources_used": ("array<string>", []), "history.quality_score": ("double", 0.0),
+    "collection_metadata": ("variant", {}), "data_quality_score": ("double", 0.0), "validation_flags": ("array<string>", []),
+    "last_validated": ("string", None), "processing_status": ("string", "pending"), "processing_notes": ("string", ""), "last_updated": ("string", None),
+}
 
 API_ITEM_TYPE = T.StructType([
     T.StructField("id", _string),
@@ -90,18 +84,20 @@ API_ITEM_TYPE = T.StructType([
     ])),
 ])
 
-API_PAYLOAD_SCHEMA = T.StructType([
-    T.StructField("items", T.ArrayType(API_ITEM_TYPE)),
-    T.StructField("error", T.StructType([
-        T.StructField("code", T.IntegerType()),
-        T.StructField("message", _string),
-        T.StructField("errors", T.ArrayType(T.StructType([
-            T.StructField("message", _string),
-            T.StructField("domain", _string),
-            T.StructField("reason", _string),
-        ]))),
-    ])),
-])
+def value_or(kind: str, default) -> Column:
+    """The literal for an absent field of a record."""
+    if kind == "variant":
+        return F.parse_json(F.lit("{}"))
+    return F.array().cast(kind) if kind.startswith("array") else F.lit(default).cast(kind)
+
+
+def nested(fields: dict[str, Column]) -> list[Column]:
+    """Columns of dotted names, one level deep, as columns and structs in their order."""
+    groups: dict[str, list[Column]] = {}
+    for name, value in fields.items():
+        head, _, tail = name.partition(".")
+        groups.setdefault(head, []).append(value.alias(tail) if tail else value.alias(head))
+    return [F.struct(*cols).alias(head) if any(n.startswith(head + ".") for n in fields) else cols[0] for head, cols in groups.items()]
 
 
 def rank_of(col: Column | str, ranks: dict[str, float], default: float = 0) -> Column:

@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 
 from weekloom.functions import scalars as S
 from weekloom.operators.projections import add_enhanced_columns
-from weekloom.schema import API_PAYLOAD_SCHEMA, BASE_COLUMNS, ENTITY_SCHEMA
+from weekloom.schema import API_ITEM_TYPE, BASE_COLUMNS, ENTITY_FIELDS, nested, value_or
+from weekloom.sources.json_records import json_elements, read_json_records, records_of
 
 
 class Source(Protocol):
@@ -20,16 +21,28 @@ class Source(Protocol):
     def read(self, spark: SparkSession) -> DataFrame: ...
 
 
+#: Typed columns of a JSON panel; counts and the datetime are read as text and parsed as in TSV.
+_PANEL_KINDS = {"total_longform_views": "bigint", "total_shorts_views": "bigint", "year": "int"}
+
+
+def _fields_of_first(spark: SparkSession, path: str) -> list[str]:
+    """Field names of the first JSON line; reads no more than that."""
+    first = spark.read.text(path).filter(F.trim("value") != "").select(F.json_object_keys("value").alias("k")).limit(1).collect()
+    return list(first[0].k or []) if first else []
+
+
 def read_panel(spark: SparkSession, path: str, fmt: str = "tsv", start=None, end=None) -> DataFrame:
     """Read a base panel, type it and add the enhanced defaults.
 
-    TSV is read as text: bad numbers become 0, bad datetimes null. Parquet may be partitioned by
-    year; date bounds then also prune partitions.
+    TSV and JSON are read as text: bad numbers become 0, bad datetimes null. JSON lines have the
+    fields of the first record, so no scan is spent on a schema. Parquet may be partitioned by year;
+    date bounds then also prune partitions.
     """
     if fmt == "tsv":
         raw = spark.read.option("sep", "\t").option("header", True).csv(path)
     elif fmt == "json":
-        raw = spark.read.json(path)
+        names = _fields_of_first(spark, path)
+        raw = spark.read.schema(", ".join(f"`{n}` {_PANEL_KINDS.get(n, 'string')}" for n in names)).json(path) if names else spark.createDataFrame([], ", ".join(f"{c} string" for c in BASE_COLUMNS))
     elif fmt == "parquet":
         raw = spark.read.parquet(path)
     else:
@@ -61,14 +74,14 @@ def read_panel(spark: SparkSession, path: str, fmt: str = "tsv", start=None, end
 def read_entities(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame:
     """Entity list from CSV, nested JSON records or one id per text line.
 
-    ``json`` is an array (or one record) per file, ``jsonl`` one record per line.
+    ``json`` is an array or a record per file or a record per line, read in splits; it gives every field of the nested
+    record, absent ones with their defaults, and in ``record`` (VARIANT) the record as it was, with all other fields.
+    Items that are no objects, or have neither ``channel_id`` nor ``id``, drop out.
     """
     if fmt in ("json", "jsonl"):
-        schema = ENTITY_SCHEMA.add("id", "string") if "id" not in ENTITY_SCHEMA.fieldNames() else ENTITY_SCHEMA
-        raw = spark.read.schema(schema).option("multiLine", fmt == "json").json(path)
-        ident = F.coalesce(F.nullif(F.trim("channel_id"), F.lit("")), F.trim("id"))
-        out = raw.withColumn("channel_id", ident).drop("id")
-    elif fmt == "csv":
+        rows = read_json_records(spark, path).filter(F.schema_of_variant("record").startswith("OBJECT"))
+        return typed_entities(rows).filter(F.coalesce(F.col("channel_id"), F.lit("")) != "")
+    if fmt == "csv":
         raw = spark.read.option("header", True).csv(path)
         ids = [F.nullif(F.trim(F.col(c)), F.lit("")) for c in ("channel_id", "id") if c in raw.columns]
         names = [F.col(c) for c in ("channel_name", "name") if c in raw.columns]
@@ -82,43 +95,58 @@ def read_entities(spark: SparkSession, path: str, fmt: str = "csv") -> DataFrame
     return out.filter(F.coalesce(F.col("channel_id"), F.lit("")) != "")
 
 
-def _payloads(spark: SparkSession, path: str, multiline: bool) -> DataFrame:
-    return spark.read.schema(API_PAYLOAD_SCHEMA).option("multiLine", multiline).json(path)
+def typed_entities(records: DataFrame, record: str = "record") -> DataFrame:
+    """The nested entity record of each VARIANT in ``record``, which stays beside it."""
+    fields = {}
+    for name, (kind, default) in ENTITY_FIELDS.items():
+        value = F.try_variant_get(record, f"$.{name}", kind)
+        fields[name] = value if default is None else F.coalesce(value, value_or(kind, default))
+    given = [F.nullif(F.trim(F.try_variant_get(record, f"$.{n}", "string")), F.lit("")) for n in ("channel_id", "id")]
+    fields["channel_id"] = F.coalesce(*given)
+    fields["channel_name"] = S.fallback_name(fields["channel_id"], fields["channel_name"])
+    return records.select(*nested(fields), F.col(record).alias("record"))
 
 
-def read_api_payloads(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """One row per returned item (column ``item``); empty and error payloads give none.
+def read_api_payloads(spark: SparkSession, path: str) -> DataFrame:
+    """One row per returned item: typed (``item``) and as it came (``record``, VARIANT); empty and error payloads give none.
 
-    One payload per file, or with ``multiline=False`` one per line, which can be split.
+    Payloads are objects per file or line, or arrays of them; files are read in splits.
     """
-    return _payloads(spark, path, multiline).select(F.explode("items").alias("item"))
+    items = F.try_variant_get("record", "$.items", "array<variant>")
+    rows = read_json_records(spark, path).select(F.explode(items).alias("record"))
+    return rows.select(F.from_json(F.to_json("record"), API_ITEM_TYPE).alias("item"), "record")
 
 
-def read_api_errors(spark: SparkSession, path: str, multiline: bool = True) -> DataFrame:
-    """One row per error payload with its code and first reason."""
-    rows = _payloads(spark, path, multiline).filter(F.col("error").isNotNull())
-    return rows.select(F.col("error.code").alias("code"), F.col("error.message").alias("message"),
-                       F.try_element_at("error.errors", F.lit(1))["reason"].alias("reason"))
+def read_api_errors(spark: SparkSession, path: str) -> DataFrame:
+    """One row per error payload with its code and first reason, and the payload as it came."""
+    def got(name: str, kind: str):
+        return F.try_variant_get("record", f"$.error{name}", kind)
+    rows = read_json_records(spark, path).filter(F.schema_of_variant(got("", "variant")).startswith("OBJECT"))
+    return rows.select(got(".code", "int").alias("code"), got(".message", "string").alias("message"), got(".errors[0].reason", "string").alias("reason"), "record")
 
 
 def read_snapshot_index(spark: SparkSession, path: str, fmt: str = "json") -> DataFrame:
     """Index rows (timestamp, original, statuscode, digest).
 
-    ``json``: one array of arrays per file, first row the header; ``jsonl``: one such array per
+    ``json``: one array of arrays per file, first row the header, read in splits; ``jsonl``: one such array per
     line. ``text``: space separated urlkey, timestamp, original, mime, status, digest.
     """
-    lines = spark.read.text(path, wholetext=(fmt == "json"))
-    if fmt in ("json", "jsonl"):
-        rows = (lines.select(F.from_json("value", "array<array<string>>").alias("r"))
+    columns = ("timestamp", "original", "statuscode", "digest")
+    if fmt == "json":
+        rows = records_of(json_elements(spark, path, sep="]"))
+        head = F.from_json("opening", "array<string>")
+        rows = rows.select(F.try_variant_get("record", "$", "array<string>").alias("_v"), head.alias("_h")).filter(F.col("_v").isNotNull() & ~F.col("_v").eqNullSafe(F.col("_h")))
+    elif fmt == "jsonl":
+        rows = (spark.read.text(path).select(F.from_json("value", "array<array<string>>").alias("r"))
                 .select(F.col("r")[0].alias("_h"), F.posexplode("r").alias("_i", "_v")).filter(F.col("_i") > 0))
-        return rows.select(*[F.try_element_at("_v", F.array_position("_h", c).cast("int")).alias(c)
-                             for c in ("timestamp", "original", "statuscode", "digest")])
-    if fmt != "text":
+    elif fmt == "text":
+        parts = F.split(F.trim("value"), r"\s+")
+        rows = spark.read.text(path).select(parts.alias("p")).filter(F.size("p") >= 6)
+        return rows.select(F.col("p")[1].alias("timestamp"), F.col("p")[2].alias("original"), F.col("p")[4].alias("statuscode"),
+                           F.col("p")[5].alias("digest"))
+    else:
         raise ValueError("fmt must be json, jsonl or text")
-    parts = F.split(F.trim("value"), r"\s+")
-    rows = lines.select(parts.alias("p")).filter(F.size("p") >= 6)
-    return rows.select(F.col("p")[1].alias("timestamp"), F.col("p")[2].alias("original"), F.col("p")[4].alias("statuscode"),
-                       F.col("p")[5].alias("digest"))
+    return rows.select(*[F.try_element_at("_v", F.nullif(F.array_position("_h", c), F.lit(0)).cast("int")).alias(c) for c in columns])
 
 
 def read_page_snapshots(spark: SparkSession, path: str) -> DataFrame:
