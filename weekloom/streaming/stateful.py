@@ -1,86 +1,146 @@
-"""Deltas and weekly checks on arrival, with per-entity state."""
+"""Deltas and weekly checks on arrival, with an ordered history per entity in RocksDB."""
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from datetime import date, timedelta
 
-import pandas as pd
-from pyspark.sql import DataFrame
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
+from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
 _OUT = ("channel string, week date, views bigint, subs bigint, delta_views bigint, delta_subs bigint, "
-        "gap_days int, off_rhythm boolean, sub_growth_hit boolean, view_growth_hit boolean, late boolean")
-# last released row, and the arrived rows still inside the watermark, in parallel arrays
-_STATE = ("last_week date, last_views bigint, last_subs bigint, "
-          "weeks array<date>, views array<bigint>, subs array<bigint>")
-
-
-def _release(key, rows: pd.DataFrame, last: tuple | None) -> tuple[pd.DataFrame, tuple | None]:
-    """Deltas of consecutive released rows, continuing from the last released one."""
-    rows = rows.sort_values("week", kind="stable")
-    if last is not None:
-        rows = pd.concat([pd.DataFrame([{"week": last[0], "views": last[1], "subs": last[2]}]), rows], ignore_index=True)
-    week = pd.to_datetime(rows["week"])
-    gap = week.diff().dt.days
-    prev_v, prev_s = rows["views"].shift(), rows["subs"].shift()
-    dv, ds = (rows["views"] - prev_v).fillna(0), (rows["subs"] - prev_s).fillna(0)
-    out = pd.DataFrame({
-        "channel": key, "week": week.dt.date, "views": rows["views"].astype("int64"), "subs": rows["subs"].astype("int64"),
-        "delta_views": dv.astype("int64"), "delta_subs": ds.astype("int64"), "gap_days": gap.astype("Int32"),
-        "off_rhythm": ((gap < 4) | (gap > 10)).fillna(False),
-        "sub_growth_hit": (ds / (prev_s + 1) > 0.2).fillna(False),
-        "view_growth_hit": (dv / (prev_v + 1) > 0.5).fillna(False), "late": False,
-    })
-    if last is not None:
-        out = out.iloc[1:]
-    tail = rows.iloc[-1]
-    return out, (week.iloc[-1].date(), int(tail["views"]), int(tail["subs"]))
-
-
-def _late(key, rows: pd.DataFrame) -> pd.DataFrame:
-    """Rows at or before the last released week, without deltas."""
-    none = pd.array([None] * len(rows), dtype="Int64")
-    return pd.DataFrame({"channel": key, "week": pd.to_datetime(rows["week"]).dt.date, "views": rows["views"].astype("int64"), "subs": rows["subs"].astype("int64"),
-                         "delta_views": none, "delta_subs": none, "gap_days": pd.array([None] * len(rows), dtype="Int32"),
-                         "off_rhythm": False, "sub_growth_hit": False, "view_growth_hit": False, "late": True})
-
-
-def _step(key, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    last, held = None, []
-    if state.exists:
-        lw, lv, ls, weeks, views, subs = state.get
-        last = None if lw is None else (lw, lv, ls)
-        held = list(zip(weeks, views, subs))
-    for b in batches:
-        held += list(zip(b["week"], b["views"], b["subs"]))
-    limit = pd.Timestamp(state.getCurrentWatermarkMs(), unit="ms").date()
-    rows = pd.DataFrame(held, columns=["week", "views", "subs"]).drop_duplicates("week", keep="first")
-    if last is not None:
-        behind = rows[rows["week"] <= last[0]]     # its neighbours are released, so there is no delta to take
-        if len(behind):
-            yield _late(key[0], behind)
-        rows = rows[rows["week"] > last[0]]
-    ready, wait = rows[rows["week"] < limit], rows[rows["week"] >= limit]
-    if len(ready):
-        out, last = _release(key[0], ready, last)
-        yield out
-    state.update((None, None, None, list(wait["week"]), list(wait["views"]), list(wait["subs"])) if last is None else
-                 (*last, list(wait["week"]), list(wait["views"]), list(wait["subs"])))
-    if len(wait):
-        due = pd.Timestamp(wait["week"].min()) + pd.Timedelta(days=1)
-        state.setTimeoutTimestamp(max(int(due.timestamp() * 1000), state.getCurrentWatermarkMs() + 1))
-
-
-def stream_deltas(stream: DataFrame, key: str = "channel") -> DataFrame:
+        "gap_days int, off_rhythm boolean, sub_growth_hit boolean, view_growth_hit boolean, late boolean, revision int")
+_DAY = 86_400_000
+_EPOCH = date(1970, 1, 1)
+
+
+def use_rocksdb(spark: SparkSession) -> None:
+    """State of queries that start from now on lives in RocksDB, outside of the heap; running and restarted ones keep theirs."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
+    spark.conf.set("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
+
+
+class DeltaProcessor(StatefulProcessor):
+    """One entity's weeks in order: those that wait for the release, and those released within the horizon.
+
+    A week is released when the newest event time is more than ``lateness`` days past it. The stream's watermark lies
+    ``horizon`` days behind the newest event, so rows that old still arrive here: a late one gets its delta from the
+    history, and the released week behind it comes out again with the next ``revision``. Weeks beyond the horizon are
+    dropped but for the latest, from which the next delta is taken.
+    """
+
+    def __init__(self, lateness: int, horizon: int):
+        self.lateness, self.horizon = lateness, horizon
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.weeks = handle.getMapState("weeks", "day int", "views bigint, subs bigint, released boolean, revision int")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
+        arrived = {}
+        for r in rows:
+            if r.week is not None:
+                arrived.setdefault((r.week - _EPOCH).days, (r.views or 0, r.subs or 0))
+        yield from self._advance(key[0], arrived, timerValues.getCurrentWatermarkInMs())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
+        yield from self._advance(key[0], {}, timerValues.getCurrentWatermarkInMs())
+
+    def close(self) -> None:
+        pass
+
+    def _advance(self, channel: str, arrived: dict[int, tuple], watermark: int) -> Iterator[Row]:
+        watermark = max(watermark, 0)
+        before = {k[0]: tuple(v) for k, v in self.weeks.iterator()}
+        held = dict(before)
+        released = [d for d, v in held.items() if v[2]]
+        newest_released = max(released) if released else None
+        late = set()
+        for day, (views, subs) in arrived.items():
+            if day not in held:                                    # the first arrival of a week counts
+                is_late = newest_released is not None and day < newest_released
+                held[day] = (views, subs, is_late, 0)
+                if is_late:
+                    late.add(day)
+        limit = watermark // _DAY + self.horizon - self.lateness
+        days = sorted(held)
+        out = []
+        for i, day in enumerate(days):
+            views, subs, done, revision = held[day]
+            if done and day not in late:
+                # its neighbour is new
+                if i == 0 or days[i - 1] not in late:
+                    continue
+                revision += 1
+            elif not done and day >= limit:
+                continue
+            held[day] = (views, subs, True, revision)
+            out.append(self._row(channel, day, held[day], (days[i - 1], held[days[i - 1]]) if i else None, day in late))
+        yield from out
+        # history ends at the watermark, but for the week before it
+        old = [d for d in sorted(held) if held[d][2] and d < watermark // _DAY][:-1]
+        for d in old:
+            del held[d]
+        for d in before.keys() - held.keys():
+            self.weeks.removeKey((d,))
+        for d, value in held.items():
+            if before.get(d) != value:
+                self.weeks.updateValue((d,), value)
+        self._schedule(held, watermark)
+
+    def _schedule(self, held: dict[int, tuple], watermark: int) -> None:
+        """One timer: when the next week is due, or when the second oldest released one passes out of the horizon."""
+        due = [(d + 1 - self.horizon + self.lateness) * _DAY for d, v in held.items() if not v[2]]
+        released = sorted(d for d, v in held.items() if v[2])
+        due += [(d + 1) * _DAY for d in released[1:2]]
+        for timer in list(self.handle.listTimers()):
+            self.handle.deleteTimer(timer)
+        if due:
+            self.handle.registerTimer(max(min(due), watermark + 1))
+
+    @staticmethod
+    def _row(channel: str, day: int, now: tuple, before: tuple | None, late: bool) -> Row:
+        views, subs, _, revision = now
+        gap, dv, ds, view_hit, sub_hit = None, 0, 0, False, False
+        if before is not None:
+            gap, dv, ds = day - before[0], views - before[1][0], subs - before[1][1]
+            view_hit = before[1][0] != -1 and dv / (before[1][0] + 1) > 0.5
+            sub_hit = before[1][1] != -1 and ds / (before[1][1] + 1) > 0.2
+        return Row(channel=channel, week=_EPOCH + timedelta(days=day), views=views, subs=subs, delta_views=dv, delta_subs=ds, gap_days=gap,
+                   off_rhythm=gap is not None and (gap < 4 or gap > 10), sub_growth_hit=sub_hit, view_growth_hit=view_hit, late=late, revision=revision)
+
+
+def stream_deltas(stream: DataFrame, key: str = "channel", lateness_days: int = 3, horizon_days: int = 60) -> DataFrame:
     """Deltas and limit hits per entity and week as rows arrive.
 
-    Input: (channel, week, views, subs, event_time with watermark), one row per entity and week
-    (``stream_dedup``). Rows wait until the watermark passes their week, so late arrivals inside
-    it are put in order before their delta is taken. Rows at or before a released week come out at
-    once with ``late`` set and no deltas. The state holds the last released row and
-    the few weeks inside the watermark.
+    Input: (channel, week, views, subs, event_time with a watermark of ``horizon_days``), one row per entity and week
+    (``stream_dedup``). A week comes out once ``lateness_days`` have passed; a row that arrives after a later week of
+    its entity was released comes out at once with ``late`` set, and the week behind it again with the next
+    ``revision``. For each (entity, week) the row of the highest revision counts (``latest_revision``), and those rows
+    equal the batch operators over all rows that were not older than the horizon when they arrived.
+    The state is one small ordered history per entity, in RocksDB; each release and each expiry has its timer.
     """
+    if horizon_days < lateness_days:
+        raise ValueError("horizon_days must be at least lateness_days")
+    use_rocksdb(stream.sparkSession)
     rows = stream.select(key, "week", "views", "subs", "event_time").withColumnRenamed(key, "channel")
-    return rows.groupBy("channel").applyInPandasWithState(
-        _step, outputStructType=_OUT, stateStructType=_STATE, outputMode="append",
-        timeoutConf=GroupStateTimeout.EventTimeTimeout)
+    return rows.groupBy("channel").transformWithState(DeltaProcessor(lateness_days, horizon_days), outputStructType=_OUT, outputMode="append", timeMode="EventTime")
+
+
+def latest_revision(emitted: DataFrame, key: str = "channel", t: str = "week") -> DataFrame:
+    """The standing row of each entity and week; combines in the map task."""
+    rest = [c for c in emitted.columns if c not in (key, t)]
+    best = emitted.groupBy(key, t).agg(F.max(F.struct("revision", *[c for c in rest if c != "revision"])).alias("_r"))
+    return best.select(key, t, *[F.col(f"_r.{c}").alias(c) for c in rest])
+
+
+def delta_state(spark: SparkSession, checkpoint: str, batch_id: int | None = None) -> DataFrame:
+    """The history a delta query keeps, read from its checkpoint: (channel, week, views, subs, released, revision)."""
+    reader = spark.read.format("statestore").option("stateVarName", "weeks")
+    if batch_id is not None:
+        reader = reader.option("batchId", batch_id)
+    v = F.col("user_map_value")
+    return reader.load(checkpoint).select(F.col("key.channel").alias("channel"), F.date_add(F.lit(_EPOCH), F.col("user_map_key.day")).alias("week"),
+                                          v["views"].alias("views"), v["subs"].alias("subs"), v["released"].alias("released"), v["revision"].alias("revision"))
