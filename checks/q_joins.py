@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import fixtures as X
-from checks.registry import joined, query, r6
+from checks.registry import ORACLES, joined, query, r6
 from weekloom.operators import joins as J, projections, setops
 from weekloom.schema import BASE_COLUMNS
 
@@ -137,15 +137,38 @@ def _(spark, sf):
                                  X.observations(spark, sf).select("channel", "week", "views", "subs"))
 
 
+def _versions(spark, sf):
+    before = X.full_panel(spark, sf)
+    after = before.withColumn("views", F.when(F.col("subs") % 10 == 3, F.col("views") + 1).otherwise(F.col("views")))
+    return projections.to_base_format(before, "week"), projections.to_base_format(after, "week")
+
+
 @query("g2_preservation_check", """SELECT *, change FROM (
  SELECT channel, category, strftime(week, '%Y-%m-%dT00:00:00') AS datetime, views, delta_views, subs, delta_subs, videos, delta_videos, activity, 'lost' AS change, CAST(1 AS BIGINT) AS copies
  FROM full_panel WHERE subs % 10 = 3
  UNION ALL SELECT channel, category, strftime(week, '%Y-%m-%dT00:00:00'), views + 1, delta_views, subs, delta_subs, videos, delta_videos, activity, 'added', 1
  FROM full_panel WHERE subs % 10 = 3)""".replace("*, change", "*"), "full_panel")
 def _(spark, sf):
-    before = X.full_panel(spark, sf)
-    after = before.withColumn("views", F.when(F.col("subs") % 10 == 3, F.col("views") + 1).otherwise(F.col("views")))
-    return setops.preservation_check(projections.to_base_format(before, "week"), projections.to_base_format(after, "week"), BASE_COLUMNS)
+    return setops.preservation_check(*_versions(spark, sf), BASE_COLUMNS)
+
+
+@query("g2_preservation_by_entity", ORACLES["g2_preservation_check"])
+def _(spark, sf):
+    # trees of both versions are kept; only entities in ranges that differ are read again
+    before, after = _versions(spark, sf)
+    trees = [setops.fingerprint_tree(df, BASE_COLUMNS, ["channel"], 12) for df in (before, after)]
+    changed = setops.changed_ranges(*trees).filter("level = 2")
+    return setops.preservation_check(before, after, BASE_COLUMNS, ["channel"], changed, 12)
+
+
+@query("g2_fingerprint", """SELECT CAST(1 AS INTEGER) AS versions, (SELECT count(*) FROM full_panel) AS rows""", "full_panel")
+def _(spark, sf):
+    # the same rows in another order and other files have the same fingerprint, changed ones another
+    before, after = _versions(spark, sf)
+    same = setops.fingerprint(before).unionByName(setops.fingerprint(before.repartition(7, "week")))
+    other = setops.fingerprint(after)
+    found = same.select("rows", "fingerprint").distinct()
+    return found.join(other.select("fingerprint"), "fingerprint", "left_anti").agg(F.count(F.lit(1)).cast("int").alias("versions"), F.max("rows").alias("rows"))
 
 
 @query("g3_distinct_entities", "SELECT DISTINCT channel FROM observations", "observations")

@@ -12,6 +12,7 @@ from checks.q_reports import _OVER, SCORES_CTES, SCORES_SQL, _phases, _validated
 from checks.q_windows import _P, _steps_sql
 from checks.registry import cte, joined, query, r6
 from weekloom import plans
+from weekloom.operators import joins
 from weekloom.operators.aggregates import parse_log_lines
 from weekloom.plans import panel as PP
 from weekloom.sources.page_store import write_page_store
@@ -53,6 +54,49 @@ def _(spark, sf):
     return plans.publish(X.defects(spark, sf), scratch(spark, "publish"))
 
 
+@query("l1_publish_versions", "SELECT channel, week, views, subs, data_quality_flag, 'second' AS run FROM defects", "defects")
+def _(spark, sf):
+    from checks.scratch import scratch
+    from weekloom.sources import versions as V
+    path = scratch(spark, "versions")
+    panel = X.defects(spark, sf)
+    plans.publish(panel.filter(F.col("week") < F.lit(X.J2)), path, run="first")
+    # a write that dies leaves the first version in place
+    broken = panel.withColumn("views", F.when(F.col("week") > F.lit(X.J2), F.raise_error(F.lit("lost")).cast("bigint")).otherwise(F.col("views")))
+    try:
+        plans.publish(broken, path, run="second")
+    except Exception:  # noqa: BLE001
+        seen = V.current(spark, path)["run"]
+    else:
+        seen = "none"
+    if seen != "first" or V.read_version(spark, path).agg(F.max("week")).first()[0] >= X.J2:
+        raise ValueError(f"half a panel was seen: {seen}")
+    plans.publish(panel, path, run="second")
+    plans.publish(panel.limit(0), path, run="second")        # repeated: changes nothing
+    return V.read_version(spark, path).select("channel", "week", "views", "subs", "data_quality_flag", F.lit(V.current(spark, path)["run"]).alias("run"))
+
+
+@query("c3_run_in_parts", "SELECT channel, channel_name, status FROM enriched", "enriched")
+def _(spark, sf):
+    from checks.scratch import scratch
+    from weekloom.sources.versions import run_in_parts
+    path, items, turns = scratch(spark, "parts"), X.api_items(spark, sf), []
+
+    def enrich(part):
+        turns.append(1)
+        if len(turns) == 3:
+            raise RuntimeError("lost")
+        return joins.enrich_entities(part, items).select("channel", "channel_name", "status")
+    try:
+        run_in_parts(X.entities(spark, sf), enrich, path, "r", 4)
+    except RuntimeError:
+        pass
+    out = run_in_parts(X.entities(spark, sf), enrich, path, "r", 4)
+    if len(turns) != 5:
+        raise ValueError("finished parts were processed again")
+    return out
+
+
 @query("l2_assemble_final", "SELECT channel, week, views, data_quality_flag FROM validated", "validated")
 def _(spark, sf):
     base, extra = _sources(spark, sf)

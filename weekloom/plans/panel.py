@@ -9,6 +9,7 @@ from weekloom.operators import joins, junctions, quality, ranking, setops, windo
 from weekloom.operators.aggregates import value_distribution
 from weekloom.schema import METRICS, QUALITY_FLAGS
 from weekloom.session import cut_lineage
+from weekloom.sources.versions import publish_version, read_version
 from weekloom.sources.writers import read_written, write_panel, write_summary
 
 
@@ -40,12 +41,17 @@ def build_enriched_panel(base: DataFrame, entities: DataFrame, extra: list[DataF
     return joins.attach_metadata(rows, entities, key)
 
 
-def publish(panel: DataFrame, path: str, fmt: str = "parquet", t: str = "week", mode: str = "errorifexists") -> DataFrame:
+def publish(panel: DataFrame, path: str, fmt: str = "parquet", t: str = "week", mode: str = "errorifexists", run: str | None = None) -> DataFrame:
     """Write the panel and its summary; returns the flag counts.
 
-    Summary and counts read the written files, whatever their format, so the panel is computed once.
+    Summary and counts read the written files, whatever their format, so the panel is computed once. With ``run`` the
+    panel becomes the version of that run (``sources.versions``): it is seen in full or not at all, and a run that is
+    repeated after it published changes nothing.
     """
     spark = panel.sparkSession
+    if run is not None:
+        publish_version(panel, path, run, fmt, t)
+        return value_distribution(read_version(spark, path, run), "data_quality_flag", QUALITY_FLAGS)
     write_panel(panel, f"{path}/panel", fmt, t=t, mode=mode)
     done = read_written(panel, f"{path}/panel", fmt, t)
     write_summary(done, f"{path}/summary", t=t, mode=mode)

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from weekloom.functions.scalars import week_start_sunday
 from weekloom.operators.windows import deltas
+from weekloom.sources import storage
 
 BUCKETS = 64
 METRICS = ("views", "subs")
@@ -46,7 +47,7 @@ def merge_observations(spark: SparkSession, path: str, obs: DataFrame, key: str
     """
     obs = obs.filter(F.col(key).isNotNull() & F.col(t).isNotNull()).select(key, t, *metrics)
     columns = [key, "week", t, *metrics]
-    made = spark.read.schema("buckets int").json(f"{path}/layout").first() if _exists(spark, f"{path}/layout") else None
+    made = spark.read.schema("buckets int").json(f"{path}/layout").first() if storage.exists(spark, f"{path}/layout") else None
     if made is None:
         _write(_placed(deltas(weekly_rows(obs, key, t, metrics), list(metrics), key, "week"), buckets, key), f"{path}/data")
         spark.createDataFrame([(buckets,)], "buckets int").coalesce(1).write.mode("overwrite").json(f"{path}/layout")
@@ -79,18 +80,13 @@ def read_merged(spark: SparkSession, path: str, like: DataFrame, key: str = "cha
     return spark.read.schema(_schema(like, key, t, metrics)).parquet(f"{path}/data")
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
-
-
 def run_backfill(spark: SparkSession, path: str, late_path: str, schema: str, key: str = "channel", t: str = "obs_date", metrics=METRICS) -> list[int]:
     """Merge the late rows of all batches under ``late_path`` (as ``stream_late`` writes them) that were not merged yet.
 
     Returns their batch numbers. The ledger is written after the panel, so a lost run is repeated in full.
     """
     late = spark.read.schema(f"{schema}, batch bigint").parquet(late_path)
-    done = spark.read.schema("batch bigint").json(f"{path}/ledger") if _exists(spark, f"{path}/ledger") else spark.createDataFrame([], "batch bigint")
+    done = spark.read.schema("batch bigint").json(f"{path}/ledger") if storage.exists(spark, f"{path}/ledger") else spark.createDataFrame([], "batch bigint")
     open_batches = late.select("batch").distinct().join(done, "batch", "left_anti").orderBy("batch")
     todo = [r.batch for r in open_batches.collect()]                             # one number for each micro-batch
     if todo:
