@@ -238,13 +238,13 @@ def uploads(spark: SparkSession, sf: str) -> DataFrame:
     """One upload count per entity and order day: a growing count seen on some days only."""
     o = table(spark, sf, "orders")
     day = F.col("o_orderdate").cast("date")
-    seen = o.filter(F.col("o_orderstatus") != "P").groupBy(
+    seen = o.groupBy(
         _channel(F.col("o_custkey") % 100).alias("channel"), day.alias("obs_date")).agg(F.max(F.col("o_orderkey") % 50).alias("m"))
     return seen.select("channel", "obs_date", (F.col("m") + F.datediff("obs_date", F.lit("1990-01-01").cast("date"))).alias("upload_count"))
 
 
 cte("uploads", """SELECT concat('S', lpad(CAST(o_custkey % 100 AS VARCHAR), 6, '0')) AS channel, CAST(o_orderdate AS DATE) AS obs_date,
- max(o_orderkey % 50) + max(CAST(o_orderdate AS DATE) - DATE '1990-01-01') AS upload_count FROM orders WHERE o_orderstatus <> 'P' GROUP BY 1, 2""")
+ max(o_orderkey % 50) + max(CAST(o_orderdate AS DATE) - DATE '1990-01-01') AS upload_count FROM orders GROUP BY 1, 2""")
 
 
 def collector_events(spark: SparkSession, sf: str) -> DataFrame:

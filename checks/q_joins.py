@@ -52,6 +52,17 @@ def _(spark, sf):
     return J.missing_weeks(X.panel(spark, sf), J.dense_spine(X.entities(spark, sf), *X.SPINE))
 
 
+@query("c6_missing_runs", """SELECT channel, min(week) AS gap_start, CAST(count(*) AS INTEGER) AS gap_weeks FROM (SELECT *, week - CAST(row_number() OVER (PARTITION BY channel ORDER BY week) AS INTEGER) * 7 AS island
+ FROM spine_panel WHERE views IS NULL) GROUP BY channel, island""", "spine_panel")
+def _(spark, sf):
+    return J.missing_runs(X.panel(spark, sf), X.entities(spark, sf), *X.SPINE)
+
+
+@query("c6_weeks_of_runs", "SELECT channel, week FROM spine_panel WHERE views IS NULL", "spine_panel")
+def _(spark, sf):
+    return J.weeks_of_runs(J.missing_runs(X.panel(spark, sf), X.entities(spark, sf), *X.SPINE))
+
+
 @query("c7_asof_before", f"""SELECT channel, week, views, subs, videos FROM panel WHERE week < DATE '{X.J1}'
  QUALIFY row_number() OVER (PARTITION BY channel ORDER BY week DESC) = 1""", "panel")
 def _(spark, sf):

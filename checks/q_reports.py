@@ -97,13 +97,12 @@ _ERAS = [("history", date(1995, 1, 1), date(1997, 9, 6), 0.80), ("middle", date(
 _ERA_SQL = "CASE " + " ".join(f"WHEN week BETWEEN DATE '{a}' AND DATE '{b}' THEN '{n}'" for n, a, b, _ in _ERAS) + " END"
 
 
-@query("d8_coverage_report", f"""WITH e AS (SELECT {_ERA_SQL} AS era, collection_source AS source, channel FROM observations WHERE {_ERA_SQL} IS NOT NULL AND CAST(substr(channel, 2) AS BIGINT) % 9 <> 4 OR week < DATE '1996-01-01'),
+@query("d8_coverage_report", f"""WITH e AS (SELECT {_ERA_SQL} AS era, collection_source AS source, channel FROM observations WHERE {_ERA_SQL} IS NOT NULL),
 r AS (SELECT era, source, count(DISTINCT channel) AS entities FROM e GROUP BY ROLLUP (era, source)),
 t AS (SELECT *, entities / (SELECT entities FROM r WHERE era IS NULL) AS share, CASE era WHEN 'history' THEN 0.8 WHEN 'middle' THEN 0.95 WHEN 'current' THEN 0.98 ELSE 0.9 END::DOUBLE AS goal FROM r)
 SELECT COALESCE(era, 'ALL') AS era, COALESCE(source, 'ALL') AS source, entities, round(share, 6) AS share, goal, share >= goal AS met FROM t""", "observations")
 def _(spark, sf):
-    o = X.observations(spark, sf).filter((F.substring("channel", 2, 20).cast("bigint") % 9 != 4) | (F.col("week") < F.lit(date(1996, 1, 1))))
-    return r6(A.coverage_report(o, _ERAS), "share")
+    return r6(A.coverage_report(X.observations(spark, sf), _ERAS), "share")
 
 
 @query("d9_collector_stats", """SELECT collector, count(*) AS requests_made, CAST(count_if(success) AS BIGINT) AS requests_successful, CAST(count(*) - count_if(success) AS BIGINT) AS requests_failed,

@@ -54,3 +54,28 @@ def test_spread_keeps_exact_positions(spark):
     got = R.spread_snapshots(df).collect()
     assert sorted(r.pos for r in got if r.channel == "a") == sorted({int(i * 37 / 10) for i in range(10)})
     assert sum(r.channel == "b" for r in got) == 4
+
+
+@pytest.mark.parametrize("n,part_rows", [(6000, 500), (6000, 10**6), (40, 1)])
+def test_positions_with_one_busy_day(spark, n, part_rows):
+    """One entity and one day hold most rows, stamps repeat or cannot be read: parts stay even, positions stay exact."""
+    rng = random.Random(4)
+    rows = []
+    for i in range(n):
+        hot = i % 3 != 0
+        stamp = "20200101" + f"{rng.randint(0, 86399):06d}" if hot else rng.choice(["20200102000000", "oops", None, f"2021{rng.randint(0, 10**9)}"])
+        rows.append(("hot" if hot or i % 2 else f"c{i % 5}", stamp, f"d{rng.randint(0, 40)}"))
+    rows += rows[: n // 10]
+    df = spark.createDataFrame(rows, "channel string, timestamp string, digest string")
+    got = R.position_in_key(df, "channel", ["timestamp", "digest"], part_rows=part_rows)
+    want = {}
+    for r in sorted(rows, key=lambda r: (r[0], r[1] is not None, r[1] or "", r[2])):
+        want.setdefault(r[0], []).append(r)
+    assert sorted((r.channel, r.pos, r.timestamp or "", r.digest, r.total) for r in got.collect()) == sorted(
+        (c, i, r[1] or "", r[2], len(rs)) for c, rs in want.items() for i, r in enumerate(rs))
+
+
+def test_parts_of_a_hot_entity_are_even(spark):
+    df = spark.range(20000).select(F.lit("hot").alias("channel"), F.lit("20200101").alias("timestamp"), F.sha2(F.col("id").cast("string"), 256).alias("digest"))
+    sizes = sorted(r["count"] for r in R.parts_of(df, "channel", ["timestamp", "digest"], part_rows=1000).groupBy("_part").count().collect())
+    assert len(sizes) >= 15 and sizes[-1] <= 3 * sizes[len(sizes) // 2]

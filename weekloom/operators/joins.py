@@ -97,6 +97,31 @@ def missing_weeks(df: DataFrame, spine: DataFrame, key: str = "channel", week: s
     return spine.join(df.select(key, week), [key, week], "left_anti")
 
 
+def missing_runs(df: DataFrame, entities: DataFrame, start, end, key: str = "channel", week: str = "week") -> DataFrame:
+    """(key, gap_start, gap_weeks): unbroken runs of Sundays from ``start`` to ``end`` without a row, for every entity.
+
+    Gaps and islands: each row looks at the one before it, and a closing row after the range ends the last run, so the
+    work follows the rows that exist and no entity is ever laid out week by week. Entities without rows have one run.
+    Rows outside of the range or between Sundays count for nothing; rows of unknown entities are left out.
+    """
+    def sunday(value, shift: int):
+        return F.date_sub(F.date_add(F.lit(value).cast("date"), shift), (F.dayofweek(F.date_add(F.lit(value).cast("date"), shift)) - 1).cast("int"))
+    first, after = sunday(start, 6), F.date_add(sunday(end, 0), 7)
+    present = df.select(key, F.col(week).cast("date").alias(week)).filter(F.col(week).between(first, F.date_sub(after, 7)) & (F.dayofweek(week) == 1))
+    ends = entities.select(key).distinct().select(key, after.alias(week), F.lit(True).alias("_known"))
+    rows = present.withColumn("_known", F.lit(False)).unionByName(ends)
+    w = Window.partitionBy(key).orderBy(week)
+    before = F.coalesce(F.lag(week).over(w), F.date_sub(first, 7))
+    rows = rows.withColumns({"gap_start": F.date_add(before, 7), "gap_weeks": (F.datediff(F.col(week), before) / 7).cast("int") - 1,
+                             "_known": F.max("_known").over(Window.partitionBy(key))})
+    return rows.filter(F.col("_known") & (F.col("gap_weeks") > 0)).select(key, "gap_start", "gap_weeks")
+
+
+def weeks_of_runs(runs: DataFrame, key: str = "channel", week: str = "week") -> DataFrame:
+    """The single weeks of ``missing_runs``: as many rows as there are weeks missing."""
+    return runs.select(key, F.explode(F.transform(F.sequence(F.lit(0), F.col("gap_weeks") - 1), lambda i: F.date_add(F.col("gap_start"), (i * 7).cast("int")))).alias(week))
+
+
 def asof_before(df: DataFrame, cutoff, key: str = "channel", t: str = "week", inclusive: bool = False,
                 carry=("views", "subs", "videos")) -> DataFrame:
     """Per entity the last row before the cutoff; entities without one drop out."""

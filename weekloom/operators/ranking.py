@@ -58,23 +58,45 @@ def promote_latest(df: DataFrame, current_week, key: str = "channel", t: str = "
     }).drop("_newest"))
 
 
-def position_in_key(df: DataFrame, key: str, order: list[str], bucket: Column) -> DataFrame:
-    """Add ``pos`` (0-based position in the entity's order) and ``total``.
+#: Rows of an entity that one task may order, and parts that a larger entity is cut into at most.
+PART_ROWS, MOST_PARTS = 1 << 20, 512
 
-    ``bucket`` must be monotone in the order. Positions are counted inside (entity, bucket)
-    and shifted by the entity's earlier bucket counts, so no task sorts a whole hot entity.
+
+def parts_of(df: DataFrame, key: str, order: list[str], leading: Column | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+    """Distinct rows of ``df`` with ``_copies``, their place in the order (``_o``) and the ``_part`` of their entity they are in.
+
+    An entity of more than ``part_rows`` rows is cut at splitters that are sampled from its own rows, so parts are even
+    whatever values crowd together; any other one is one part.
+    """
+    columns = df.columns
+    by = [*order, *[c for c in columns if c not in (key, *order)]]
+    rows = df.groupBy(*columns).agg(F.count(F.lit(1)).alias("_copies")).withColumn("_o", F.struct(*([] if leading is None else [leading.alias("_l")]), *by))
+    sizes = rows.groupBy(key).agg(F.count(F.lit(1)).alias("_rows"))
+    # a hashed sample of each large entity's rows, some 32 for each part; every 32nd one is a splitter
+    parts = F.least(F.ceil(F.col("_rows") / part_rows), F.lit(MOST_PARTS))
+    large = sizes.filter(F.col("_rows") > part_rows).select(key, F.greatest(F.floor(F.col("_rows") / (32 * parts)), F.lit(1)).alias("_every"))
+    taken = rows.join(large, key).filter(F.pmod(F.xxhash64("_o"), F.col("_every")) == 0)
+    sample = taken.groupBy(key).agg(F.array_sort(F.collect_list("_o")).alias("_s"))
+    cuts = sample.select(key, F.filter("_s", lambda x, i: (i + 1) % 32 == 0).alias("_cuts"))
+    return rows.join(cuts, key, "left").withColumn("_part", F.coalesce(F.size(F.filter("_cuts", lambda c: c <= F.col("_o"))), F.lit(0))).drop("_cuts")
+
+
+def position_in_key(df: DataFrame, key: str, order: list[str], leading: Column | None = None, part_rows: int = PART_ROWS) -> DataFrame:
+    """Add ``pos`` (0-based position in the entity's order, all other columns breaking ties) and ``total``.
+
+    ``leading`` is compared before ``order``; nulls come first everywhere. No task orders a whole hot entity: equal rows
+    are one row with a count, positions are counted inside even parts and shifted by the entity's earlier ones.
     """
-    rows = df.withColumn("_bucket", F.coalesce(bucket, F.lit(-1)))
-    counts = rows.groupBy(key, "_bucket").agg(F.count(F.lit(1)).alias("_c"))
+    columns = df.columns
+    placed = parts_of(df, key, order, leading, part_rows)
     w = Window.partitionBy(key)
-    before = w.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select(key, "_bucket", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"),
-                            F.sum("_c").over(w).alias("total"))
-    inner = Window.partitionBy(key, "_bucket").orderBy(*order)
-    return (rows.withColumn("_rn", F.row_number().over(inner))
-            .join(offsets, [key, "_bucket"])
-            .withColumn("pos", F.col("_before") + F.col("_rn") - 1)
-            .drop("_bucket", "_rn", "_before"))
+    counts = placed.groupBy(key, "_part").agg(F.sum("_copies").alias("_c"))
+    before = w.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(key, "_part", F.coalesce(F.sum("_c").over(before), F.lit(0)).alias("_before"), F.sum("_c").over(w).alias("total"))
+    inner = Window.partitionBy(key, "_part").orderBy("_o").rowsBetween(Window.unboundedPreceding, -1)
+    first = placed.withColumn("_at", F.coalesce(F.sum("_copies").over(inner), F.lit(0))).join(offsets, [key, "_part"])
+    copies = F.explode(F.sequence(F.lit(0).cast("bigint"), F.col("_copies") - 1))
+    return first.select(*columns, "total", (F.col("_before") + F.col("_at")).alias("_p"), copies.alias("_i")).select(*columns, "total", (F.col("_p") + F.col("_i")).alias("pos"))
 
 
 def spread_snapshots(idx: DataFrame, n: int | None = 10, key: str = "channel", stamp: str = "timestamp",
@@ -83,7 +105,7 @@ def spread_snapshots(idx: DataFrame, n: int | None = 10, key: str = "channel", s
     ok = idx.filter(F.col("statuscode").cast("string") == "200")
     if n is None:
         return ok
-    placed = position_in_key(ok, key, [stamp, tie], F.unix_date(S.parse_snapshot_ts(stamp).cast("date")))
+    placed = position_in_key(ok, key, [stamp, tie])
     wanted = F.transform(F.sequence(F.lit(0), F.lit(n - 1)),
                          lambda i: F.floor(i * F.col("total") / F.lit(float(n))).cast("bigint"))
     return (placed.filter((F.col("total") <= n) | F.array_contains(wanted, F.col("pos").cast("bigint")))
