@@ -7,10 +7,11 @@ from datetime import date
 from pyspark.sql import functions as F
 
 from checks import fixtures as X
-from checks.registry import cte, joined, query, r6
+from checks.registry import ORACLES, cte, joined, query, r6
+from checks.scratch import scratch
 from checks.q_windows import QRANK, SRANK, _P
 from weekloom.functions import scalars as S
-from weekloom.operators import aggregates as A, quality as Q, windows as W
+from weekloom.operators import aggregates as A, quality as Q, sketches as SK, windows as W
 from weekloom.schema import QUALITY_FLAGS, SOURCES
 from weekloom.sources.writers import flatten_report
 
@@ -105,6 +106,41 @@ def _(spark, sf):
     return r6(A.coverage_report(X.observations(spark, sf), _ERAS), "share")
 
 
+def _stored_cells(spark, sf, rows):
+    """Cells by year, written for the first years and then for the others."""
+    path = scratch(spark, "cells")
+    for later in (False, True):
+        part = rows.filter((F.year("week") >= 1998) == later)
+        SK.write_cells(SK.cells(part, F.year("week")), path)
+    return SK.read_cells(spark, path)
+
+
+@query("d1_summary_of_cells", ORACLES["d1_dataset_summary"])
+def _(spark, sf):
+    return SK.summary_of_cells(_stored_cells(spark, sf, X.defects(spark, sf))).withColumns({"collection_sources": _map("collection_sources"), "quality_flags": _map("quality_flags")})
+
+
+@query("d4_cells_by_source", "SELECT collection_source, count(*) AS rows, min(week) AS first_day, max(week) AS last_day, count(DISTINCT channel) AS entities FROM defects GROUP BY 1", "defects")
+def _(spark, sf):
+    return SK.merged(_stored_cells(spark, sf, X.defects(spark, sf)), "collection_source")
+
+
+@query("d8_coverage_of_cells", """SELECT era, source, count(DISTINCT channel) AS entities FROM (SELECT CASE WHEN year(week) < 1998 THEN 'early' ELSE 'late' END AS era, collection_source AS source, channel FROM observations) GROUP BY ROLLUP (era, source)""", "observations")
+def _(spark, sf):
+    cells = _stored_cells(spark, sf, X.observations(spark, sf))
+    return SK.coverage_of_cells(cells, F.when(F.col("part").cast("int") < 1998, F.lit("early")).otherwise(F.lit("late")))
+
+
+@query("d8_sketch_error", "SELECT count(DISTINCT l_orderkey) AS orders, true AS within FROM lineitem")
+def _(spark, sf):
+    # entities by the thousand: three standard errors around the exact number
+    li = X.table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("channel"), F.to_date("l_shipdate").alias("week"), F.lit("API").alias("collection_source"), F.col("l_returnflag").alias("data_quality_flag"))
+    exact = li.select("channel").distinct().agg(F.count(F.lit(1)).alias("orders"))
+    seen = SK.merged(_stored_cells(spark, sf, li)).select(F.col("entities").alias("e"))
+    both = exact.unionByName(seen, allowMissingColumns=True).agg(F.max("orders").alias("orders"), F.max("e").alias("e"))
+    return both.select("orders", (F.abs(F.col("e") - F.col("orders")) <= 3 * SK.standard_error() * F.col("orders")).alias("within"))
+
+
 @query("d9_collector_stats", """SELECT collector, count(*) AS requests_made, CAST(count_if(success) AS BIGINT) AS requests_successful, CAST(count(*) - count_if(success) AS BIGINT) AS requests_failed,
  round(CAST(count_if(success) / count(*) * 100 AS DOUBLE), 6) AS success_rate, round(avg(wait), 6) AS average_wait, CAST(sum(data_points) AS BIGINT) AS data_points_collected FROM collector_events GROUP BY collector""", "collector_events")
 def _(spark, sf):

@@ -139,8 +139,16 @@ def coverage_report(df: DataFrame, eras: list[tuple[str, date, date, float]], to
         inside = F.col(t).between(F.lit(lo).cast("date"), F.lit(hi).cast("date"))
         era = F.when(inside, F.lit(name)) if era is None else era.when(inside, F.lit(name))
         goal = F.when(F.col("era") == name, F.lit(g)) if goal is None else goal.when(F.col("era") == name, F.lit(g))
-    cells = df.select(key, era.alias("era"), F.col(source).alias("source")).filter(F.col("era").isNotNull()).distinct()
-    out = cells.rollup("era", "source").agg(F.count_distinct(key).alias("entities"))
+    # an entity has few eras and sources: its own and their totals are listed once for each entity, so nothing is counted distinct
+    cells = df.select(key, era.alias("era"), F.col(source).alias("source")).filter(F.col("era").isNotNull())
+    pair = F.struct("era", "source")
+    own = cells.groupBy(key).agg(F.collect_set(pair).alias("_p"))
+    eras = F.array_distinct(F.transform("_p", lambda p: F.struct(p["era"].alias("era"), F.lit(None).cast("string").alias("source"))))
+    every = F.array(F.struct(F.lit(None).cast("string").alias("era"), F.lit(None).cast("string").alias("source")))
+    # a subtotal is marked, as a source may be null itself
+    listed = F.concat(*[F.transform(c, lambda p, level=level: F.struct(F.lit(level).alias("level"), p["era"].alias("era"), p["source"].alias("source")))
+                        for level, c in enumerate((every, eras, F.col("_p")))])
+    out = own.select(F.explode(listed).alias("g")).groupBy("g.level", "g.era", "g.source").agg(F.count(F.lit(1)).alias("entities")).drop("level")
     if total_entities is not None:
         total = F.lit(int(total_entities))
     else:

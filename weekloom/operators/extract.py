@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekloom.functions import scalars as S
+from weekloom.functions import literals as L, scalars as S
 from weekloom.operators.joins import nearest_join
 from weekloom.operators.ranking import first_per_week
 
@@ -40,127 +40,145 @@ def _has(html: Column, word: str) -> Column:
     return F.lower(html).contains(word)
 
 
-def _numbers(csv: Column) -> Column:
-    """Comma separated numbers to an array of doubles; a trailing comma is ignored."""
-    parts = F.split(F.regexp_replace(csv, r"[\s\[\]]", ""), ",")
-    return F.transform(F.filter(parts, lambda p: p != ""), lambda p: p.try_cast(_NUM))
-
-
-def _texts(csv: Column) -> Column:
-    """Items of a script array: quoted items whole, otherwise comma separated."""
-    quoted = _all(csv, r"""["']([^"']*)["']""")
-    plain = F.transform(F.split(csv, ","), lambda p: F.trim(p))
-    return F.when(F.size(quoted) > 0, quoted).otherwise(F.filter(plain, lambda p: p != ""))
-
-
 # --- chart points ----------------------------------------------------------------------------
 #
-# Two steps per library. ``*_text`` cuts the chart text out of the page as array<string>; the
-# page itself is not needed after that. The second step parses those texts. Arrays are zipped
-# before they are transformed: indexing one array from a lambda over another would parse it
-# again per element.
+# Two steps per library. ``*_text`` cuts the chart's literals out of the page's scripts as
+# array<string>; the page itself is not needed after that. The second step reads those texts as
+# JSON. Arrays are zipped before they are transformed: indexing one array from a lambda over
+# another would parse it again per element. A null in a series stays null; a series that is not
+# there counts as 0.
 
 _POINT = "array<struct<date_text:string,subs:bigint,views:bigint,longform_views:bigint,shorts_views:bigint>>"
+#: An object that has labels of its own: between its bracket and the name stand whole values only. All loops are
+#: possessive, so they take no stack.
+_STRING = r'"(?:[^"\\]|\\.)*+"'
+_NESTED = rf'\{{(?:[^{{}}"]++|{_STRING}|\{{(?:[^{{}}"]++|{_STRING}|\{{(?:[^{{}}"]++|{_STRING})*+\}})*+\}})*+\}}'
+_LABELLED = rf'(?=\{{(?:[^{{}}"]++|(?!"labels":\[){_STRING}|{_NESTED})*+"labels":\[)'
+
+
+def _dygraph_text(js: Column) -> Column:
+    return F.when(js.contains('"data":[') | js.contains("Dygraph("), F.concat(
+        L.behind(js, r'"data":', r"\[\["), L.behind(js, r"Dygraph\([^,\[]*,", r"\[\[")))
 
 
-def _dygraph_text(html: Column) -> Column:
-    named = _all(html, r"(?si)data\s*:\s*\[\s*(\[.*?\])\s*,?\s*\]")
-    placed = _all(html, r"(?si)new\s+Dygraph\s*\([^,\[]*,\s*\[\s*(\[.*?\])\s*,?\s*\]")
-    return F.when(_has(html, "data") | _has(html, "dygraph"), F.concat(named, placed))
+def _highcharts_text(js: Column) -> Column:
+    """Categories and series of the first chart; the series is cut off where the next one begins."""
+    return F.when(js.contains('"series":['), F.array(L.first_behind(js, '"categories":'), L.first_behind(js, '"series":')))
 
 
-def _highcharts_text(html: Column) -> Column:
-    # every array keeps its position, whatever it holds: numbers, nulls, or [time, value] pairs
-    series = _all(_one(html, r"(?si)series\s*:\s*\[(.*)"), r"(?si)data\s*:\s*\[((?:[^\[\]]|\[[^\[\]]*+\])*+)\]")
-    return F.when(html.contains("series"), F.concat(F.array(_one(html, r"(?si)categories\s*:\s*\[(.*?)\]")), series))
+def _plotly_text(js: Column) -> Column:
+    return F.when(js.contains('"x":['), F.array(L.first_behind(js, '"x":'), L.first_behind(js, '"y":')))
 
 
-def _plotly_text(html: Column) -> Column:
-    return F.when(html.rlike(r"\bx\s*:\s*\["), F.array(_one(html, r"(?s)\bx\s*:\s*\[(.*?)\]"), _one(html, r"(?s)\by\s*:\s*\[(.*?)\]")))
+def _chartjs_text(js: Column) -> Column:
+    """Every object with labels of its own, whatever its name."""
+    parts = F.split(js, _LABELLED, -1)
+    return F.when(js.contains('"labels":['), F.filter(parts, lambda t: t.startswith("{") & t.contains('"labels":[')))
 
 
-def _chartjs_text(html: Column) -> Column:
-    """Everything that is assigned an object under a chart's name; the parser stops at the object's end."""
-    after = F.split(html, r"(?:chartData|graphData|data|__NEXT_DATA__)[\"']?\s*[:=]\s*(?=\{)", -1)
-    named = F.filter(F.slice(after, F.lit(2), F.greatest(F.size(after) - 1, F.lit(0))), lambda t: t.contains("labels"))
-    return F.when(html.contains("labels"), named)
+def _series_text(js: Column) -> Column:
+    return F.when(js.contains('"seriesData":['), L.behind(js, '"seriesData":', r"\["))
 
 
 def _table_text(html: Column) -> Column:
     return F.when(_has(html, "<tr"), _all(html, r"(?si)<tr[^>]*>(.*?)</tr>"))
 
 
-_TEXT = {"dygraph": _dygraph_text, "highcharts": _highcharts_text, "plotly": _plotly_text, "chartjs": _chartjs_text,
-         "unknown": _table_text}
+#: Texts from the page's literals, in the order in which a page without a library's name is tried.
+_TEXT = {"dygraph": _dygraph_text, "highcharts": _highcharts_text, "plotly": _plotly_text, "chartjs": _chartjs_text, "series": _series_text}
 
 
 def _zip(dates: Column, subs: Column, views: Column | None = None, longform: Column | None = None,
          shorts: Column | None = None) -> Column:
-    """Points of zipped lists; positions without a date are left out later, absent numbers are 0."""
-    none = F.array().cast("array<double>")
+    """Points of zipped lists; positions without a date are left out later. Nulls of a series stay; a series that is
+    absent, or ends before the dates do, counts as 0."""
     lists = {"d": F.coalesce(dates, F.array().cast("array<string>"))}
     for n, c in (("s", subs), ("v", views), ("l", longform), ("h", shorts)):
-        lists[n] = none if c is None else F.coalesce(c, none)
+        given = F.array().cast("array<double>") if c is None else F.coalesce(c, F.array().cast("array<double>"))
+        # each value in a struct, so that a null of the series and the end of the series differ
+        lists[n] = F.transform(given, lambda x: F.struct(x.alias("x")))
 
     def num(v: Column) -> Column:
-        return F.coalesce(v, F.lit(0.0)).cast("bigint")
+        return F.when(v.isNull(), F.lit(0).cast("bigint")).otherwise(v["x"].cast("bigint"))
 
     return F.transform(F.arrays_zip(*[c.alias(n) for n, c in lists.items()]), lambda z: F.struct(
         z["d"].alias("date_text"), num(z["s"]).alias("subs"), num(z["v"]).alias("views"), num(z["l"]).alias("longform_views"),
         num(z["h"]).alias("shorts_views"))).cast(_POINT)
 
 
-def _text_at(i: int) -> Column:
-    return F.try_element_at("_a", F.lit(i))
+def _text_at(a: Column, i: int) -> Column:
+    return F.try_element_at(a, F.lit(i))
 
 
-_PAIR = r"\[\s*(-?[0-9]+)\s*,\s*([^\]]*?)\s*\]"
+def _items(text: Column, path: str = "$") -> Column:
+    """The values of a JSON list at ``path`` as VARIANTs; null where there is no list."""
+    return F.try_variant_get(F.try_parse_json(text), path, "array<variant>")
 
 
-def _highcharts_points() -> Column:
-    """Dates are the categories or, in the pair form, the first series' times in milliseconds."""
-    paired = F.coalesce(_text_at(2).contains("["), F.lit(False))
+def _value(v: Column) -> Column:
+    """The number of a point that is a number, a pair or an object with ``y``, ``value`` or ``subs``."""
+    return F.coalesce(F.try_variant_get(v, "$[1]", _NUM), *[F.try_variant_get(v, f"$.{n}", _NUM) for n in ("y", "value", "subs", "subscribers")], F.try_variant_get(v, "$", _NUM))
 
-    def values(text: Column) -> Column:
-        return F.when(text.contains("["), F.transform(_all(text, _PAIR, 2), lambda v: v.try_cast(_NUM))).otherwise(_numbers(text))
-    dates = F.when(paired, _all(_text_at(2), _PAIR)).otherwise(_texts(_text_at(1)))
-    return _zip(dates, values(_text_at(2)), values(_text_at(3)))
 
+def _moment(v: Column) -> Column:
+    """The time of a point that is a pair or an object, as text."""
+    return F.coalesce(F.try_variant_get(v, "$[0]", "string"), *[F.try_variant_get(v, f"$.{n}", "string") for n in ("x", "date", "time", "timestamp")])
 
-def _plotly_points() -> Column:
+
+def _highcharts_points(a: Column) -> Column:
+    """Dates are the categories or, if the points carry their own, the first series' times."""
+    first, second = _items(_text_at(a, 2), "$[0].data"), _items(_text_at(a, 2), "$[1].data")
+    named = F.transform(_items(_text_at(a, 1)), lambda c: F.try_variant_get(c, "$", "string"))
+    timed = F.transform(first, _moment)
+    dates = F.when(F.exists(timed, lambda t: t.isNotNull()), timed).otherwise(named)
+    return _zip(dates, F.transform(first, _value), F.transform(second, _value))
+
+
+def _plotly_points(a: Column) -> Column:
     """Dates and values up to the shorter list; the value is the subscriber count."""
-    dates, values = _texts(_text_at(1)), _numbers(_text_at(2))
+    dates, values = F.transform(_items(_text_at(a, 1)), lambda c: F.try_variant_get(c, "$", "string")), F.transform(_items(_text_at(a, 2)), _value)
     n = F.greatest(F.least(F.size(dates), F.size(values)), F.lit(0))
     return F.slice(_zip(dates, values), F.lit(1), n)
 
 
-_CHARTJS_TYPE = "labels array<string>, datasets array<struct<label string, data array<double>>>"
-
-
-def _chartjs_points() -> Column:
-    lenient = {"allowUnquotedFieldNames": "true", "allowSingleQuotes": "true"}
-    read = F.transform("_a", lambda t: F.from_json(t, _CHARTJS_TYPE, lenient))
-    chart = F.try_element_at(F.filter(read, lambda c: (F.size(c["labels"]) > 0) & (F.size(c["datasets"]) > 0)), F.lit(1))
+def _chartjs_points(a: Column) -> Column:
+    charts = F.transform(a, lambda t: F.try_variant_get(F.try_parse_json(t), "$", "struct<labels:array<string>,datasets:array<variant>>"))
+    chart = F.try_element_at(F.filter(charts, lambda c: (F.size(c["labels"]) > 0) & (F.size(c["datasets"]) > 0)), F.lit(1))
 
-    def kind(label: Column) -> Column:
-        name = F.lower(F.coalesce(label, F.lit("")))
+    def kind(dataset: Column) -> Column:
+        name = F.lower(F.coalesce(F.try_variant_get(dataset, "$.label", "string"), F.lit("")))
         return (F.when(name.contains("subscriber"), F.lit("subs"))
                 .when(name.contains("total") & name.contains("view"), F.lit("views"))
                 .when(name.contains("long"), F.lit("longform")).when(name.contains("short"), F.lit("shorts"))
                 .otherwise(F.lit("other")))
 
     def last_of(name: str) -> Column:
-        return F.try_element_at(F.filter(chart["datasets"], lambda d: kind(d["label"]) == name), F.lit(-1))["data"]
+        chosen = F.try_element_at(F.filter(chart["datasets"], lambda d: kind(d) == name), F.lit(-1))
+        return F.transform(F.try_variant_get(chosen, "$.data", "array<variant>"), _value)
 
     return _zip(chart["labels"], last_of("subs"), last_of("views"), last_of("longform"), last_of("shorts"))
 
 
-_POINTS = {"highcharts": _highcharts_points, "plotly": _plotly_points, "chartjs": _chartjs_points}
+def _series_points(a: Column) -> Column:
+    """Points of the first list whose items carry a time; an object may state subscribers, views and their parts by name."""
+    lists = F.transform(a, lambda t: F.coalesce(_items(t, "$[0].data"), _items(t)))
+    points = F.try_element_at(F.filter(lists, lambda x: F.exists(x, lambda p: _moment(p).isNotNull())), F.lit(1))
+
+    def named(*names: str) -> Column:
+        found = F.transform(points, lambda p: F.coalesce(*[F.try_variant_get(p, f"$.{n}", _NUM) for n in names]))
+        return F.when(F.exists(found, lambda x: x.isNotNull()), found)            # no point has it: the series is absent
+    return _zip(F.transform(points, _moment), F.transform(points, _value), named("views", "total_views", "totalViews"), named("longform_views", "longform"), named("shorts_views", "shorts"))
+
+
+_POINTS = {"highcharts": _highcharts_points, "plotly": _plotly_points, "chartjs": _chartjs_points, "series": _series_points}
 
 
 def _cut(pages: DataFrame, html: str, library: str) -> DataFrame:
-    rows = pages.select(*PAGE_KEY, _hold(_TEXT[library](F.col(html))).alias("_a")).filter(F.size("_a") > 0)
-    return rows.withColumn("library", F.lit(library))
+    if library == "unknown":
+        rows = pages.select(*PAGE_KEY, _hold(_table_text(F.col(html))).alias("_a"))
+    else:
+        rows = pages.select(*PAGE_KEY, _hold(L.page_literals(F.col(html))).alias("_js")).select(*PAGE_KEY, _hold(_TEXT[library](F.col("_js"))).alias("_a"))
+    return rows.filter(F.size("_a") > 0).withColumn("library", F.lit(library))
 
 
 def _explode_points(rows: DataFrame, points: Column) -> DataFrame:
@@ -168,18 +186,27 @@ def _explode_points(rows: DataFrame, points: Column) -> DataFrame:
     return out.select(*PAGE_KEY, "_p.*", F.col("library").alias("extraction_method"))
 
 
+def _dygraph_series(a: Column) -> Column:
+    """All series of a page: of an array of rows every column behind the time is one, in order."""
+    def columns(text: Column) -> Column:
+        return F.transform(_items(text), lambda r: F.try_variant_get(r, "$", "array<variant>"))
+
+    def series(rows: Column) -> Column:
+        width = F.coalesce(F.array_max(F.transform(rows, lambda r: F.size(r))), F.lit(0))
+        return F.transform(F.when(width > 1, F.sequence(F.lit(1), width - 1)).otherwise(F.array().cast("array<int>")), lambda j: F.transform(rows, lambda r: F.struct(
+            F.try_variant_get(F.get(r, F.lit(0)), "$", _NUM).cast("bigint").alias("t"), F.try_variant_get(F.get(r, j), "$", _NUM).alias("v"))))
+    return F.flatten(F.transform(F.filter(F.transform(a, columns), lambda rows: rows.isNotNull()), series))
+
+
 def _dygraph_rows(rows: DataFrame) -> DataFrame:
-    rows = rows.select(*PAGE_KEY, F.posexplode("_a").alias("array_no", "_s"))
-    rows = rows.select(*PAGE_KEY, "array_no", F.posexplode(_all(F.col("_s"), r"\[([^\[\]]+)\]")).alias("pos", "_e"))
-    pair = F.split("_e", ",")
-    out = rows.select(*PAGE_KEY, "array_no", "pos",
-                      F.try_element_at(pair, F.lit(1)).try_cast(_NUM).cast("bigint").alias("epoch_ms"),
-                      F.trim(F.try_element_at(pair, F.lit(2))).try_cast(_NUM).alias("value"))
+    rows = rows.select(*PAGE_KEY, F.posexplode(_dygraph_series(F.col("_a"))).alias("array_no", "_s"))
+    rows = rows.select(*PAGE_KEY, "array_no", F.posexplode("_s").alias("pos", "_e"))
+    out = rows.select(*PAGE_KEY, "array_no", "pos", F.col("_e.t").alias("epoch_ms"), F.col("_e.v").alias("value"))
     return out.filter(F.col("epoch_ms").isNotNull() & F.col("value").isNotNull())
 
 
 def extract_dygraph(pages: DataFrame, html: str = "html") -> DataFrame:
-    """Every ``data: [[t, v], ...]`` array: key, array number, position, epoch_ms, value."""
+    """Every ``data: [[t, v, ...], ...]`` array: key, array number, position, epoch_ms, value; each column behind the time has a number."""
     return _dygraph_rows(_cut(pages, html, "dygraph"))
 
 
@@ -243,17 +270,22 @@ def combine_series(points: DataFrame, picked: DataFrame, tol_days: int = 28) ->
 
 def extract_highcharts(pages: DataFrame, html: str = "html") -> DataFrame:
     """Categories with the first series as subs and the second as views, one row per date."""
-    return _explode_points(_cut(pages, html, "highcharts"), _highcharts_points()).drop("longform_views", "shorts_views")
+    return _explode_points(_cut(pages, html, "highcharts"), _highcharts_points(F.col("_a"))).drop("longform_views", "shorts_views")
 
 
 def extract_plotly(pages: DataFrame, html: str = "html") -> DataFrame:
     """Dates and values zipped up to the shorter list; the value is the subscriber count."""
-    return _explode_points(_cut(pages, html, "plotly"), _plotly_points()).drop("longform_views", "shorts_views")
+    return _explode_points(_cut(pages, html, "plotly"), _plotly_points(F.col("_a"))).drop("longform_views", "shorts_views")
 
 
 def extract_chartjs(pages: DataFrame, html: str = "html") -> DataFrame:
     """Labelled datasets of an embedded chart object; absent series count as 0."""
-    return _explode_points(_cut(pages, html, "chartjs"), _chartjs_points())
+    return _explode_points(_cut(pages, html, "chartjs"), _chartjs_points(F.col("_a")))
+
+
+def extract_series(pages: DataFrame, html: str = "html") -> DataFrame:
+    """Points of ``seriesData`` lists: pairs, or objects with a time and a value."""
+    return _explode_points(_cut(pages, html, "series"), _series_points(F.col("_a")))
 
 
 def _cells(row: Column) -> Column:
@@ -312,7 +344,8 @@ def standardize(points: DataFrame, source: str = "WAYBACK_CHARTS") -> DataFrame:
     rows = points.withColumn("obs_date", S.parse_flexible_date("date_text")).filter(F.col("obs_date").isNotNull())
     numbers = [c for c in ("subs", "views", "videos", "longform_views", "shorts_views") if c in points.columns]
     missing = [c for c in ("subs", "views") if c not in points.columns]
-    rows = rows.withColumns({**{c: S.clean_numeric(F.col(c).cast("string")) for c in numbers},
+    # a point without a number stays without one
+    rows = rows.withColumns({**{c: F.when(F.col(c).isNotNull(), S.clean_numeric(F.col(c).cast("string"))) for c in numbers},
                              **{c: F.lit(0).cast("bigint") for c in missing}})
     rows = rows.drop("date_text").withColumn("_page", F.struct(*PAGE_KEY))
     return (first_per_week(rows, key="_page").drop("_page")
@@ -481,23 +514,29 @@ def extract_current_metrics(pages: DataFrame, html: str = "html") -> DataFrame:
 
 
 def chart_text(pages: DataFrame, html: str = "html") -> DataFrame:
-    """One pass over the pages: library and chart text; the html column ends here."""
-    text, lib = F.col(html), F.col("library")
-    cut = None
-    for name, fn in _TEXT.items():
-        cut = F.when(lib == name, fn(text)) if cut is None else cut.when(lib == name, fn(text))
-    rows = pages.select(*PAGE_KEY, html, _hold(S.detect_chart_library(html)).alias("library"))
-    rows = rows.select(*PAGE_KEY, html, "library", _hold(cut).alias("_a"))
-    # a page whose chart gives no point falls back to the data attribute, then to its history table
-    readable = F.size("_a") > 0
-    for name, points in _POINTS.items():
-        readable = F.when(lib == name, F.size(points()) > 0).otherwise(readable)
+    """One pass over the pages: library and chart text; the html column ends here.
+
+    The library that the page names is tried first, then every other one: what can be read counts, named or not. A page
+    without a readable chart falls back to its data attribute, then to its history table.
+    """
+    text, js = F.col(html), F.col("_js")
+    rows = pages.select(*PAGE_KEY, html, _hold(F.struct(S.detect_chart_library(html).alias("named"), L.page_literals(text).alias("js"))).alias("_n"))
+    rows = rows.select(*PAGE_KEY, html, F.col("_n.named").alias("named"), F.col("_n.js").alias("_js"))
+    none = F.array().cast("array<string>")
+    cut = F.array(*[F.struct(F.lit(name).alias("library"), F.coalesce(fn(js), none).alias("_a")) for name, fn in _TEXT.items()])
+    own = F.concat(F.filter(cut, lambda c: c["library"] == F.col("named")), F.filter(cut, lambda c: c["library"] != F.col("named")))
+    found = F.when(js.isNotNull(), F.filter(own, lambda c: F.size(c["_a"]) > 0))
     attr = F.filter(F.array(_attr_text(text, "data-subs")), lambda t: t.isNotNull())
-    spare = F.when(F.size(attr) > 0, F.struct(F.lit("data_attr").alias("library"), attr.alias("_a"))).otherwise(
-        F.struct(F.lit("unknown").alias("library"), F.coalesce(_table_text(text), F.array().cast("array<string>")).alias("_a")))
-    own = F.struct("library", "_a")
-    picked = rows.select(*PAGE_KEY, _hold(F.when((lib != "unknown") & F.coalesce(readable, F.lit(False)), own).otherwise(spare)).alias("_c"))
-    return picked.select(*PAGE_KEY, "_c.library", "_c._a").filter(F.size("_a") > 0)
+    spare = F.array(F.struct(F.lit("data_attr").alias("library"), attr.alias("_a")), F.struct(F.lit("unknown").alias("library"), F.coalesce(_table_text(text), none).alias("_a")))
+    listed = F.concat(F.coalesce(found, F.slice(cut, 1, 0)), F.filter(spare, lambda c: F.size(c["_a"]) > 0))
+
+    def readable(c: Column) -> Column:
+        ok = F.when(c["library"] == "dygraph", F.exists(_dygraph_series(c["_a"]), lambda s: F.exists(s, lambda p: p["t"].isNotNull() & p["v"].isNotNull())))
+        for name, points in _POINTS.items():
+            ok = ok.when(c["library"] == name, F.exists(points(c["_a"]), lambda p: p["date_text"].isNotNull()))
+        return F.coalesce(ok.otherwise(F.lit(True)), F.lit(False))
+    rows = rows.select(*PAGE_KEY, _hold(listed).alias("_c"))
+    return rows.select(*PAGE_KEY, _hold(F.get(F.filter("_c", readable), F.lit(0))).alias("_c")).filter("_c IS NOT NULL").select(*PAGE_KEY, "_c.library", "_c._a")
 
 
 def extract_points(pages: DataFrame, html: str = "html", materialize: bool = False) -> DataFrame:
@@ -514,7 +553,7 @@ def extract_points(pages: DataFrame, html: str = "html", materialize: bool = Fal
     lib = F.col("library")
     points = None
     for name, fn in _POINTS.items():
-        points = F.when(lib == name, fn()) if points is None else points.when(lib == name, fn())
+        points = F.when(lib == name, fn(F.col("_a"))) if points is None else points.when(lib == name, fn(F.col("_a")))
     raw = _dygraph_rows(rows.filter(lib == "dygraph"))
     if materialize:
         raw = cut_lineage(raw)
