@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import fixtures as X
 from checks.registry import ORACLES, joined, query, r6
-from weekloom.operators import joins as J, projections, setops
+from weekloom.operators import joins as J, projections, quantiles as Q, setops
+from weekloom.session import cut_lineage
 from weekloom.schema import BASE_COLUMNS
 
 
@@ -141,6 +143,20 @@ def _(spark, sf):
               "growth", "peer_growth", "peer_deviation")
 
 
+@query("c13_medians_of_parts", """WITH g AS (SELECT category, week, CASE WHEN p > 0 THEN (views - p) / p END AS growth FROM (SELECT *, lag(views) OVER (PARTITION BY channel ORDER BY week) AS p FROM panel))
+SELECT category, CAST(year(week) AS INTEGER) AS y, round(quantile_cont(growth, 0.5), 6) AS peer_growth, true AS near FROM g WHERE growth IS NOT NULL GROUP BY ALL""", "panel")
+def _(spark, sf):
+    # sketches of two parts of the rows, merged, give the quantile to some percent and the start of the exact one
+    p = F.lag("views").over(Window.partitionBy("channel").orderBy("week"))
+    rows = cut_lineage(X.panel(spark, sf).withColumn("p", p).filter("p > 0").select("channel", "category", F.year("week").alias("y"), ((F.col("views") - F.col("p")) / F.col("p").cast("double")).alias("growth")))
+    keys = ["category", "y"]
+    cells = Q.merge_cells(*[Q.quantile_cells(rows.filter(c), keys, "growth") for c in ("channel < 'S000050'", "channel >= 'S000050'")], keys=keys)
+    exact = Q.exact_quantile(rows, keys, "growth", 0.5, "peer_growth", spread=["channel"], cells=cells)
+    rough = Q.approx_quantile(cells, keys, 0.5, "_r")
+    out = exact.join(rough, keys).withColumn("near", F.abs(F.col("_r") - F.col("peer_growth")) <= 0.1 * F.abs("peer_growth") + 0.001)
+    return r6(out.drop("_r"), "peer_growth")
+
+
 @query("g1_append_sources", """SELECT channel, week, views, subs, videos, category FROM panel
  UNION ALL SELECT channel, week, views, subs, NULL, NULL FROM observations""", "panel", "observations")
 def _(spark, sf):

@@ -8,7 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from weekloom.operators import joins as J, ranking as R
-from weekloom.operators.quantiles import exact_quantile
+from weekloom.operators.quantiles import approx_quantile, exact_quantile, merge_cells, quantile_cells
 
 
 @pytest.mark.parametrize("p", [0.25, 0.5, 0.9])
@@ -79,3 +79,33 @@ def test_parts_of_a_hot_entity_are_even(spark):
     df = spark.range(20000).select(F.lit("hot").alias("channel"), F.lit("20200101").alias("timestamp"), F.sha2(F.col("id").cast("string"), 256).alias("digest"))
     sizes = sorted(r["count"] for r in R.parts_of(df, "channel", ["timestamp", "digest"], part_rows=1000).groupBy("_part").count().collect())
     assert len(sizes) >= 15 and sizes[-1] <= 3 * sizes[len(sizes) // 2]
+
+
+@pytest.mark.parametrize("limit", [1, 7, 65536])
+def test_exact_quantile_over_rounds(spark, limit):
+    """Hard values, null and hot groups; a small limit forces every round of counting."""
+    rng = random.Random(limit)
+    rows = [("hot", rng.choice([rng.gauss(0, 1), rng.uniform(1, 1.0001), 0.25, 0.25])) for _ in range(3000)]
+    rows += [(None, rng.choice([-1e300, -1e-300, 0.0, 5e-324, 1e300, 3.5])) for _ in range(40)] + [("one", 7.0), ("two", -2.0), ("two", 3.0), ("none", None)]
+    rows += [("ties", 1.5)] * 50 + [("near", 1.0 + i * 2.0**-52) for i in range(64)]
+    df = spark.createDataFrame([(g, v, i) for i, (g, v) in enumerate(rows)], "g string, v double, i int").repartition(5)
+    for p in (0.0, 0.31, 0.5, 1.0):
+        got = {r.g: r.q for r in exact_quantile(df, ["g"], "v", p, "q", spread=["i"], limit=limit).collect()}
+        want = {g: float(np.quantile([v for h, v in rows if h == g and v is not None], p)) for g in ("hot", None, "one", "two", "ties", "near")}
+        assert set(got) == set(want)
+        for g in want:
+            assert got[g] == pytest.approx(want[g], rel=1e-12, abs=1e-320), (g, p)
+
+
+def test_sketches_of_parts_are_kept_and_merged(spark):
+    rng = random.Random(9)
+    rows = [(rng.choice("ab"), rng.lognormvariate(0, 2) * rng.choice([1, -1])) for _ in range(4000)]
+    parts = [spark.createDataFrame(rows[i::3], "g string, v double") for i in range(3)]
+    cells = merge_cells(*[quantile_cells(p, ["g"], "v") for p in parts], keys=["g"])
+    whole = spark.createDataFrame(rows, "g string, v double")
+    assert sorted(map(tuple, cells.collect())) == sorted(map(tuple, quantile_cells(whole, ["g"], "v").select(cells.columns).collect()))
+    for p in (0.1, 0.5, 0.95):
+        want = {g: float(np.quantile([v for h, v in rows if h == g], p)) for g in "ab"}
+        assert {r.g: r.quantile for r in exact_quantile(whole, ["g"], "v", p, cells=cells).collect()} == pytest.approx(want)
+        near = {r.g: r.quantile for r in approx_quantile(cells, ["g"], p).collect()}
+        assert all(abs(near[g] - want[g]) <= 0.1 * abs(want[g]) for g in "ab")

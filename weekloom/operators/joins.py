@@ -267,12 +267,16 @@ def reconcile_current(df: DataFrame, current: DataFrame, key: str = "channel", t
 
 def peer_deviation(df: DataFrame, key: str = "channel", t: str = "week", category: str = "category",
                    metric: str = "views") -> DataFrame:
-    """Row growth against the median growth of its category in that week."""
+    """Row growth against the median growth of its category in that week.
+
+    The growth frame is written once and read for the medians' counts and for the comparison.
+    """
     from weekloom.operators.quantiles import exact_quantile
+    from weekloom.session import cut_lineage
 
     p = F.lag(metric).over(Window.partitionBy(key).orderBy(t))
     rows = df.withColumn("growth", F.when(p > 0, (F.col(metric) - p) / p.cast("double")))
-    rows = rows.filter(F.col("growth").isNotNull())
+    rows = cut_lineage(rows.filter(F.col("growth").isNotNull()))
     medians = exact_quantile(rows, [category, t], "growth", 0.5, "peer_growth", spread=[key])
     return (rows.join(medians, [category, t])
             .withColumn("peer_deviation", F.col("growth") - F.col("peer_growth")))

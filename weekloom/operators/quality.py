@@ -15,6 +15,7 @@ from weekloom.operators import windows as W
 from weekloom.operators.aggregates import one_row
 from weekloom.operators.junctions import Junction
 from weekloom.operators.quantiles import exact_quantile
+from weekloom.session import cut_lineage
 from weekloom.operators.ranking import pick_best
 from weekloom.schema import INTERPOLATED_WEIGHT, QUALITY_FLAGS, SEVERITIES, SOURCE_RANK, SOURCE_WEIGHT, rank_of
 
@@ -283,7 +284,6 @@ def validate(df: DataFrame, level: str = "comprehensive", junctions: list[Juncti
     columns = df.columns
     annotated, fair = annotate(df, rules, {"key": key, "t": t, "junctions": junctions})
     if materialize:
-        from weekloom.session import cut_lineage
         keep = [F.col(f"hit_{r.name}") for r in rules]
         mark = (fair if fair is not None else F.lit(False)).alias("_fair")
         annotated = cut_lineage(annotated.select(*columns, *keep, mark))
@@ -528,7 +528,8 @@ def impute(spine: DataFrame, metric: str = "views", max_gap_days: int = 14, key=
     """
     past = W.ordered(key, t).rowsBetween(Window.unboundedPreceding, -1)
     point = F.when(F.col(metric).isNotNull(), F.struct(F.col(t).alias("t"), F.col(metric).alias("v")))
-    rows = spine.withColumn("_last", F.last(point, ignorenulls=True).over(past))
+    # written once: read for the peers' medians and for the filling
+    rows = cut_lineage(spine.withColumn("_last", F.last(point, ignorenulls=True).over(past)))
     grown = rows.filter(F.col(metric).isNotNull() & (F.col("_last.v") > 0)).select(
         key, category, t, ((F.col(metric) - F.col("_last.v")) / F.col("_last.v").cast("double")).alias("_g"))
     medians = exact_quantile(grown, [category, t], "_g", 0.5, "_peer", spread=[key])
