@@ -150,3 +150,12 @@ def test_literals_become_json(spark, text, want):
     from weekloom.functions.literals import literal_json
     got = spark.createDataFrame([(text,)], "t string").select(literal_json(E.F.col("t")).alias("j")).first().j
     assert json.loads(got) == want
+
+
+def test_long_charts_take_no_stack(spark):
+    n = 20000
+    days = [str(date.fromordinal(700000 + i)) for i in range(n)]
+    charts = ["x = {datasets: [{label: 'Subscribers', data: [%s]}], labels: [%s]}" % (",".join(map(str, range(n))), ",".join(f"'{d}'" for d in days)),
+              "data: [%s]" % ",".join(f"[{1500000000000 + i * 86400000}, {i}]" for i in range(n)), "Highcharts {xAxis: {categories: [%s]}, series: [{data: [%s]}]}" % (",".join(f'"{d}"' for d in days), ",".join(["null, 1"] * (n // 2)))]
+    got = E.extract_points(pages(spark, *(f"<script>{c}</script>" for c in charts))).groupBy("channel").count().collect()
+    assert {r.channel: r["count"] for r in got} == {"c0": n, "c1": n, "c2": n}

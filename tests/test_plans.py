@@ -80,3 +80,25 @@ def test_no_cross_joins_or_row_udfs(spark):
         text = plan(entry.queries()[name](spark, SF))
         for word in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
             assert word not in text, (name, word)
+
+
+def test_combined_series_is_one_pass(spark, tmp_path):
+    from checks.q_pages import _dygraph
+    from weekloom.operators import extract as E
+
+    _dygraph(spark, SF).write.parquet(str(tmp_path / "points"))
+    points = spark.read.parquet(str(tmp_path / "points"))
+    text = plan(E.combine_series(points, E.pick_series(E.series_profile(points))))
+    assert len(re.findall(r"Exchange hashpartitioning", text)) <= 6 and len(re.findall("Join", text)) == 1
+
+
+def test_missing_runs_lay_no_weeks_out(spark):
+    text = plan(J.missing_runs(X.panel(spark, SF), X.entities(spark, SF), *X.SPINE))
+    assert "Generate" not in text and "sequence" not in text
+
+
+def test_growth_medians_hold_no_group(spark):
+    """No window orders the rows of a (category, week): windows are over buckets of counts."""
+    text = plan(J.peer_deviation(X.panel(spark, SF)))
+    for part in text.split("Window [")[1:]:
+        assert "growth" not in part.split("\n")[0]

@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weekloom.functions import literals as L, scalars as S
-from weekloom.operators.joins import nearest_join
 from weekloom.operators.ranking import first_per_week
 
 PAGE_KEY = ["channel", "snapshot_ts"]
@@ -254,18 +253,27 @@ def pick_series(profile: DataFrame) -> DataFrame:
 
 
 def combine_series(points: DataFrame, picked: DataFrame, tol_days: int = 28) -> DataFrame:
-    """Subs points with the nearest view count; a missing side counts as zero."""
-    rows = points.join(picked, PAGE_KEY)
-    subs = rows.filter(F.col("array_no") == F.col("subs_array"))
-    views = rows.filter(F.col("array_no") == F.col("views_array"))
-    base = subs.select(*PAGE_KEY, F.col("epoch_ms").alias("t"), F.col("value").cast("bigint").alias("subs"))
-    seen = views.select(*PAGE_KEY, F.col("epoch_ms").alias("t"), F.col("value").cast("bigint").alias("views"))
-    both = nearest_join(base, seen, "views", key=PAGE_KEY, t="t", tol_days=tol_days)
-    only = (views.filter(F.col("subs_array").isNull())
-            .select(*PAGE_KEY, F.col("epoch_ms").alias("t"), F.lit(0).cast("bigint").alias("subs"),
-                    F.col("value").cast("bigint").alias("views")))
-    return both.unionByName(only).select(*PAGE_KEY, F.timestamp_millis("t").cast("date").cast("string").alias("date_text"),
-                                         "subs", "views", F.lit("dygraph").alias("extraction_method"))
+    """Subs points with the nearest view count (tie: earlier); a missing side counts as zero.
+
+    Both series stay in one frame: of each page's points, which came out of one row, every subs point looks at the view
+    points before and after it. Points and picks meet in one exchange each, and nothing is joined again.
+    """
+    is_subs, is_views = F.col("array_no") == F.col("subs_array"), F.col("array_no") == F.col("views_array")
+    rows = points.join(picked, PAGE_KEY).filter(F.coalesce(is_subs, F.lit(False)) | F.coalesce(is_views, F.lit(False)))
+    t, span = F.col("epoch_ms"), tol_days * 86_400_000
+    value = F.col("value").cast("bigint")
+    page = Window.partitionBy(*PAGE_KEY)
+    # of several view counts at one time the largest; frames reach to the rows of the same time
+    before = F.max(F.when(is_views, F.struct(t.alias("t"), value.alias("v")))).over(page.orderBy("epoch_ms").rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    after = F.max(F.when(is_views, F.struct((-t).alias("t"), value.alias("v")))).over(page.orderBy(t.desc()).rangeBetween(Window.unboundedPreceding, Window.currentRow))
+    rows = rows.withColumns({"_before": before, "_after": after})
+    back, ahead = t - F.col("_before.t"), -F.col("_after.t") - t
+    near_back, near_ahead = F.when(back <= span, back), F.when(ahead <= span, ahead)
+    found = F.when(near_back.isNotNull() & (near_ahead.isNull() | (near_back <= near_ahead)), F.col("_before.v")).when(near_ahead.isNotNull(), F.col("_after.v"))
+    zero = F.lit(0).cast("bigint")
+    rows = rows.filter(F.coalesce(is_subs, F.lit(False)) | F.col("subs_array").isNull())
+    return rows.select(*PAGE_KEY, F.timestamp_millis("epoch_ms").cast("date").cast("string").alias("date_text"), F.when(F.col("subs_array").isNull(), zero).otherwise(value).alias("subs"),
+                       F.when(F.col("subs_array").isNull(), value).otherwise(F.coalesce(found, zero)).alias("views"), F.lit("dygraph").alias("extraction_method"))
 
 
 def extract_highcharts(pages: DataFrame, html: str = "html") -> DataFrame:
