@@ -282,6 +282,12 @@ def _text_panel(spark, sf):
                     F.when(F.col("subs") % 7 == 3, F.lit("n/a")).otherwise(F.col("views").cast("string")).alias("views"), F.col("subs").cast("string").alias("subs"))
 
 
+@query("i1_reduced_weeks", f"""SELECT channel, week, count(*) OVER (PARTITION BY channel, week) AS copies, data_quality_flag, collection_source, views FROM observations
+ QUALIFY row_number() OVER (PARTITION BY channel, week ORDER BY {QRANK} DESC, {SRANK} DESC, views DESC) = 1""", "observations")
+def _(spark, sf):
+    return Q.reduced_weeks(X.observations(spark, sf)).select("channel", "week", F.col(Q.COPIES).alias("copies"), "data_quality_flag", "collection_source", "views")
+
+
 @query("i2_schema_check", """SELECT 'data_types' AS rule_name, 'medium' AS severity, sum(b) = 0 AS passed, CAST(sum(b) AS BIGINT) AS affected_records
  FROM (SELECT (subs % 13 = 2)::INTEGER + (subs % 7 = 3)::INTEGER AS b FROM full_panel) UNION ALL SELECT 'required_fields', 'high', false, 0""", "full_panel")
 def _(spark, sf):

@@ -209,3 +209,17 @@ def test_schema_rules(spark):
     got = {r.rule_name: (r.passed, r.affected_records) for r in Q.validate(df, "basic", [])[1].collect()}
     assert got["required_fields"] == (False, 3) and got["data_types"] == (False, 1) and got["unique_weeks"] == (False, 1)
     assert got["important_completeness"] == (False, 4)      # category in every row, videos in one
+
+
+def test_repeated_weeks_are_reduced_first(spark):
+    """A hot entity that repeats its weeks: the checked panel has one row a week, the repeats are counted, results equal those of the reduced panel."""
+    rows = [("hot", date(2020, 1, 5 + 7 * (i % 3)), 100 + i, 10 + i, "API", "good" if i % 5 else "excellent") for i in range(300)] + [("b", date(2020, 1, 5), 1, 1, "API", "good"), ("b", None, 1, 1, "API", "good"), (None, date(2020, 1, 5), 1, 1, "API", "good")]
+    df = W.deltas(spark.createDataFrame(rows, "channel string, week date, views long, subs long, collection_source string, data_quality_flag string").withColumn("videos", F.lit(1).cast("long")))
+    flagged, results, metrics = Q.validate(df, "comprehensive", reduce=True)
+    assert flagged.columns == df.columns and flagged.count() == 6
+    hot = sorted((r.week, r.views, r.data_quality_flag) for r in flagged.filter("channel = 'hot'").collect())
+    assert len(hot) == 3 and {r[2] for r in hot} <= {"excellent", "fair"}
+    found = {r.rule_name: (r.affected_records, r.affected_channels) for r in results.collect()}
+    assert found["unique_weeks"] == (297, 1) and metrics.first().total_records == 6
+    once = {r.rule_name: r.affected_records for r in Q.validate(Q.reduced_weeks(df).drop(Q.COPIES), "comprehensive")[1].collect()}
+    assert {n: v[0] for n, v in found.items() if n != "unique_weeks"} == {n: v for n, v in once.items() if n != "unique_weeks"}

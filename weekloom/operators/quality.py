@@ -17,7 +17,7 @@ from weekloom.operators.junctions import Junction
 from weekloom.operators.quantiles import exact_quantile
 from weekloom.session import cut_lineage
 from weekloom.operators.ranking import pick_best
-from weekloom.schema import INTERPOLATED_WEIGHT, QUALITY_FLAGS, SEVERITIES, SOURCE_RANK, SOURCE_WEIGHT, rank_of
+from weekloom.schema import INTERPOLATED_WEIGHT, QUALITY_FLAGS, QUALITY_RANK, SEVERITIES, SOURCE_RANK, SOURCE_WEIGHT, rank_of
 
 CRITICAL_FIELDS = ["channel", "datetime", "views", "subs"]
 IMPORTANT_FIELDS = ["category", "videos"]
@@ -122,7 +122,28 @@ def _types(df, p, ctx):
     return df, sum(bad, F.lit(0)), None
 
 
+#: Rows that stand behind a reduced one.
+COPIES = "_copies"
+
+
+def reduced_weeks(df: DataFrame, key: str = "channel", t: str = "week", flag: str = "data_quality_flag", source: str = "collection_source") -> DataFrame:
+    """One row for each entity and week with the number of rows it stands for: best flag, then source, then views.
+
+    Combined in the map task, so an entity that repeats its weeks costs no more than its weeks. Rows without entity or
+    week stay as they are.
+    """
+    whole = F.col(key).isNotNull() & F.col(t).isNotNull()
+    order = [*([rank_of(flag, QUALITY_RANK)] if flag in df.columns else []), *([rank_of(source, SOURCE_RANK)] if source in df.columns else []), F.col("views")]
+    rest = [c for c in df.columns if c not in (key, t)]
+    best = df.filter(whole).groupBy(key, t).agg(
+        F.max(F.struct(*[o.alias(f"o{i}") for i, o in enumerate(order)], *[F.col(c).alias(f"r{i}") for i, c in enumerate(rest)])).alias("_b"), F.count(F.lit(1)).alias(COPIES))
+    kept = best.select(*[F.col(c) if c in (key, t) else F.col(f"_b.r{rest.index(c)}").alias(c) for c in df.columns], COPIES)
+    return kept.unionByName(df.filter(~whole).withColumn(COPIES, F.lit(1).cast("bigint")))
+
+
 def _unique(df, p, ctx):
+    if COPIES in df.columns:                      # repeated rows were put together before
+        return df, F.col(COPIES) - 1, None
     # next to each other in the order that the other rules use
     before = F.lag(ctx["t"]).over(Window.partitionBy(ctx["key"]).orderBy(ctx["t"]))
     return df, _int(before == F.col(ctx["t"])), None
@@ -270,9 +291,13 @@ def rule_results(one: DataFrame, rules: list[Rule]) -> DataFrame:
 
 def validate(df: DataFrame, level: str = "comprehensive", junctions: list[Junction] = DEFAULT_JUNCTIONS,
              overrides: dict[str, dict] | None = None, key: str = "channel", t: str = "week",
-             flag: str = "data_quality_flag", materialize: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
+             flag: str = "data_quality_flag", materialize: bool = False, reduce: bool = False) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Check a panel; returns (flagged panel, results, metrics).
 
+    An entity's windows hold its rows, at most one a week in a panel. For raw rows, whose weeks may repeat without
+    bound, ``reduce`` puts the rows of a week together first: the panel that is checked and returned has the best one,
+    and ``unique_weeks`` counts the others.
+
     All rules share one exchange on the entity. ``materialize`` writes the annotated rows and the
     one-row profile to the cluster's checkpoint folder, for callers that act on several outputs.
     """
@@ -282,6 +307,8 @@ def validate(df: DataFrame, level: str = "comprehensive", junctions: list[Juncti
         raise SchemaError(f"missing critical fields: {missing}")
     rules = select_rules(level, overrides)
     columns = df.columns
+    if reduce:
+        df = reduced_weeks(df, key, t, flag)
     annotated, fair = annotate(df, rules, {"key": key, "t": t, "junctions": junctions})
     if materialize:
         keep = [F.col(f"hit_{r.name}") for r in rules]
