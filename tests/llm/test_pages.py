@@ -189,3 +189,12 @@ def test_damaged_archive_fails(spark, damage):
     assert 0 < warc.read_archive(manifest, complete=False).count() < 60
     with pytest.raises(ValueError, match="no column records"):
         warc.read_archive(manifest.drop("records"))
+
+
+def test_ranges_are_dealt_to_as_many_tasks(spark):
+    """Rows of ranges are tiny; adaptive execution would put them all into one task."""
+    files = spark.createDataFrame([(f"/nowhere/{i}", 100 << 20) for i in range(12)], "path string, bytes long")
+    got = warc.read_archive(files, complete=False)
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    n = 12 * -(-(100 << 20) // warc.RANGE_BYTES)
+    assert f", {n}), REPARTITION_BY_NUM" in plan

@@ -28,7 +28,8 @@ from pyspark.sql import types as T
 from weekloom.llm.common import shared_folder, stored
 
 MAGIC = b"\x1f\x8b\x08"
-RANGE_BYTES = 8 << 20
+#: Bytes of a range, and tasks that read ranges at most; with more ranges a task has several.
+RANGE_BYTES, MOST_TASKS = 8 << 20, 50_000
 CHUNK = 1 << 18
 #: Fixed values of the format.
 VERSION, HTTP_OK = "WARC/1.1", "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n"
@@ -200,7 +201,9 @@ def read_archive(manifest: DataFrame, payloads: bool = False, range_bytes: int =
     if complete and "records" not in manifest.columns:
         raise ValueError("the manifest has no column records to hold the archive against; complete=False reads without")
     starts = manifest.select("path", "bytes", F.explode(F.sequence(F.lit(0).cast("long"), F.greatest(F.col("bytes") - 1, F.lit(0)), F.lit(range_bytes).cast("long"))).alias("start"))
-    ranges = starts.repartition(F.col("path"), F.col("start"))
+    # a range a task: with a number given, adaptive execution does not put the small rows of ranges together again
+    n_ranges = manifest.agg(F.sum(F.greatest(F.ceil(F.col("bytes") / range_bytes), F.lit(1)))).first()[0] or 1
+    ranges = starts.repartition(min(int(n_ranges), MOST_TASKS), F.col("path"), F.col("start"))
     schema = RECORD + (", payload binary" if payloads else "") + ", path string"
     kinds = [("id", pa.int64()), ("record_type", pa.string()), ("url", pa.string()), ("payload_bytes", pa.int64()), ("payload_digest", pa.string()), ("refers_to", pa.int64())]
     arrow = pa.schema(kinds + [("payload", pa.binary())] * payloads + [("path", pa.string())])
