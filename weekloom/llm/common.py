@@ -51,12 +51,20 @@ def text_key(text: Column) -> Column:
     return F.xxhash64(text)
 
 
+def unused(name: str, *frames: DataFrame) -> str:
+    """``name``, longer by underscores until no column of ``frames`` bears it in any case."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def without(docs: DataFrame, dropped: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Rows of ``docs`` whose (id, text key) is not in ``dropped``(id_col, text_key); ids compare null-safe."""
-    gone = dropped.select(F.col(id_col).alias("__id"), F.col("text_key").alias("__key")).distinct()
-    kept = docs.withColumn("__text_key", text_key(F.col(text_col)))
-    return (kept.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col("__id")) & (F.col("__text_key") == F.col("__key")), "left_anti")
-            .drop("__text_key"))
+    id_name, key_name, text_name = (unused(n, docs) for n in ("__id", "__key", "__text_key"))
+    gone = dropped.select(F.col(f"`{id_col}`").alias(id_name), F.col("text_key").alias(key_name)).distinct()
+    kept = docs.withColumn(text_name, text_key(F.col(f"`{text_col}`")))
+    return kept.join(gone, F.col(f"`{id_col}`").eqNullSafe(F.col(id_name)) & (F.col(text_name) == F.col(key_name)), "left_anti").drop(text_name)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from weekloom.llm.common import stored, word_count
+from weekloom.llm.common import stored, unused, word_count
 
 WEIGHTS = (5, 2, 1)
 
@@ -56,9 +56,10 @@ def targets(weighted: DataFrame, share: float = 1.5, max_rate: float = 2.0) -> D
     return table.withColumn("target", F.least(F.col("weight") * F.lit(float(level)), F.col("bound"))).drop("bound")
 
 
-def coin(id_col: Column, seed: int = 0) -> Column:
-    """A number in [0, 1) from the first 52 bits of the MD5 of ``seed:id``; the same in every run."""
-    digest = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(id_col.cast("string"), F.lit("null"))))
+def coin(id_col: Column, text_col: Column, seed: int = 0) -> Column:
+    """A number in [0, 1) from the first 52 bits of the MD5 of ``seed:id``, or of the text's MD5 where the id is null; the same in every run."""
+    name = F.coalesce(id_col.cast("string"), F.concat(F.lit("null:"), F.md5(F.coalesce(text_col, F.lit("")).cast("binary"))))
+    digest = F.md5(F.concat(F.lit(f"{seed}:"), name))
     return F.conv(F.substring(digest, 1, 13), 16, 10).cast("double") / F.lit(float(1 << 52))
 
 
@@ -69,21 +70,23 @@ def mixed(docs: DataFrame, weighted: DataFrame | None = None, share: float = 1.5
     ``weighted``(source, source_size, weight) defaults to the cycled weights over the sizes of ``docs``.
 
     Defined results: a null text has size 0; null is a source of its own; a source without words has
-    target 0 and its documents 0 copies; repeated ids toss the same coin; no document gets more than
+    target 0 and its documents 0 copies; documents without an id toss by their text, repeated ids the same coin; no document gets more than
     ceil(max_rate) copies; an empty table gives no rows. Existing columns of the new names are replaced.
     """
     if weighted is None:
         weighted = cycled_weights(stored(source_sizes(docs, source_col, text_col), "sizes"))
+    source_name = unused("__source", docs)
     plan = stored(targets(stored(weighted, "weights"), share, max_rate), "targets").select(
-        F.col("source").alias("__source"), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
+        F.col("source").alias(source_name), F.col("source_size").alias("mix_source_size"), F.col("target").alias("mix_target"))
     rate = F.when(F.col("mix_source_size") > 0, F.col("mix_target") / F.col("mix_source_size")).otherwise(0.0)
-    copies = F.floor(rate) + (coin(F.col(f"`{id_col}`"), seed) < rate - F.floor(rate)).cast("long")
+    copies = F.floor(rate) + (coin(F.col(f"`{id_col}`"), F.col(f"`{text_col}`"), seed) < rate - F.floor(rate)).cast("long")
     base = docs.drop("mix_source_size", "mix_target", "mix_copies").withColumn("mix_size", word_count(F.col(f"`{text_col}`")))
-    return (base.join(plan, F.col(f"`{source_col}`").eqNullSafe(F.col("__source"))).drop("__source")
+    return (base.join(plan, F.col(f"`{source_col}`").eqNullSafe(F.col(source_name))).drop(source_name)
             .withColumn("mix_copies", F.least(copies, F.ceil(F.lit(float(max_rate)))).cast("long")))
 
 
 def emitted(mix: DataFrame) -> DataFrame:
     """Every document as often as the mix takes it, without the mixing columns."""
-    return (mix.filter("mix_copies > 0").withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
-            .drop("__copy", "mix_size", "mix_source_size", "mix_target", "mix_copies"))
+    copy = unused("__copy", mix)
+    return (mix.filter("mix_copies > 0").withColumn(copy, F.explode(F.sequence(F.lit(1), F.col("mix_copies").cast("int"))))
+            .drop(copy, "mix_size", "mix_source_size", "mix_target", "mix_copies"))

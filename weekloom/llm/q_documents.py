@@ -26,7 +26,7 @@ SQL_WORDS = r"len(list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x
 
 #: The level rises until the capped sources and the shares of the others add up; with few sources every round is a recursion step.
 SQL_TARGETS = f"""
-sized AS (SELECT doc_id, source, CAST({SQL_WORDS} AS BIGINT) AS size FROM documents),
+sized AS (SELECT doc_id, source, text, CAST({SQL_WORDS} AS BIGINT) AS size FROM documents),
 src AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size FROM sized GROUP BY 1),
 weighted AS (SELECT *, CAST([5, 2, 1][1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3] AS DOUBLE) AS weight FROM src),
 level AS (
@@ -41,7 +41,7 @@ target AS (SELECT source, source_size, least(weight * (SELECT max(lvl) FROM leve
 @query("op6_mixing", f"""
 WITH RECURSIVE {SQL_TARGETS},
 rated AS (SELECT doc_id, size, source_size, target, CASE WHEN source_size > 0 THEN target / source_size ELSE 0 END AS rate,
-  CAST(CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null')), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS coin
+  CAST(CAST('0x' || substr(md5('0:' || coalesce(CAST(doc_id AS VARCHAR), 'null:' || md5(coalesce(text, '')))), 1, 13) AS BIGINT) AS DOUBLE) / 4503599627370496 AS coin
   FROM sized JOIN target ON sized.source IS NOT DISTINCT FROM target.source)
 SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CASE WHEN coin < rate - floor(rate) THEN 1 ELSE 0 END) AS BIGINT) AS taken FROM rated""")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
