@@ -189,11 +189,11 @@ def _block_pairs(cut: int, percent: int) -> Callable[[pd.DataFrame], pd.DataFram
                 if first == second:
                     ok[: i + 1] = False
                 at = np.flatnonzero(ok)
-                if len(at):
-                    at = at[np.bitwise_count(rs[at] ^ ls[i]).sum(axis=1) <= cut]
                 if len(at):  # each pair is looked at in the first bucket that it shares
                     same = rb[at] == lb[i]
                     at = at[np.take(lb[i], same.argmax(axis=1)) == bucket]
+                if len(at):
+                    at = at[np.bitwise_count(rs[at] ^ ls[i]).sum(axis=1) <= cut]
                 out["a"] += [ids[i]] * len(at)
                 out["b"] += list(others[at])
         return pd.DataFrame(out)
