@@ -39,6 +39,8 @@ SIGMAS = 4.75
 BLOCK = 512
 #: Leader pairs of a class that are checked before the blocks, best sketches first; the blocks look at all others.
 FIRST = 3
+#: Parts into which the rows of a leader of many are spread.
+SALTS = 16
 WORDS_KEPT = 1 << 17
 
 
@@ -235,8 +237,9 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
                   .filter(F.col("differ") <= cut).select("a", "b", "differ"), "near")
     # a class takes its best leaders first; a pair counts for either of its ends
     ends = near.select(F.col("a").alias("node"), "differ", "a", "b").unionByName(near.select(F.col("b").alias("node"), "differ", "a", "b"))
-    hub = ends.groupBy("node").agg(F.count(F.lit(1)).alias("k"))
-    fewer = ends.join(hub, "node").filter(F.col("k") <= bands)               # leaders of many are no followers here
+    # leaders of many are no followers here; their rows are spread over salts until they are gone
+    hubs = ends.groupBy("node").agg(F.count(F.lit(1)).alias("k")).filter(F.col("k") > bands).select("node", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    fewer = ends.withColumn("salt", F.pmod(F.hash("a", "b"), F.lit(SALTS))).join(hubs, ["node", "salt"], "left_anti")
     best = fewer.groupBy("node").agg(F.slice(F.sort_array(F.collect_list(F.struct("differ", "a", "b"))), 1, FIRST).alias("best"))
     chosen = best.select(F.explode("best").alias("p")).select("p.a", "p.b").distinct()
 
