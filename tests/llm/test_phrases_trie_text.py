@@ -198,6 +198,7 @@ PAGES = [
     ("header in an article", f"<body><header><h1>Site</h1><p>{STORY[0]}</p></header><article><header><h1>Ferry</h1></header>{BODY}</article></body>", ["Ferry", *STORY]),
     ("lists and tables", "<article><h2>Boats</h2><ul><li>one<li>two</ul><table><tr><td>a<td>b<tr><td>c</table><blockquote>q</blockquote></article>", ["Boats", "one", "two", "a", "b", "c", "q"]),
     ("no container", f"<body>{JUNK}<h1>Ferry</h1>{BODY}<p>{STORY[0]} Again.</p>{JUNK}</body>", ["Ferry", *STORY, STORY[0] + " Again."]),
+    ("names of wrappers", f'<body class="no-sidebar"><div class="main-nav"><p>{STORY[0]}</p></div><div class="content-sidebar-wrap"><div class="page-with-sidebar has-ad"><div class="post-content">{BODY}<div class="article-footer">{STORY[1]}</div><p class="alert alert-info">{STORY[0]}</p></div></div></div><div class="ad-slot">{STORY[0]}</div><div id="comment-list">{BODY}</div></body>', STORY),
     ("plain text", "just  some\n text", ["just some text"]),
     ("only boilerplate", f"<body>{JUNK}<footer>x</footer></body>", []),
     ("cut off", "<body><article><p>one two</p><p>three <a href='", ["one two", "three"]),

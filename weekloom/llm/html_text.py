@@ -38,14 +38,14 @@ noframes applet map""".split())
 BOILERPLATE = frozenset(("nav", "footer", "aside", "dialog", "menu", "search", "fieldset", "label"))
 ROLES = frozenset(("navigation", "banner", "contentinfo", "complementary", "search", "dialog", "alert", "alertdialog", "menu", "menubar", "toolbar", "form", "status"))
 #: Words of a class or id that mark boilerplate, alone or as a part between hyphens and underscores.
-MARKS = frozenset("""ad ads adv advert adverts advertisement advertising adsbygoogle adbox sponsor sponsored sponsors promo promos promotion banner cookie cookies consent gdpr notice
-notices disclaimer popup modal overlay newsletter subscribe subscription signup login sidebar sidebars aside widget widgets rail nav navbar navigation menu menus submenu breadcrumb breadcrumbs
+MARKS = frozenset("""ad ads adv advert adverts advertisement advertising adsbygoogle adbox sponsor sponsored sponsors promo promos promotion banner cookie cookies consent gdpr alert alerts notice
+notices disclaimer popup modal overlay newsletter subscribe subscription signup login sidebar sidebars sidenav aside widget widgets rail nav navbar topnav navigation menu menus submenu breadcrumb breadcrumbs
 pagination pager footer comment comments commentlist disqus respond replies share sharing social related recommended recommendations trending toolbar skip masthead topbar""".split())
 #: Marks only as a whole name, outside of an article.
 PAGE_HEADERS = frozenset(("header", "site-header", "page-header", "top-header", "global-header", "siteheader", "pageheader"))
-#: A name with one of these parts speaks of the layout around it.
-LAYOUT = frozenset(("with", "has", "no", "without", "page", "wrapper", "main", "content", "article", "layout", "body"))
-COMMENTS = frozenset(("comment", "comments", "commentlist", "disqus", "respond", "replies"))
+#: A name with one of these parts speaks of the layout around it, as does one that names content and its wrapping.
+LAYOUT = frozenset(("with", "has", "no", "without", "layout", "enabled", "disabled"))
+CONTENT, WRAPPING = frozenset(("content", "main", "body", "article", "page")), frozenset(("wrap", "wrapper", "container", "outer", "inner"))
 TEXT_NAMES = frozenset("""article article-body article-content article-text articlebody post post-content post-body entry entry-content story story-body hentry content main
 main-content page-content body-content text-content""".split())
 
@@ -71,7 +71,7 @@ def _names(attrs: dict) -> list[str]:
 def _marked(names: list[str]) -> bool:
     for name in names:
         parts = re.split(r"[-_]+", name)
-        if name in MARKS or (any(p in MARKS for p in parts) and not any(p in LAYOUT for p in parts)) or any(p in COMMENTS for p in parts[:1]):
+        if name in MARKS or (MARKS.intersection(parts) and not LAYOUT.intersection(parts) and not (CONTENT.intersection(parts) and WRAPPING.intersection(parts))):
             return True
     return False
 
