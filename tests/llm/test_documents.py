@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from tests.llm import brute
 from weekloom.llm import components, decontaminate, exact_dedup, fuse, lm_score, mixing, near_dedup, pii, toxicity
+from weekloom.llm.common import text_key, without
 
 SCHEMA = "doc_id long, text string, digest string, side string, id string, n string, h string"
 
@@ -298,3 +299,25 @@ def test_lm_score_counts_every_ngram_apart(spark, vocabulary):
             ce.append(loss / (len(c) - 1))
         assert np.allclose([got[d].ce_target, got[d].ce_background, got[d].score], [*ce, ce[1] - ce[0]], rtol=1e-9)
     assert (got[904].n_tokens, got[904].ce_target, got[904].score) == (0, None, 0.0)
+
+
+def test_columns_with_the_names_of_helpers(spark):
+    """Operators that keep a table's columns do so whatever these are called."""
+    rows = [(i, f"word{i % 3} and more of it {i}", f"s{i % 2}", 1, 2, 3, 4, 5, "t", 6) for i in range(12)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, k1 long, k2 long, __source long, __id long, __key long, __text_key string, __copy long")
+    scored = lm_score.score(docs, docs.limit(3), docs)
+    assert scored.columns == [*docs.columns, "lm"] and {(r.k1, r.k2, r.n) for r in scored.selectExpr("k1", "k2", "lm.n_tokens AS n").collect()} == {(1, 2, 6)}
+    mix = mixing.mixed(docs)
+    assert [c for c in mix.columns if not c.startswith("mix_")] == docs.columns and {r["__source"] for r in mix.collect()} == {3}
+    assert mixing.emitted(mix).columns == docs.columns
+    gone = docs.filter("doc_id < 4").select("doc_id", text_key(docs.text).alias("text_key"))
+    left = without(docs, gone)
+    assert left.columns == docs.columns and sorted(r.doc_id for r in left.collect()) == list(range(4, 12))
+
+
+def test_documents_without_an_id_toss_by_their_text(spark):
+    rows = [(None, " ".join([f"w{i}"] * 10), "s") for i in range(600)] + [(i, "a b c", "other") for i in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    copies = [r.mix_copies for r in mixing.mixed(docs).filter("source = 's'").collect()]
+    target = mixing.mixed(docs).filter("source = 's'").first()
+    assert len(set(copies)) == 2 and abs(10 * sum(copies) - target.mix_target) < 0.1 * target.mix_target

@@ -25,7 +25,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weekloom.functions.bitmap import bitmap_of, in_bitmap
-from weekloom.llm.common import stored, text_key
+from weekloom.llm.common import stored, text_key, unused
 
 U = np.uint64
 #: log2 of the vocabulary size that smoothing takes by default; counts do not depend on it.
@@ -253,11 +253,13 @@ def score(docs: DataFrame, target: DataFrame, background: DataFrame, text_col: s
     scores = stored(blocks.groupBy("block").applyInArrow(scorer, "k1 long, k2 long, n_tokens long, ce_target double, ce_background double")
                     .groupBy("k1", "k2").agg(*(F.first(c).alias(f"__{c}") for c in ("n_tokens", "ce_target", "ce_background"))), "scores")
     k1, k2 = _names(text)
-    named = docs.withColumn("__k1", k1).withColumn("__k2", k2)
-    value = F.struct(F.coalesce("__n_tokens", F.lit(0)).cast("long").alias("n_tokens"), F.col("__ce_target").alias("ce_target"), F.col("__ce_background").alias("ce_background"),
-                     F.coalesce(F.col("__ce_background") - F.col("__ce_target"), F.lit(0.0)).alias("score"))
-    return (named.join(scores, (F.col("__k1") == F.col("k1")) & (F.col("__k2") == F.col("k2")), "left").withColumn(out, value)
-            .drop("__k1", "__k2", "k1", "k2", "__n_tokens", "__ce_target", "__ce_background"))
+    values = ("n_tokens", "ce_target", "ce_background")
+    n1, n2, m1, m2, *got = (unused(f"__{n}", docs) for n in ("k1", "k2", "m1", "m2", *values))
+    named = docs.withColumn(n1, k1).withColumn(n2, k2)
+    scores = scores.select(F.col("k1").alias(m1), F.col("k2").alias(m2), *[F.col(f"__{v}").alias(g) for v, g in zip(values, got)])
+    value = F.struct(F.coalesce(got[0], F.lit(0)).cast("long").alias("n_tokens"), F.col(got[1]).alias("ce_target"), F.col(got[2]).alias("ce_background"),
+                     F.coalesce(F.col(got[2]) - F.col(got[1]), F.lit(0.0)).alias("score"))
+    return named.join(scores, (F.col(n1) == F.col(m1)) & (F.col(n2) == F.col(m2)), "left").withColumn(out, value).drop(n1, n2, m1, m2, *got)
 
 
 def labelled(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:
