@@ -94,6 +94,42 @@ def test_phrase_counts_take_one_full_cycle():
     assert counted == pairs
 
 
+def test_phrases_that_pass_a_bitmap_early_are_counted_in_all_shards():
+    """A pair that passes by chance before its own words are published starts no cycle of the phrases around it."""
+    rng = random.Random(2)
+    blocks = [phrases._block([" ".join(rng.choices("abcdefgh", k=80)).encode()], "en", s, 0) for s in range(3)]
+
+    class Held:
+        def __init__(self, keys=None):
+            self.value = bytearray((b"\xff" if keys is None else b"\x00") * (1 << 12))
+            for places in () if keys is None else phrases._places(keys, 15):
+                for p in places.tolist():
+                    self.value[p >> 3] |= 1 << (p & 7)
+    read = [(np.frombuffer(b["keys"], np.uint64), np.frombuffer(b["ids"], np.int32)) for b in blocks]
+    everything = np.unique(np.concatenate([k for k, _ in read]))
+    triples = Counter()
+    for keys, ids in read:
+        words = keys[np.where(ids < 0, ~ids, ids)].tolist()
+        triples.update(zip(words[:-2], words[1:-1], words[2:]))
+    published = {1: [(0, 15, Held(everything[::2])), (2, 15, Held(everything[1::2]))], 2: [(1, 15, Held())]}
+    counted = Counter()
+    for step in range(8):
+        seen = {length: [x for x in published[length] if x[0] < step] for length in published}
+        for length, _, columns, counts in phrases.count_block(*read[step % 3], step, 3, 3, seen):
+            if length == 3:
+                counted.update(dict(zip(zip(*(c.tolist() for c in columns)), counts.tolist())))
+    assert counted == triples
+
+
+def test_long_regular_words_differ():
+    """Thue and Morse's words have equal polynomials modulo 2^64, whatever the base."""
+    word = b"a"
+    for _ in range(12):
+        word += word.translate(bytes.maketrans(b"ab", b"ba"))
+    other = word.translate(bytes.maketrans(b"ab", b"ba"))
+    assert sorted(phrases._block([word + b" hot", other + b" hot"], "en", 0, 0)["words"].to_pylist()) == sorted(w.decode() for w in (word, other, b"hot"))
+
+
 def test_hashes_of_long_words_and_passes(monkeypatch):
     text = b" ".join(bytes([97 + i % 26]) * (i % 50 + 1) for i in range(500)) + b" " + b"q" * 300 + b" " + b"q" * 300
     whole = phrases._block([text], "en", 0, 0)

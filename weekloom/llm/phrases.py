@@ -9,7 +9,8 @@ phrase can be missed: a frequent one has frequent parts, which are published wit
 
 What is published travels as one bitmap for each step and length, sized by the number of its phrases up to a bound. A
 phrase that passes by chance is counted earlier than it need be, from a step that all tasks agree on, and dropped if
-rare; so bitmaps decide about time, never about results. Blocks are counted inside tasks, counts are combined before
+rare; it never counts as published before its own counting began, as no task would see the longer phrases around it
+until then. So bitmaps decide about time, never about results. Blocks are counted inside tasks, counts are combined before
 their shuffle, and a running count is one row for each phrase, whatever its frequency.
 
 Words are 64-bit hashes of language and word. Frequent words are held against all words of the dictionaries, and mining
@@ -34,6 +35,8 @@ from weekloom.llm.common import shared_folder, stored
 #: Bytes of text in a block (a longer text is a block of its own), in all open blocks of a task, and in a pass over a block's bytes.
 BLOCK_BYTES, OPEN_BYTES, PASS_BYTES = 5 << 20, 1 << 24, 1 << 20
 SHARDS = 3
+#: Longest word that is hashed as a polynomial.
+LONG_BYTES = 64
 #: log2 of the bits of a published bitmap: 16 bits a phrase between these bounds (16 MB at most).
 LEAST_BITS, MOST_BITS = 15, 27
 _PAGE = 15                                    # bits of a piece that Spark's bitmap functions build
@@ -77,7 +80,10 @@ def _powers(seed: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 
 
 def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -> np.ndarray:
-    """Polynomial hashes of byte ranges, from prefix sums over passes of bounded size that end between words."""
+    """Polynomial hashes of byte ranges, from prefix sums over passes of bounded size that end between words.
+
+    Long ranges are hashed one by one: modulo 2^64 regular texts (Thue and Morse's) share a polynomial's value under every base.
+    """
     out = np.empty(len(starts), np.uint64)
     at = 0
     while at < len(starts):
@@ -85,7 +91,6 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -
         to = max(at + 1, int(np.searchsorted(ends, low + PASS_BYTES, "right")))
         high = int(ends[to - 1])
         if high - low > PASS_BYTES:                                # one word longer than a pass
-            out[at] = int.from_bytes(hashlib.blake2b(data[low:high].tobytes(), digest_size=8, salt=str(seed).encode()).digest(), "little")
             at = to
             continue
         values, up, down = _powers(seed)
@@ -94,6 +99,8 @@ def _hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, seed: int) -
         a, b = starts[at:to] - low, ends[at:to] - low
         out[at:to] = (sums[b] - sums[a]) * down[a] + (b - a).astype(np.uint64) * np.uint64(_STEP)
         at = to
+    for i in np.flatnonzero(ends - starts > min(LONG_BYTES, PASS_BYTES)):
+        out[i] = int.from_bytes(hashlib.blake2b(data[starts[i] : ends[i]].tobytes(), digest_size=8, salt=str(seed).encode()).digest(), "little")
     return out
 
 
@@ -210,7 +217,8 @@ def count_block(keys: np.ndarray, ids: np.ndarray, step: int, shards: int, max_l
         active = start[first] + shards > step
         yield length, start[first][active], [c[active] for c in columns], counts[active]
         if length < max_len:
-            reach = _reached(_phrase_key(columns), published[length])
+            # a phrase that passes a bitmap by chance may do so before it is looked at anywhere
+            reach = np.maximum(_reached(_phrase_key(columns), published[length]), start[first])
 
 
 def _counter(step: int, shards: int, max_len: int, published: dict[int, list], schema: pa.Schema):
