@@ -102,3 +102,19 @@ def test_growth_medians_hold_no_group(spark):
     text = plan(J.peer_deviation(X.panel(spark, SF)))
     for part in text.split("Window [")[1:]:
         assert "growth" not in part.split("\n")[0]
+
+
+def test_panel_parts_follow_the_rows(spark, monkeypatch):
+    """Windows over the panel work on parts of bounded rows, also where small shuffles are put together."""
+    whole = X.panel(spark, SF)
+    monkeypatch.setattr(X, "ITEMS_A_TASK", 1000, raising=False)
+    cut = X.full_panel(spark, SF)
+    items = X.table(spark, SF, "lineitem").count()
+    # a panel too large to be broadcast
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        assert X.full_panel(spark, SF).rdd.getNumPartitions() == -(-items // 1000) > 4
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert whole.exceptAll(cut.select(whole.columns)).isEmpty() and whole.count() == cut.count()
