@@ -136,17 +136,25 @@ for _form in ("lines", "array"):
         return found.select("code", "message", "reason", F.variant_get("record", "$.error.batch", "bigint").alias("batch"))
 
 
+def _listed(batches):
+    """Lines of one array of arrays, batch by batch: its header, the rows, its end; none without rows."""
+    begun = False
+    for batch in batches:
+        lines = ["," + v for v in batch.column(0).to_pylist()]
+        if lines:
+            yield pa.RecordBatch.from_pydict({"value": lines if begun else ['[["digest", "timestamp", "original", "statuscode"]', *lines]})
+            begun = True
+    if begun:
+        yield pa.RecordBatch.from_pydict({"value": ["]"]})
+
+
 @query("a4_read_snapshot_index_json", "SELECT timestamp, original, statuscode, digest FROM snapshot_index", "snapshot_index")
 def _(spark, sf):
     path = scratch(spark, "index")
     # one array of arrays for each of a few files, its header first
     rows = X.snapshot_index(spark, sf).select(F.to_json(F.array("digest", "timestamp", "original", "statuscode")).alias("value")).repartition(3)
 
-    def listed(batches):
-        lines = [v for b in batches for v in b.column(0).to_pylist()]
-        if lines:
-            yield pa.RecordBatch.from_pydict({"value": ['[["digest", "timestamp", "original", "statuscode"]', *["," + v for v in lines], "]"]})
-    rows.mapInArrow(listed, "value string").write.text(path)
+    rows.mapInArrow(_listed, "value string").write.text(path)
     return IO.read_snapshot_index(spark, path)
 
 

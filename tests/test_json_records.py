@@ -133,3 +133,21 @@ def test_json_panel_needs_no_schema_scan(spark, tmp_path):
     spark.createDataFrame([("a",)], "channel string").write.json(path + "2")
     with pytest.raises(ValueError, match="missing"):
         IO.read_panel(spark, path + "2", "json")
+
+
+def test_index_lines_are_written_batch_by_batch():
+    import pyarrow as pa
+
+    from checks.q_io import _listed
+    read = []
+
+    def batches(n):
+        for i in range(n):
+            read.append(i)
+            yield pa.RecordBatch.from_pydict({"value": [f'["{i}"]'] if i != 1 else []}, pa.schema([("value", pa.string())]))
+    out = _listed(batches(4))
+    next(out)
+    assert read == [0]
+    lines = [v for b in _listed(batches(4)) for v in b.column(0).to_pylist()]
+    assert json.loads("".join(lines)) == [["digest", "timestamp", "original", "statuscode"], ["0"], ["2"], ["3"]]
+    assert not list(_listed(batches(0)))
