@@ -98,6 +98,19 @@ def test_histories_end_as_the_batch(seed):
     assert len([v for v in handle.weeks.values() if v[2]]) == 1 and len(handle.weeks) == 2 and len(handle.timers) == 1
 
 
+def test_calls_to_the_state_do_not_grow_with_the_weeks(monkeypatch):
+    calls = []
+    for name in ("iterator", "updateValue", "removeKey"):
+        monkeypatch.setattr(Weeks, name, lambda self, *a, f=getattr(Weeks, name): calls.append(1) or f(self, *a))
+
+    def count(n):
+        calls.clear()
+        out, _ = play([[(date(2000, 1, 2) + timedelta(days=7 * i), i) for i in range(n)], [(date(2030, 1, 6), 0)]], 3, 60)
+        assert len(out) == n
+        return len(calls)
+    assert count(400) == count(40) < 20
+
+
 def test_rows_that_repeat_or_have_no_week():
     d = date(2020, 1, 5)
     out, _ = play([[(d, 5), (d, 9), (d + timedelta(days=7), 8)], [(d, 7), (date(2021, 1, 3), 1)]], 3, 400)

@@ -29,6 +29,9 @@ class DeltaProcessor(StatefulProcessor):
     ``horizon`` days behind the newest event, so rows that old still arrive here: a late one gets its delta from the
     history, and the released week behind it comes out again with the next ``revision``. Weeks beyond the horizon are
     dropped but for the latest, from which the next delta is taken.
+
+    The state has two entries at most, the weeks that wait and the released ones, each with a list for each field: every
+    call to the state is a message to the JVM and back, so their number must not grow with the weeks.
     """
 
     def __init__(self, lateness: int, horizon: int):
@@ -36,7 +39,7 @@ class DeltaProcessor(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.weeks = handle.getMapState("weeks", "day int", "views bigint, subs bigint, released boolean, revision int")
+        self.weeks = handle.getMapState("weeks", "done boolean", "days array<int>, views array<bigint>, released boolean, subs array<bigint>, revisions array<int>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
         arrived = {}
@@ -54,7 +57,8 @@ class DeltaProcessor(StatefulProcessor):
     def _advance(self, channel: str, arrived: dict[int, tuple], watermark: int) -> Iterator[Row]:
         watermark = max(watermark, 0)
         before = {k[0]: tuple(v) for k, v in self.weeks.iterator()}
-        held = dict(before)
+        held = {day: (views, subs, done, revision) for days, all_views, done, all_subs, revisions in before.values()
+                for day, views, subs, revision in zip(days, all_views, all_subs, revisions)}
         released = [d for d, v in held.items() if v[2]]
         newest_released = max(released) if released else None
         late = set()
@@ -83,11 +87,14 @@ class DeltaProcessor(StatefulProcessor):
         old = [d for d in sorted(held) if held[d][2] and d < watermark // _DAY][:-1]
         for d in old:
             del held[d]
-        for d in before.keys() - held.keys():
-            self.weeks.removeKey((d,))
-        for d, value in held.items():
-            if before.get(d) != value:
-                self.weeks.updateValue((d,), value)
+        for done in (False, True):
+            part = sorted((d, v) for d, v in held.items() if v[2] == done)
+            if part:
+                value = ([d for d, _ in part], [v[0] for _, v in part], done, [v[1] for _, v in part], [v[3] for _, v in part])
+                if before.get(done) != value:
+                    self.weeks.updateValue((done,), value)
+            elif done in before:
+                self.weeks.removeKey((done,))
         self._schedule(held, watermark)
 
     def _schedule(self, held: dict[int, tuple], watermark: int) -> None:
@@ -95,10 +102,12 @@ class DeltaProcessor(StatefulProcessor):
         due = [(d + 1 - self.horizon + self.lateness) * _DAY for d, v in held.items() if not v[2]]
         released = sorted(d for d, v in held.items() if v[2])
         due += [(d + 1) * _DAY for d in released[1:2]]
-        for timer in list(self.handle.listTimers()):
+        wanted = {max(min(due), watermark + 1)} if due else set()
+        there = set(self.handle.listTimers())
+        for timer in there - wanted:
             self.handle.deleteTimer(timer)
-        if due:
-            self.handle.registerTimer(max(min(due), watermark + 1))
+        for timer in wanted - there:
+            self.handle.registerTimer(timer)
 
     @staticmethod
     def _row(channel: str, day: int, now: tuple, before: tuple | None, late: bool) -> Row:
@@ -141,6 +150,8 @@ def delta_state(spark: SparkSession, checkpoint: str, batch_id: int | None = Non
     reader = spark.read.format("statestore").option("stateVarName", "weeks")
     if batch_id is not None:
         reader = reader.option("batchId", batch_id)
-    v = F.col("user_map_value")
-    return reader.load(checkpoint).select(F.col("key.channel").alias("channel"), F.date_add(F.lit(_EPOCH), F.col("user_map_key.day")).alias("week"),
-                                          v["views"].alias("views"), v["subs"].alias("subs"), v["released"].alias("released"), v["revision"].alias("revision"))
+    v, w = F.col("user_map_value"), F.col("w")
+    weeks = reader.load(checkpoint).select(F.col("key.channel").alias("channel"), v["released"].alias("released"),
+                                           F.explode(F.arrays_zip(v["days"], v["views"], v["subs"], v["revisions"])).alias("w"))
+    return weeks.select("channel", F.date_add(F.lit(_EPOCH), w["days"]).alias("week"), w["views"].alias("views"), w["subs"].alias("subs"),
+                        "released", w["revisions"].alias("revision"))
