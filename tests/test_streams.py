@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from weekloom.operators.windows import deltas
 from weekloom.streaming import backfill as B
-from weekloom.streaming.stateful import DeltaProcessor
+from weekloom.streaming.stateful import DeltaProcessor, PackedDeltas, stream_deltas
 
 DAY = 86_400_000
 EPOCH = date(1970, 1, 1)
@@ -111,6 +111,32 @@ def test_calls_to_the_state_do_not_grow_with_the_weeks(monkeypatch):
     assert count(400) == count(40) < 20
 
 
+def test_packed_rows_give_the_same_weeks():
+    rows = [(date(2020, 1, 5), 5, 1), (date(2020, 1, 12), 0, 7), (date(2020, 1, 26), -4, 2), (None, 1, 1)]
+    plain, packed = DeltaProcessor(3, 60), PackedDeltas(3, 60)
+    now = Times((date(2020, 2, 2) - EPOCH).days * DAY)
+    for p in (plain, packed):
+        p.init(Handle())
+    want = list(plain.handleInputRows(("c",), iter([Row(week=d, views=v, subs=s) for d, v, s in rows]), now))
+    got = list(packed.handleInputRows(("c",), iter([Row(packed=d and f"{(d - EPOCH).days},{v},{s}") for d, v, s in rows]), now))
+    assert len(want) == 3 and len(got) == 1 and got[0].channel == "c"
+    assert list(zip(*got[0][1:])) == [((r.week - EPOCH).days, *r[2:]) for r in want]
+    assert plain.handle.weeks == packed.handle.weeks
+
+
+def test_a_stream_of_nulls(spark, tmp_path):
+    d = date(2020, 1, 5)
+    rows = [("a", d, 5, 1), ("a", d + timedelta(days=7), None, 9), ("a", None, 3, 3), (None, d, 2, None), ("z", date(2030, 1, 6), 0, 0)]
+    spark.createDataFrame(rows, "channel string, week date, views bigint, subs bigint").write.parquet(str(tmp_path / "in"))
+    stream = spark.readStream.schema("channel string, week date, views bigint, subs bigint").parquet(str(tmp_path / "in"))
+    out = stream_deltas(stream.withColumn("event_time", F.col("week").cast("timestamp")).withWatermark("event_time", "60 days"))
+    out.writeStream.format("parquet").option("checkpointLocation", str(tmp_path / "ckpt")).trigger(availableNow=True).start(str(tmp_path / "out")).awaitTermination()
+    got = spark.read.schema(out.schema).parquet(str(tmp_path / "out"))
+    assert got.dtypes[:2] == [("channel", "string"), ("week", "date")] and got.columns[-1] == "revision"
+    assert sorted(map(tuple, got.select("channel", "week", "views", "subs", "delta_views", "delta_subs", "gap_days").collect()), key=lambda r: (str(r[0]), r[1])) == [
+        (None, d, 2, 0, 0, 0, None), ("a", d, 5, 1, 0, 0, None), ("a", d + timedelta(days=7), 0, 9, -5, 8, 7)]
+
+
 def test_rows_that_repeat_or_have_no_week():
     d = date(2020, 1, 5)
     out, _ = play([[(d, 5), (d, 9), (d + timedelta(days=7), 8)], [(d, 7), (date(2021, 1, 3), 1)]], 3, 400)

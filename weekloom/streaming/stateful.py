@@ -10,8 +10,11 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-_OUT = ("channel string, week date, views bigint, subs bigint, delta_views bigint, delta_subs bigint, "
-        "gap_days int, off_rhythm boolean, sub_growth_hit boolean, view_growth_hit boolean, late boolean, revision int")
+_FIELDS = {"day": "int", "views": "bigint", "subs": "bigint", "delta_views": "bigint", "delta_subs": "bigint", "gap_days": "int", "off_rhythm": "boolean",
+           "sub_growth_hit": "boolean", "view_growth_hit": "boolean", "late": "boolean", "revision": "int"}
+_PACKED = "channel string, " + ", ".join(f"{name} array<{kind}>" for name, kind in _FIELDS.items())
+_WEEK = Row("channel", "week", *list(_FIELDS)[1:])
+_LISTS = Row("channel", *_FIELDS)
 _DAY = 86_400_000
 _EPOCH = date(1970, 1, 1)
 
@@ -42,19 +45,29 @@ class DeltaProcessor(StatefulProcessor):
         self.weeks = handle.getMapState("weeks", "done boolean", "days array<int>, views array<bigint>, released boolean, subs array<bigint>, revisions array<int>")
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:
-        arrived = {}
-        for r in rows:
-            if r.week is not None:
-                arrived.setdefault((r.week - _EPOCH).days, (r.views or 0, r.subs or 0))
-        yield from self._advance(key[0], arrived, timerValues.getCurrentWatermarkInMs())
+        yield from self._rows(key[0], self._advance(self._arrived(rows), timerValues.getCurrentWatermarkInMs()))
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:
-        yield from self._advance(key[0], {}, timerValues.getCurrentWatermarkInMs())
+        yield from self._rows(key[0], self._advance({}, timerValues.getCurrentWatermarkInMs()))
 
     def close(self) -> None:
         pass
 
-    def _advance(self, channel: str, arrived: dict[int, tuple], watermark: int) -> Iterator[Row]:
+    @staticmethod
+    def _arrived(rows) -> dict[int, tuple]:
+        arrived = {}
+        for r in rows:
+            if r.week is not None:
+                arrived.setdefault((r.week - _EPOCH).days, (r.views or 0, r.subs or 0))
+        return arrived
+
+    @staticmethod
+    def _rows(channel: str, weeks: list[tuple]) -> Iterator[Row]:
+        for day, *rest in weeks:
+            yield _WEEK(channel, _EPOCH + timedelta(days=day), *rest)
+
+    def _advance(self, arrived: dict[int, tuple], watermark: int) -> list[tuple]:
+        """Takes in what arrived; the weeks that come out, as values of ``_FIELDS``."""
         watermark = max(watermark, 0)
         before = {k[0]: tuple(v) for k, v in self.weeks.iterator()}
         held = {day: (views, subs, done, revision) for days, all_views, done, all_subs, revisions in before.values()
@@ -81,8 +94,7 @@ class DeltaProcessor(StatefulProcessor):
             elif not done and day >= limit:
                 continue
             held[day] = (views, subs, True, revision)
-            out.append(self._row(channel, day, held[day], (days[i - 1], held[days[i - 1]]) if i else None, day in late))
-        yield from out
+            out.append(self._week(day, held[day], (days[i - 1], held[days[i - 1]]) if i else None, day in late))
         # history ends at the watermark, but for the week before it
         old = [d for d in sorted(held) if held[d][2] and d < watermark // _DAY][:-1]
         for d in old:
@@ -96,6 +108,7 @@ class DeltaProcessor(StatefulProcessor):
             elif done in before:
                 self.weeks.removeKey((done,))
         self._schedule(held, watermark)
+        return out
 
     def _schedule(self, held: dict[int, tuple], watermark: int) -> None:
         """One timer: when the next week is due, or when the second oldest released one passes out of the horizon."""
@@ -110,15 +123,37 @@ class DeltaProcessor(StatefulProcessor):
             self.handle.registerTimer(timer)
 
     @staticmethod
-    def _row(channel: str, day: int, now: tuple, before: tuple | None, late: bool) -> Row:
+    def _week(day: int, now: tuple, before: tuple | None, late: bool) -> tuple:
         views, subs, _, revision = now
         gap, dv, ds, view_hit, sub_hit = None, 0, 0, False, False
         if before is not None:
             gap, dv, ds = day - before[0], views - before[1][0], subs - before[1][1]
             view_hit = before[1][0] != -1 and dv / (before[1][0] + 1) > 0.5
             sub_hit = before[1][1] != -1 and ds / (before[1][1] + 1) > 0.2
-        return Row(channel=channel, week=_EPOCH + timedelta(days=day), views=views, subs=subs, delta_views=dv, delta_subs=ds, gap_days=gap,
-                   off_rhythm=gap is not None and (gap < 4 or gap > 10), sub_growth_hit=sub_hit, view_growth_hit=view_hit, late=late, revision=revision)
+        return day, views, subs, dv, ds, gap, gap is not None and (gap < 4 or gap > 10), sub_hit, view_hit, late, revision
+
+
+class PackedDeltas(DeltaProcessor):
+    """The same over packed rows, as Spark converts every cell of a row in Python.
+
+    A row's fields come in one string ``packed`` ("day,views,subs"; null without a week); what a call gives out is one
+    row with a list for each field.
+    """
+
+    @staticmethod
+    def _arrived(rows) -> dict[int, tuple]:
+        arrived = {}
+        for r in rows:
+            packed = r.packed
+            if packed is not None:
+                day, views, subs = packed.split(",")
+                arrived.setdefault(int(day), (int(views), int(subs)))
+        return arrived
+
+    @staticmethod
+    def _rows(channel: str, weeks: list[tuple]) -> Iterator[Row]:
+        if weeks:
+            yield _LISTS(channel, *map(list, zip(*weeks)))
 
 
 def stream_deltas(stream: DataFrame, key: str = "channel", lateness_days: int = 3, horizon_days: int = 60) -> DataFrame:
@@ -134,8 +169,12 @@ def stream_deltas(stream: DataFrame, key: str = "channel", lateness_days: int =
     if horizon_days < lateness_days:
         raise ValueError("horizon_days must be at least lateness_days")
     use_rocksdb(stream.sparkSession)
-    rows = stream.select(key, "week", "views", "subs", "event_time").withColumnRenamed(key, "channel")
-    return rows.groupBy("channel").transformWithState(DeltaProcessor(lateness_days, horizon_days), outputStructType=_OUT, outputMode="append", timeMode="EventTime")
+    count = [F.coalesce(F.col(c).cast("bigint"), F.lit(0)).cast("string") for c in ("views", "subs")]
+    packed = F.concat(F.unix_date(F.col("week").cast("date")).cast("string"), F.lit(","), count[0], F.lit(","), count[1])
+    rows = stream.select(F.col(key).alias("channel"), packed.alias("packed"), "event_time")
+    out = rows.groupBy("channel").transformWithState(PackedDeltas(lateness_days, horizon_days), outputStructType=_PACKED, outputMode="append", timeMode="EventTime")
+    weeks = out.select("channel", F.inline(F.arrays_zip(*_FIELDS)))
+    return weeks.select("channel", F.date_from_unix_date("day").alias("week"), *list(_FIELDS)[1:])
 
 
 def latest_revision(emitted: DataFrame, key: str = "channel", t: str = "week") -> DataFrame:
