@@ -86,6 +86,30 @@ def test_near_duplicates_in_a_large_bucket(spark, monkeypatch):
     assert got == {d: c for d, _, c in brute.near(rows, 3, 85)}
 
 
+def test_near_duplicates_hand_on_no_pairs_of_a_large_group(spark, monkeypatch):
+    """Many members short of the threshold are held against all others, in groups of several sizes; rows follow the members, not their pairs."""
+    monkeypatch.setattr(near_dedup, "BLOCK_SHINGLES", 4000)
+    monkeypatch.setattr(near_dedup, "PART", 32)
+    made, stored = [], near_dedup.stored
+
+    def counted(df, name):
+        made.append((name, stored(df, name)))
+        return made[-1][1]
+    monkeypatch.setattr(near_dedup, "stored", counted)
+    rng = random.Random(8)
+    rows = []
+    for size in (240, 40, 3, 2):
+        base = [f"s{size}w{i}" for i in range(150)]
+        for _ in range(size):
+            ws = list(base)
+            for at in rng.sample(range(150), rng.choice([1, 2, 4, 5, 5])):
+                ws[at] = f"r{rng.random()}"
+            rows.append((len(rows), " ".join(ws)))
+    got = {r.id: r.component_id for r in near_dedup.near_duplicates(frame(spark, rows), 3, 85).collect()}
+    assert got == {d: c for d, _, c in brute.near(rows, 3, 85)}
+    assert max(frame.count() for name, frame in made if name in ("pairs", "links", "more")) <= near_dedup.FIRST * len(rows)
+
+
 def test_near_duplicates_of_nothing(spark):
     assert near_dedup.near_duplicates(frame(spark, []).limit(0)).count() == 0
 

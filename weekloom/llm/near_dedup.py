@@ -9,17 +9,18 @@ link if the full sets have it.
 
 No bucket is expanded into all its pairs. First every class is compared with a random leader of each of
 its buckets, at most one pair for each class and band. Linked classes become components. Only buckets
-that then still hold more than one component are looked at again: there sketches of different
-components are compared inside tasks, block by block, and only pairs that pass are checked exactly.
+that then still hold more than one component are looked at again, inside tasks, block by block: sketches
+of different components are compared, classes with a candidate get their full sets, and a task checks
+its pairs on these. No pair leaves a task but links, of those at most one for each two components that
+the task did not know to be linked.
 """
 
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
@@ -35,8 +36,10 @@ SAMPLES, SKETCH_BITS, BANDS = 1024, 4096, 30
 #: A pair at the threshold is missed by all bands with at most this probability.
 MISS = 1e-5
 SIGMAS = 4.75
-#: Members of a bucket that one task compares with as many others.
-BLOCK = 512
+#: Members of a bucket that one task compares with as many others, and the shingles they may have together.
+BLOCK, BLOCK_SHINGLES = 512, 1 << 20
+#: Rows and shingles that small buckets bring together in one group.
+PART, PART_SHINGLES = 256, 1 << 20
 #: Leader pairs of a class that are checked before the blocks, best sketches first; the blocks look at all others.
 FIRST = 3
 #: Parts into which the rows of a leader of many are spread.
@@ -171,34 +174,74 @@ def _sizes_fit(n, m, percent: int):
     return 100 * F.least(n, m) >= percent * F.greatest(n, m)
 
 
-def _block_pairs(cut: int, percent: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
-    """Pairs of different components of one block, or of two blocks of a bucket, whose sketches pass."""
-
-    def run(part: pd.DataFrame) -> pd.DataFrame:
-        first, second = part.first_block.iloc[0], part.second_block.iloc[0]
-        left = part[part.own == first]
-        right = part[part.own == second]
-        out = {"a": [], "b": []}
-        if len(left) and len(right):
-            label = {v: i for i, v in enumerate(pd.unique(part.label))}
-            ls, rs = np.stack(left.sketch.to_numpy()).view(np.uint64), np.stack(right.sketch.to_numpy()).view(np.uint64)
-            lb, rb = np.stack(left.bands.to_numpy()), np.stack(right.bands.to_numpy())
-            ll, rl = left.label.map(label).to_numpy(), right.label.map(label).to_numpy()
-            ln, rn, bucket = left.n.to_numpy(), right.n.to_numpy(), part.bucket.iloc[0]
-            ids, others = left.node.to_numpy(), right.node.to_numpy()
-            for i in range(len(left)):
-                ok = (rl != ll[i]) & (100 * np.minimum(rn, ln[i]) >= percent * np.maximum(rn, ln[i]))
-                if first == second:
-                    ok[: i + 1] = False
-                at = np.flatnonzero(ok)
-                if len(at):  # each pair is looked at in the first bucket that it shares
-                    same = rb[at] == lb[i]
-                    at = at[np.take(lb[i], same.argmax(axis=1)) == bucket]
-                if len(at):
-                    at = at[np.bitwise_count(rs[at] ^ ls[i]).sum(axis=1) <= cut]
-                out["a"] += [ids[i]] * len(at)
-                out["b"] += list(others[at])
-        return pd.DataFrame(out)
+def _wide(part: pa.Table, name: str) -> np.ndarray:
+    """A column of lists of one length as a matrix."""
+    return part[name].combine_chunks().flatten().to_numpy().reshape(part.num_rows, -1)
+
+
+def _candidates(part: pa.Table, label: np.ndarray, cut: int, percent: int) -> Iterator[tuple[int, np.ndarray]]:
+    """A row and those rows of its bucket in other components whose sketches pass; a pair comes in the first bucket that it shares."""
+    bucket, n, own, first, second = (part[c].to_numpy() for c in ("bucket", "n", "own", "first_block", "second_block"))
+    sketch, bands = _wide(part, "sketch").view(np.uint64), _wide(part, "bands")
+    order = np.argsort(bucket, kind="stable")
+    for rows in np.split(order, np.flatnonzero(np.diff(bucket[order])) + 1):
+        one, two = first[rows[0]], second[rows[0]]
+        left, right = rows[own[rows] == one], rows[own[rows] == two]
+        for k, i in enumerate(left):
+            at = right[k + 1 :] if one == two else right
+            at = at[(label[at] != label[i]) & (100 * np.minimum(n[at], n[i]) >= percent * np.maximum(n[at], n[i]))]
+            if len(at):
+                at = at[bands[i][(bands[at] == bands[i]).argmax(axis=1)] == bucket[i]]
+            if len(at):
+                at = at[np.bitwise_count(sketch[at] ^ sketch[i]).sum(axis=1) <= cut]
+            if len(at):
+                yield i, at
+
+
+def _labels(part: pa.Table) -> np.ndarray:
+    return part["label"].combine_chunks().dictionary_encode().indices.to_numpy()
+
+
+def _block_candidates(cut: int, percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Rows of a group that have a candidate in it."""
+
+    def run(part: pa.Table) -> pa.Table:
+        has = np.zeros(part.num_rows, dtype=bool)
+        for i, at in _candidates(part, _labels(part), cut, percent):
+            has[i] = has[at] = True
+        return part.filter(pa.array(has))
+    return run
+
+
+def _block_links(cut: int, percent: int) -> Callable[[pa.Table], pa.Table]:
+    """Links of a group that join components; pairs of components that are already joined in it are passed over."""
+
+    def run(part: pa.Table) -> pa.Table:
+        label = _labels(part)
+        sets = part["set"].combine_chunks()
+        size = sets.value_lengths().to_numpy()
+        end = np.cumsum(size)
+        shingles, ids = np.unique(sets.flatten().to_numpy(), return_inverse=True)
+        inside = np.zeros(len(shingles), dtype=bool)
+        root = np.arange(label.max() + 1)
+        u, v = [], []
+        for i, at in _candidates(part, label, cut, percent):
+            at = at[root[label[at]] != root[label[i]]]
+            if not len(at):
+                continue
+            mine = ids[end[i] - size[i] : end[i]]
+            inside[mine] = True
+            others = np.concatenate([ids[end[j] - size[j] : end[j]] for j in at])
+            both = np.add.reduceat(inside[others], np.cumsum(size[at]) - size[at], dtype=np.int64)
+            inside[mine] = False
+            for j in at[100 * both >= percent * (size[i] + size[at] - both)]:
+                x, y = root[label[i]], root[label[j]]
+                if x != y:
+                    root[root == y] = x
+                    u.append(i)
+                    v.append(j)
+        node = part["node"].combine_chunks()
+        return pa.table({"u": node.take(pa.array(u, pa.int64())), "v": node.take(pa.array(v, pa.int64()))})
     return run
 
 
@@ -223,10 +266,11 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     classes = stored(wide.filter("node IS NOT NULL").groupBy("node").agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("bands").alias("bands"), F.first("sketch").alias("sketch")), "classes")
 
     # buckets with more than one class, each with a leader of its own choice
-    spread = classes.select("node", F.explode("bands").alias("bucket"))
+    spread = classes.select("node", "n", F.explode("bands").alias("bucket"))
     order = F.struct(F.hash("bucket", "node").alias("by"), "node")
-    leaders = stored(spread.groupBy("bucket").agg(F.min(order).alias("lead"), F.count(F.lit(1)).alias("size")).filter("size > 1").select("bucket", F.col("lead.node").alias("leader"), "size"), "leaders")
-    members = stored(spread.join(leaders, "bucket"), "members")
+    leaders = stored(spread.groupBy("bucket").agg(F.min(order).alias("lead"), F.count(F.lit(1)).alias("size"), F.sum("n").alias("shingles")).filter("size > 1")
+                     .select("bucket", F.col("lead.node").alias("leader"), F.ceil(F.greatest(F.col("size") / BLOCK, F.col("shingles") / BLOCK_SHINGLES)).cast("int").alias("blocks")), "leaders")
+    members = stored(spread.drop("n").join(leaders, "bucket"), "members")
     crowd = members.select("node").distinct()
     shown = stored(classes.join(crowd, "node", "left_semi"), "shown")
 
@@ -245,15 +289,19 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
 
     full_set = _setter(words)
 
-    def linked(pairs: DataFrame) -> DataFrame:
-        """Pairs whose full sets are as similar as wanted; sets are made for the classes in ``pairs`` only."""
-        pairs = stored(pairs, "pairs")
-        nodes = stored(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct().join(shown.select("node", "rep"), "node"), "nodes")
+    def sets_of(nodes: DataFrame) -> DataFrame:
+        """(node, set) of the classes in ``nodes``, from the texts of their representatives."""
+        nodes = stored(nodes.distinct().join(shown.select("node", "rep"), "node"), "nodes")
         wanted = bitmap_of(nodes.select(F.xxhash64("rep").alias("h")), "h")
         texts = docs.select(F.col(id_col).alias("rep"), F.col(text_col).alias("text")).filter(in_bitmap(F.xxhash64("rep"), wanted))
         reps = nodes.select(F.col("rep").alias("want")).distinct()
         found = texts.join(reps, F.col("rep").eqNullSafe(F.col("want")), "left_semi").select(full_set(F.col("text").cast("binary")).alias("set"))
-        sets = stored(found.withColumn("node", _node_of()("set")).join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+        return stored(found.withColumn("node", _node_of()("set")).join(nodes.select("node"), "node", "left_semi").dropDuplicates(["node"]), "sets")
+
+    def linked(pairs: DataFrame) -> DataFrame:
+        """Pairs whose full sets are as similar as wanted; sets are made for the classes in ``pairs`` only."""
+        pairs = stored(pairs, "pairs")
+        sets = sets_of(pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))))
         got = pairs.join(sets.select(F.col("node").alias("a"), F.col("set").alias("xa")), "a").join(sets.select(F.col("node").alias("b"), F.col("set").alias("xb")), "b")
         both = F.size(F.array_intersect("xa", "xb"))
         return stored(got.filter(100 * both >= percent * (F.size("xa") + F.size("xb") - both)).select(F.col("a").alias("u"), F.col("b").alias("v")), "links")
@@ -262,15 +310,22 @@ def near_duplicates(docs: DataFrame, words: int = 5, percent: int = 80, id_col:
     root = components(links)
     named = shown.join(root, "node", "left").select("node", "n", "sketch", "bands", F.coalesce("root", "node").alias("label"))
     named = stored(named, "named")
-    homes = members.select("bucket", "node", "size").join(named.select("node", "label"), "node")
+    homes = members.select("bucket", "node", "blocks").join(named.select("node", "label", "n"), "node")
     mixed = homes.groupBy("bucket").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low <> high").select("bucket")
-    placed = stored(members.select("bucket", "node", "size").join(mixed, "bucket"), "mixed").join(named, "node")
-    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
-    own = F.pmod(F.xxhash64("node"), blocks).cast("int")
-    dealt = placed.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1))).select(
+    mixed = stored(homes.drop("label").join(mixed, "bucket"), "mixed")
+    held = mixed.agg(F.count(F.lit(1)).alias("rows"), F.sum("n").alias("shingles")).first()
+    parts = 1 + max(held.rows // PART, (held.shingles or 0) // PART_SHINGLES)
+    # small buckets share groups, a large one is dealt over pairs of blocks
+    alone = F.col("blocks") > 1
+    own = F.pmod(F.xxhash64("node"), "blocks").cast("int")
+    dealt = mixed.drop("n").join(named, "node").withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).select(
+        F.when(alone, F.col("bucket")).otherwise(F.pmod(F.xxhash64("bucket"), F.lit(parts))).alias("part"), alone.alias("alone"),
         "bucket", "node", "n", "label", "sketch", "bands", "own", F.least("own", "other").alias("first_block"), F.greatest("own", "other").alias("second_block"))
-    pairs = dealt.groupBy("bucket", "first_block", "second_block").applyInPandas(_block_pairs(cut, percent), "a binary, b binary").distinct()
-    links = links.unionByName(linked(pairs))
+    group = ["part", "alone", "first_block", "second_block"]
+    close = stored(dealt.groupBy(*group).applyInArrow(_block_candidates(cut, percent), dealt.schema), "close")
+    whole_sets = close.join(sets_of(close.select("node")), "node")
+    more = stored(whole_sets.groupBy(*group).applyInArrow(_block_links(cut, percent), "u binary, v binary"), "more")
+    links = links.unionByName(more)
 
     root = components(links)
     named = classes.select("node", "rep").join(root, "node", "left").select("node", "rep", F.coalesce("root", "node").alias("root"))
